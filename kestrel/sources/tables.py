@@ -112,3 +112,36 @@ def with_views(sql: str, *names: str) -> str:
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
+
+
+# ---------------------------------------------------------------- delimited customer messages
+# Field order of a customer message (``@|``-delimited), fixed by the original feed.
+CUSTOMER_FIELDS = ["tstamp", "firstname", "surname", "dob", "nino", "housingCosts",
+                   "childCareCosts", "address", "postcode"]
+CUSTOMER_DELIM = "@|"
+
+
+def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer_lines(event_id, line)``: one ``@|``-delimited message per event."""
+    e = table(spark, sf_dir, "events")
+    c = table(spark, sf_dir, "customer")
+    j = e.join(c, e["user_id"] == c["c_custkey"])
+    dob = F.date_format(F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 18000).cast("int")),
+                        "yyyy-MM-dd")
+    fields = [
+        F.unix_timestamp("ts").cast("string"), F.col("c_mktsegment"), F.col("c_name"), dob,
+        F.col("user_id").cast("string"), F.format_string("%.2f", F.col("value")),
+        F.format_string("%.3f", F.col("value") * 0.8 + (F.col("event_id") % 50).cast("double")),
+        F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string")),
+        F.concat(F.lit("PC"), F.col("c_custkey").cast("string")),
+    ]
+    return j.select("event_id", F.concat_ws(CUSTOMER_DELIM, *fields).alias("line"))
+
+
+VIEW_SQL["customer_lines"] = """SELECT e.event_id, concat_ws('@|',
+    CAST(epoch_us(e.ts) // 1000000 AS VARCHAR), c.c_mktsegment, c.c_name,
+    strftime(DATE '1950-01-01' + CAST(c.c_custkey % 18000 AS INTEGER), '%Y-%m-%d'),
+    CAST(e.user_id AS VARCHAR), printf('%.2f', e."value"),
+    printf('%.3f', e."value" * 0.8 + CAST(e.event_id % 50 AS DOUBLE)),
+    'Nation ' || CAST(c.c_nationkey AS VARCHAR), 'PC' || CAST(c.c_custkey AS VARCHAR)) AS line
+    FROM events e JOIN customer c ON e.user_id = c.c_custkey"""

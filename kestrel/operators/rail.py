@@ -50,9 +50,10 @@ def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
                       .alias("msg"))
 
 
-def message_header(parsed: DataFrame) -> DataFrame:
+def message_header(parsed: DataFrame, extra: list | None = None) -> DataFrame:
+    """Envelope fields of every message: time, sequence, kind, train id, origin."""
     m = F.col("msg")
-    return parsed.select(
+    return parsed.select(*(extra or []),
         m["_ts"].alias("msg_ts"), m["_seq"].cast("long").alias("seq"),
         F.when(m["uR"]["TS"].isNotNull(), "TS").when(m["uR"]["schedule"].isNotNull(), "schedule")
         .when(m["uR"]["deactivated"].isNotNull(), "deactivated").alias("kind"),

@@ -73,11 +73,9 @@ def rail_parse_xml(spark, sf_dir):
     p = _parsed(spark, sf_dir)
     s = F.col("msg.uR.schedule")
     n_points = sum(F.coalesce(F.size(s[t]), F.lit(0)) for t in RL.POINT_TYPES)
-    h = p.select(RL.message_header(p).columns and "*",
-                 F.when(F.col("msg.uR.TS").isNotNull(), F.size("msg.uR.TS.Location")).alias("n_locations"),
-                 F.when(s.isNotNull(), n_points).alias("n_points"))
-    hdr = RL.message_header(h)
-    return hdr.select("*").join(h.select(F.col("msg._seq").cast("long").alias("seq"), "n_locations", "n_points"), "seq")
+    return RL.message_header(p, [
+        F.when(F.col("msg.uR.TS").isNotNull(), F.size("msg.uR.TS.Location")).alias("n_locations"),
+        F.when(s.isNotNull(), n_points).alias("n_points")])
 
 
 @query("rail_forecast_edges", "WITH " + _EV + ", " + _LOC + " SELECT " + _FE_SEL + " FROM fe")

@@ -145,3 +145,32 @@ VIEW_SQL["customer_lines"] = """SELECT e.event_id, concat_ws('@|',
     printf('%.3f', e."value" * 0.8 + CAST(e.event_id % 50 AS DOUBLE)),
     'Nation ' || CAST(c.c_nationkey AS VARCHAR), 'PC' || CAST(c.c_custkey AS VARCHAR)) AS line
     FROM events e JOIN customer c ON e.user_id = c.c_custkey"""
+
+
+# ---------------------------------------------------------------- timed text and rating messages
+def timed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``timed_lines(src, id, ts, text)``: every document / conversation turn with an arrival time."""
+    base = F.lit("2024-01-01").cast("timestamp_ntz")
+    d = table(spark, sf_dir, "documents").select(
+        F.lit("doc").alias("src"), F.col("doc_id").alias("id"),
+        (base + F.make_dt_interval(mins=(F.col("doc_id") * 7).cast("int"))).alias("ts"), "text")
+    c = table(spark, sf_dir, "conversations").select(
+        F.lit("conv").alias("src"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
+        (base + F.make_dt_interval(mins=(F.col("conv_id") * 11).cast("int"), secs=F.col("turn").cast("int")))
+        .alias("ts"), "text")
+    return d.unionByName(c)
+
+
+def rating_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rating_messages(ts, value)``: ``tstamp,user,item,rating`` lines of the rating feed."""
+    r = ratings(spark, sf_dir)
+    return r.select("ts", F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+                                      F.col("user").cast("string"), F.col("item").cast("string"),
+                                      F.col("rating").cast("string")).alias("value"))
+
+
+VIEW_SQL["timed_lines"] = """SELECT 'doc' AS src, doc_id AS id, TIMESTAMP '2024-01-01' + to_minutes(CAST(doc_id * 7 AS BIGINT)) AS ts, text
+    FROM documents UNION ALL
+    SELECT 'conv' AS src, conv_id * 1000 + turn AS id,
+           TIMESTAMP '2024-01-01' + to_minutes(CAST(conv_id * 11 AS BIGINT)) + to_seconds(CAST(turn AS BIGINT)) AS ts, text
+    FROM conversations"""

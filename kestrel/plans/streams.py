@@ -244,3 +244,50 @@ def wordcount_batch_log(spark, sf_dir):
 
     RN.run_available_now(s, echo, scratch_path(spark, "wc-log-ckpt"))
     return spark.read.parquet(log).groupBy("word").agg(F.sum("count").cast("long").alias("total"))
+
+
+# ---------------------------------------------------------------- risk flags
+# Slot width and window length in slots.  The original ran 1-second batches and
+# a 10-batch window; the test data is sparse (days), so slots are 6 hours.
+RISK_SLIDE_SECONDS = 6 * 3600
+RISK_WINDOW_SLOTS = 10
+
+_RISK_SQL = f"""c AS (SELECT tstamp, nino, 'Top Centile Housing Costs' AS risk_category, housing AS cost FROM customers
+        UNION ALL SELECT tstamp, nino, 'Top Centile Childcare Costs', childcare FROM customers),
+    cs AS (SELECT *, (epoch_us(tstamp) // 1000000) // {RISK_SLIDE_SECONDS} AS slot FROM c),
+    ex AS (SELECT risk_category, cost, slot + unnest(range({RISK_WINDOW_SLOTS})) AS end_slot FROM cs),
+    r AS (SELECT risk_category, end_slot, cost,
+                 row_number() OVER (PARTITION BY risk_category, end_slot ORDER BY cost DESC) AS rn,
+                 count(*) OVER (PARTITION BY risk_category, end_slot) AS n FROM ex),
+    thr AS (SELECT risk_category, end_slot, n, n // 10 AS k, max(CASE WHEN rn = n // 10 THEN cost END) AS kth
+            FROM r GROUP BY 1, 2, 3),
+    cut AS (SELECT risk_category, end_slot, last_value(kth IGNORE NULLS) OVER (PARTITION BY risk_category
+            ORDER BY end_slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cutoff FROM thr)"""
+
+
+@query("sliding_topdecile", TB.with_views("WITH " + _RISK_SQL + """
+    SELECT risk_category, CAST(end_slot AS BIGINT) AS end_slot, n, k, kth FROM thr""", "customers"))
+def sliding_topdecile(spark, sf_dir):
+    from kestrel.operators.risk import long_costs, window_thresholds
+    t = window_thresholds(long_costs(TB.customers(spark, sf_dir)), RISK_SLIDE_SECONDS, RISK_WINDOW_SLOTS)
+    return t.select("risk_category", "end_slot", "n", "k", "kth")
+
+
+@query("risk_flags", TB.with_views("WITH " + _RISK_SQL + """
+    SELECT cs.tstamp, cs.nino, cs.risk_category, cs.cost FROM cs
+    JOIN cut ON cs.risk_category = cut.risk_category AND cs.slot = cut.end_slot WHERE cs.cost > cut.cutoff""",
+    "customers"))
+def risk_flags(spark, sf_dir):
+    from kestrel.streaming.risk import run_risk_flags
+    stream = _staged(spark, sf_dir, TB.customers(spark, sf_dir), "tstamp", "risk-feed")
+    return run_risk_flags(spark, stream, scratch_path(spark, "risk-state"), scratch_path(spark, "risk-ckpt"),
+                          RISK_SLIDE_SECONDS, RISK_WINDOW_SLOTS)
+
+
+@query("risk_flags_batch", TB.with_views("WITH " + _RISK_SQL + """
+    SELECT cs.tstamp, cs.nino, cs.risk_category, cs.cost FROM cs
+    JOIN cut ON cs.risk_category = cut.risk_category AND cs.slot = cut.end_slot WHERE cs.cost > cut.cutoff""",
+    "customers"))
+def risk_flags_batch(spark, sf_dir):
+    from kestrel.operators.risk import risk_flags as flags
+    return flags(TB.customers(spark, sf_dir), RISK_SLIDE_SECONDS, RISK_WINDOW_SLOTS)

@@ -174,3 +174,56 @@ VIEW_SQL["timed_lines"] = """SELECT 'doc' AS src, doc_id AS id, TIMESTAMP '2024-
     SELECT 'conv' AS src, conv_id * 1000 + turn AS id,
            TIMESTAMP '2024-01-01' + to_minutes(CAST(conv_id * 11 AS BIGINT)) + to_seconds(CAST(turn AS BIGINT)) AS ts, text
     FROM conversations"""
+
+
+# ---------------------------------------------------------------- churn features
+CHURN_NUMERIC = ["account_length", "number_vmail_messages", "total_day_minutes", "total_day_calls",
+                 "total_day_charge", "total_eve_minutes", "total_eve_calls", "total_eve_charge",
+                 "total_night_minutes", "total_night_calls", "total_intl_minutes", "total_intl_calls",
+                 "total_intl_charge"]
+
+
+def churn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer: 13 numeric usage columns from its orders, plan flags, a planted label."""
+    c = table(spark, sf_dir, "customer")
+    o = table(spark, sf_dir, "orders")
+    p = F.col("o_totalprice")
+    agg = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count("*").cast("double").alias("number_vmail_messages"),
+        (F.sum(p) / 1000.0).alias("total_day_minutes"),
+        F.count(F.when(F.col("o_orderstatus") == "F", 1)).cast("double").alias("total_day_calls"),
+        F.avg(p).alias("total_day_charge"),
+        F.max(p).alias("total_eve_minutes"),
+        F.count(F.when(F.col("o_orderstatus") == "O", 1)).cast("double").alias("total_eve_calls"),
+        F.min(p).alias("total_eve_charge"),
+        F.coalesce(F.sum(F.when(F.col("o_orderpriority") == "1-URGENT", p)), F.lit(0.0)).alias("total_night_minutes"),
+        F.count(F.when(F.col("o_orderpriority") == "1-URGENT", 1)).cast("double").alias("total_night_calls"),
+        F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "P", p)), F.lit(0.0)).alias("total_intl_minutes"),
+        F.count(F.when(F.col("o_orderstatus") == "P", 1)).cast("double").alias("total_intl_calls"),
+        F.countDistinct("o_orderpriority").cast("double").alias("total_intl_charge"),
+        F.count(F.when(F.col("o_orderpriority") == "5-LOW", 1)).cast("double").alias("number_customer_service_calls"))
+    j = c.join(agg, "c_custkey")
+    return j.select(
+        F.col("c_custkey").alias("customer"), F.col("c_mktsegment").alias("state"),
+        F.col("c_acctbal").alias("account_length"), *CHURN_NUMERIC[1:], "number_customer_service_calls",
+        F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "yes").otherwise("no").alias("intl_plan"),
+        F.when((F.col("c_acctbal") < 1000) | (F.col("number_vmail_messages") < 8), "True").otherwise("False")
+        .alias("churned"))
+
+
+VIEW_SQL["churn"] = """SELECT c.c_custkey AS customer, c.c_mktsegment AS state, c.c_acctbal AS account_length,
+    CAST(count(*) AS DOUBLE) AS number_vmail_messages, sum(o.o_totalprice) / 1000.0 AS total_day_minutes,
+    CAST(count(*) FILTER (WHERE o.o_orderstatus = 'F') AS DOUBLE) AS total_day_calls,
+    avg(o.o_totalprice) AS total_day_charge, max(o.o_totalprice) AS total_eve_minutes,
+    CAST(count(*) FILTER (WHERE o.o_orderstatus = 'O') AS DOUBLE) AS total_eve_calls,
+    min(o.o_totalprice) AS total_eve_charge,
+    coalesce(sum(o.o_totalprice) FILTER (WHERE o.o_orderpriority = '1-URGENT'), 0.0) AS total_night_minutes,
+    CAST(count(*) FILTER (WHERE o.o_orderpriority = '1-URGENT') AS DOUBLE) AS total_night_calls,
+    coalesce(sum(o.o_totalprice) FILTER (WHERE o.o_orderstatus = 'P'), 0.0) AS total_intl_minutes,
+    CAST(count(*) FILTER (WHERE o.o_orderstatus = 'P') AS DOUBLE) AS total_intl_calls,
+    CAST(count(DISTINCT o.o_orderpriority) AS DOUBLE) AS total_intl_charge,
+    CAST(count(*) FILTER (WHERE o.o_orderpriority = '5-LOW') AS DOUBLE) AS number_customer_service_calls,
+    CASE WHEN c.c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'yes' ELSE 'no' END AS intl_plan,
+    CASE WHEN c.c_acctbal < 1000 OR count(*) < 8 THEN 'True' ELSE 'False' END AS churned
+    FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey
+    GROUP BY c.c_custkey, c.c_mktsegment, c.c_acctbal"""

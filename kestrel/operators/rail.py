@@ -45,9 +45,14 @@ PPORT = T.StructType(_attrs("ts", "seq") + [T.StructField("uR", T.StructType(
 
 
 def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
-    """XML text → one nested ``msg`` struct per message (malformed → NULL fields)."""
-    return raw.select(F.from_xml(F.col(value), PPORT, {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
-                      .alias("msg"))
+    """XML text → one nested ``msg`` struct per message (malformed → NULL fields).
+
+    The parse is wrapped in a one-element ``inline``: the optimizer neither
+    pushes predicates below a generator nor collapses projections through it,
+    so every message is parsed exactly once however many fields are read.
+    """
+    parsed = F.from_xml(F.col(value), PPORT, {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
+    return raw.select(F.inline(F.array(F.struct(parsed.alias("msg")))))
 
 
 def message_header(parsed: DataFrame, extra: list | None = None) -> DataFrame:
@@ -117,12 +122,22 @@ def schedule_edges(parsed: DataFrame) -> DataFrame:
 
 
 def current_vertices(parsed: DataFrame) -> DataFrame:
-    """Latest-wins per ``rid`` over schedule upserts and deactivation tombstones."""
-    h = message_header(parsed).where(F.col("kind").isin("schedule", "deactivated"))
-    v = schedule_vertices(parsed)
-    latest = h.groupBy("rid").agg(F.max_by(F.struct("kind", "seq"), F.struct("msg_ts", "seq")).alias("last"))
-    live = latest.where(F.col("last.kind") == "schedule").select("rid", F.col("last.seq").alias("seq"))
-    return v.join(live, ["rid", "seq"]).drop("msg_ts", "seq")
+    """Latest-wins per ``rid`` over schedule upserts and deactivation tombstones.
+
+    One pass: every schedule or deactivation becomes a ``(rid, at, vertex)``
+    record (a tombstone has ``live = false``); ``max_by`` keeps the latest per
+    train and aggregates partially before the shuffle, so a busy train id
+    costs no single task.
+    """
+    s = F.col("msg")["uR"]["schedule"]
+    d = F.col("msg")["uR"]["deactivated"]
+    rec = parsed.where(s.isNotNull() | d.isNotNull()).select(
+        F.coalesce(s["_rid"], d["_rid"]).alias("rid"),
+        F.struct(F.col("msg")["_ts"].alias("msg_ts"), F.col("msg")["_seq"].cast("long").alias("seq")).alias("at"),
+        F.struct(s.isNotNull().alias("live"), s["_trainId"].alias("headcode"), s["_toc"].alias("toc"),
+                 s["_ssd"].alias("ssd"), s["_uid"].alias("uid"), s["_trainCat"].alias("train_cat")).alias("v"))
+    latest = rec.groupBy("rid").agg(F.max_by("v", "at").alias("v"))
+    return latest.where(F.col("v.live")).select("rid", "v.headcode", "v.toc", "v.ssd", "v.uid", "v.train_cat")
 
 
 def current_edges(parsed: DataFrame) -> DataFrame:

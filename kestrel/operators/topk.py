@@ -28,20 +28,27 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
 
 
 def kth_largest(df: DataFrame, group: Sequence[str], value: str, k: Column | None = None,
-                bins: int = 256, accuracy: int = 10000) -> DataFrame:
+                bins: int = 32, accuracy: int = 1000, sample_fraction: float | None = None,
+                seed: int = 17) -> DataFrame:
     """Exact k-th largest ``value`` per group (duplicates count), ``k = floor(n/10)`` by default.
 
     Returns ``group..., n, k, kth`` with ``kth`` NULL when ``k`` is 0 or exceeds ``n``.
-    Values are first binned at approximate quantile split points (computed
-    per group with ``percentile_approx``); bin counts locate the bin holding
-    rank ``k``; only the rows of that one bin are ranked exactly.  No task sees
-    more than about ``n / bins`` rows of a group.
+    Values are first binned at approximate quantile split points; exact bin
+    counts locate the bin holding rank ``k``; only the rows of that one bin are
+    ranked.  No task sees more than about ``n / bins`` rows of a group.
+
+    As in Spark's range partitioner, the split points are sketched from a
+    Bernoulli sample (``sample_fraction``): they only decide where bins start.
+    Every row is still counted and ranked, so the result is exact whatever the
+    sample; a poor sample only makes the chosen bin larger.
     """
     group = list(group)
     probs = [i / bins for i in range(1, bins)]
-    stats = df.groupBy(*group).agg(
-        F.count(value).alias("n"),
-        F.percentile_approx(value, probs, accuracy).alias("_splits"))
+    src = df if sample_fraction is None else df.sample(False, sample_fraction, seed)
+    splits = src.groupBy(*group).agg(F.percentile_approx(value, probs, accuracy).alias("_splits"))
+    stats = (df.groupBy(*group).agg(F.count(value).alias("n"))
+             .join(splits, group, "left")
+             .withColumn("_splits", F.coalesce("_splits", F.array().cast("array<double>"))))
     kcol = k if k is not None else F.floor(F.col("n") / 10)
     stats = stats.withColumn("k", kcol.cast("long"))
     # bin index = number of distinct split points strictly below the value

@@ -43,7 +43,8 @@ def dedupe_min_latitude(clean: DataFrame) -> DataFrame:
     does not change the groups but lets the next window reuse the shuffle.
     """
     w = Window.partitionBy("vehicle_number", "bucket", "ts_round")
-    return (clean.withColumn("_min_lat", F.min("lat").over(w))
+    spread = clean.repartition("vehicle_number", "bucket")   # the one shuffle of the pipeline
+    return (spread.withColumn("_min_lat", F.min("lat").over(w))
             .where(F.col("lat") == F.col("_min_lat")).drop("_min_lat"))
 
 

@@ -23,16 +23,19 @@ def next_in_sequence(df: DataFrame, key: str, bucket: str, order: Sequence[str],
 
     ``bucket`` must be non-decreasing along ``order`` within a key (e.g. the
     hour of the ordering timestamp).  Rows without a successor get NULLs.
+    When ``df`` is already hash-partitioned on ``(key, bucket)`` the window,
+    the bucket-first aggregate and the join all reuse that one shuffle.
     """
     order_cols = [F.col(c) for c in order]
     w = Window.partitionBy(key, bucket).orderBy(*order_cols)
-    staged = df.withColumn("_rn", F.row_number().over(w))
+    staged = df
     for c in carry:
         staged = staged.withColumn(f"_in_{c}", F.lead(c).over(w))
     staged = staged.withColumn("_has_next", F.lead(F.lit(True)).over(w))
 
-    # First row of every (key, bucket) → successor of the previous bucket's last row.
-    firsts = staged.where(F.col("_rn") == 1).select(key, bucket, F.struct(*carry).alias("_first"))
+    # First row of every (key, bucket): partial aggregate, no extra shuffle.
+    firsts = df.groupBy(key, bucket).agg(F.min_by(F.struct(*carry), F.struct(*order)).alias("_first"))
+    # Successor bucket per key: one row per key-bucket, a small window.
     wb = Window.partitionBy(key).orderBy(bucket)
     succ = firsts.select(key, bucket, F.lead("_first").over(wb).alias("_succ"))
 
@@ -41,7 +44,7 @@ def next_in_sequence(df: DataFrame, key: str, bucket: str, order: Sequence[str],
         out = out.withColumn(
             f"{c}{suffix}",
             F.when(F.col("_has_next").isNotNull(), F.col(f"_in_{c}")).otherwise(F.col(f"_succ.{c}")))
-    return out.drop("_rn", "_has_next", "_succ", *[f"_in_{c}" for c in carry])
+    return out.drop("_has_next", "_succ", *[f"_in_{c}" for c in carry])
 
 
 def row_index(df: DataFrame, key: str, order: Sequence[str], name: str = "index") -> DataFrame:

@@ -32,7 +32,7 @@ def _rating_stream(spark, sf_dir):
 def _model(spark, sf_dir):
     """Item-mean model trained on the training split (static side of the joins)."""
     sp = S.split_by_digit(TB.ratings(spark, sf_dir))
-    return S.item_mean_predictor(sp.where(F.col("split") == "train"))
+    return RN.materialize(spark, S.item_mean_predictor(sp.where(F.col("split") == "train")), "item-mean-model")
 
 
 def _staged(spark, sf_dir, df, order, name):
@@ -115,7 +115,7 @@ def stream_running_rmse(spark, sf_dir):
 def same_batch_join(spark, sf_dir):
     g = TB.ratings(spark, sf_dir).groupBy("user", "item").agg(F.avg("rating").alias("avg_rating"), F.count("*").alias("n"))
     top = top_k_per_group(g, ["user"], [F.desc("avg_rating"), F.desc("n"), F.col("item")], 5, salt_col="item")
-    top = top.select("user", F.col("rank").cast("long").alias("rank"), "item")
+    top = RN.materialize(spark, top.select("user", F.col("rank").cast("long").alias("rank"), "item"), "user-top5")
     out = scratch_path(spark, "recs-out")
 
     def per_batch(batch, batch_id):

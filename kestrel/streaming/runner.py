@@ -110,6 +110,18 @@ def run_append(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch_id")
 
 
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to shared storage and read it back.
+
+    The static side of a stream-static join is re-evaluated every micro-batch;
+    a model or lookup table computed from a large table is therefore written
+    once (like a saved model) so that batches only read the small result.
+    """
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def event_time(col: str) -> Column:
     """Watermarks need ``timestamp`` (not ``timestamp_ntz``); session time zone is UTC."""
     return F.col(col).cast("timestamp")
@@ -121,4 +133,4 @@ def ntz(col) -> Column:
 
 
 __all__ = ["stream_source", "stage_files", "file_stream", "run_available_now", "batch_partition_writer",
-           "read_changelog", "run_update_aggregate", "run_append", "event_time", "ntz", "Window"]
+           "read_changelog", "run_update_aggregate", "run_append", "materialize", "event_time", "ntz", "Window"]

@@ -44,13 +44,24 @@ def window_thresholds(costs: DataFrame, slide_seconds: int, w: int, lo=None, hi=
     return kth_largest(ex, ["risk_category", "end_slot"], "cost")
 
 
-def carried_cutoffs(thresholds: DataFrame) -> DataFrame:
+def carried_cutoffs(thresholds: DataFrame, epoch_slots: int = 4096) -> DataFrame:
     """``cutoff(e)`` = last non-NULL threshold of a window ending strictly before ``e``.
 
-    One row per window end per category: a small table (time span / slide).
+    The carry runs per ``(category, epoch)`` of ``epoch_slots`` slots; the last
+    non-NULL threshold of earlier epochs comes from a one-row-per-epoch table,
+    so no task holds more than one epoch of window ends.
     """
-    wnd = Window.partitionBy("risk_category").orderBy("end_slot").rowsBetween(Window.unboundedPreceding, -1)
-    return thresholds.select("risk_category", "end_slot", F.last("kth", ignorenulls=True).over(wnd).alias("cutoff"))
+    t = thresholds.withColumn("_epoch", F.floor(F.col("end_slot") / epoch_slots))
+    w_in = (Window.partitionBy("risk_category", "_epoch").orderBy("end_slot")
+            .rowsBetween(Window.unboundedPreceding, -1))
+    t = t.withColumn("_in", F.last("kth", ignorenulls=True).over(w_in))
+    per_epoch = t.groupBy("risk_category", "_epoch").agg(
+        F.max_by("kth", F.when(F.col("kth").isNotNull(), F.col("end_slot"))).alias("_last"))
+    w_ep = Window.partitionBy("risk_category").orderBy("_epoch").rowsBetween(Window.unboundedPreceding, -1)
+    per_epoch = per_epoch.select("risk_category", "_epoch",
+                                 F.last("_last", ignorenulls=True).over(w_ep).alias("_carry"))
+    out = t.join(per_epoch, ["risk_category", "_epoch"])
+    return out.select("risk_category", "end_slot", F.coalesce("_in", "_carry").alias("cutoff"))
 
 
 def flag(costs: DataFrame, cutoffs: DataFrame, slide_seconds: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 from collections.abc import Callable
 
@@ -25,11 +26,21 @@ PLAN_MODULES = (
 
 
 def query(name: str, oracle: str | None = None):
-    """Register ``fn`` as query ``name``; ``oracle`` is its DuckDB SQL, if any."""
+    """Register ``fn`` as query ``name``; ``oracle`` is its DuckDB SQL, if any.
+
+    The registered callable pins the session time zone to UTC first: the
+    driver tables hold zone-less timestamps and the oracle reads them as such.
+    """
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

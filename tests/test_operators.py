@@ -137,3 +137,18 @@ def test_risk_flags_strict_and_carry_forward(spark):
 def test_risk_flags_none_before_first_cutoff(spark):
     rows = [(T0 + dt.timedelta(minutes=i), f"n{i}", float(i), float(i)) for i in range(9)]  # n < 10 → k = 0
     assert RK.risk_flags(_customers(spark, rows), 3600, 10).count() == 0
+
+
+def test_carried_cutoffs_epochs_equal_single_pass(spark):
+    rng = random.Random(13)
+    rows = [(c, e, (float(rng.randint(0, 50)) if rng.random() < 0.3 else None))
+            for c in ("x", "y") for e in range(0, 400, rng.choice([1, 2, 3]))]
+    thr = spark.createDataFrame(rows, "risk_category string, end_slot long, kth double")
+    a = sorted(map(tuple, RK.carried_cutoffs(thr, epoch_slots=7).collect()))
+    b = sorted(map(tuple, RK.carried_cutoffs(thr, epoch_slots=100000).collect()))
+    assert a == b
+    # and against a direct definition
+    for c, e, cut in a:
+        prev = [k for cc, ee, k in rows if cc == c and ee < e and k is not None]
+        last = max(((ee, k) for cc, ee, k in rows if cc == c and ee < e and k is not None), default=(None, None))[1]
+        assert cut == (last if prev else None)

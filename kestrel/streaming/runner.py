@@ -79,6 +79,19 @@ def run_available_now(stream: DataFrame, fn: Callable[[DataFrame, int], None], c
         raise q.exception()
 
 
+def start(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
+          processing_time: str | None = None, name: str | None = None):
+    """Start a long-running query (``processing_time`` e.g. ``"1 second"``); returns the handle.
+
+    Without ``processing_time`` it processes what is available and stops.
+    """
+    w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(fn)
+    if name:
+        w = w.queryName(name)
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    return w.start()
+
+
 def batch_partition_writer(path: str, guard_empty: bool = True) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: overwrite ``path/batch_id=<id>`` with the batch (idempotent)."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -133,4 +146,4 @@ def ntz(col) -> Column:
 
 
 __all__ = ["stream_source", "stage_files", "file_stream", "run_available_now", "batch_partition_writer",
-           "read_changelog", "run_update_aggregate", "run_append", "materialize", "event_time", "ntz", "Window"]
+           "read_changelog", "run_update_aggregate", "run_append", "materialize", "start", "event_time", "ntz", "Window"]

@@ -44,14 +44,19 @@ def kth_largest(df: DataFrame, group: Sequence[str], value: str, k: Column | Non
     """
     group = list(group)
     probs = [i / bins for i in range(1, bins)]
-    src = df if sample_fraction is None else df.sample(False, sample_fraction, seed)
-    splits = src.groupBy(*group).agg(F.percentile_approx(value, probs, accuracy).alias("_splits"))
-    stats = (df.groupBy(*group).agg(F.count(value).alias("n"))
-             .join(splits, group, "left")
-             .withColumn("_splits", F.coalesce("_splits", F.array().cast("array<double>"))))
+    if sample_fraction is None:
+        stats = df.groupBy(*group).agg(F.count(value).alias("n"),
+                                       F.percentile_approx(value, probs, accuracy).alias("_splits"))
+    else:
+        splits = (df.sample(False, sample_fraction, seed).groupBy(*group)
+                  .agg(F.percentile_approx(value, probs, accuracy).alias("_splits")))
+        stats = (df.groupBy(*group).agg(F.count(value).alias("n")).join(splits, group, "left")
+                 .withColumn("_splits", F.coalesce("_splits", F.array().cast("array<double>"))))
     kcol = k if k is not None else F.floor(F.col("n") / 10)
     stats = stats.withColumn("k", kcol.cast("long"))
-    # bin index = number of distinct split points strictly below the value
+    # bin index = number of distinct split points strictly below the value.
+    # (Re-reading the narrow input for the bin counts and for the chosen bin is
+    # cheaper than shuffling every row once more.)
     binned = (df.select(*group, value)
               .join(stats.select(*group, F.array_distinct("_splits").alias("_splits")), group)
               .withColumn("_bin", F.size(F.filter("_splits", lambda s: s < F.col(value))))

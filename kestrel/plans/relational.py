@@ -146,7 +146,7 @@ def user_candidate_pairs(spark, sf_dir):
     cand AS (SELECT c.item, c.title, im.score FROM catalog c JOIN im ON c.item = im.item
              WHERE c.item NOT IN (SELECT item FROM ratings WHERE "user" = {PERSONAL_USER} AND rating > 0)),
     top AS (SELECT * FROM cand ORDER BY score DESC, item LIMIT 50)
-    SELECT row_number() OVER (ORDER BY score DESC, item) AS "rank", item,
+    SELECT CAST(row_number() OVER (ORDER BY score DESC, item) AS INTEGER) AS "rank", item,
            regexp_replace(title, '[^\\x00-\\x7F]', '', 'g') AS title, round(score, 6) AS score FROM top""",
     "ratings", "catalog"))
 def top50_for_user(spark, sf_dir):

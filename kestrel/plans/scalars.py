@@ -13,7 +13,7 @@ _SPLIT9 = "string_split(line, '@|')"
 
 
 @query("split_fields", T.with_views(f"""
-    SELECT event_id, len({_SPLIT9}) AS n_fields, {_SPLIT9}[5] AS nino, {_SPLIT9}[6] AS housing
+    SELECT event_id, CAST(len({_SPLIT9}) AS INTEGER) AS n_fields, {_SPLIT9}[5] AS nino, {_SPLIT9}[6] AS housing
     FROM customer_lines""", "customer_lines"))
 def split_fields(spark, sf_dir):
     parts = split_literal("line", T.CUSTOMER_DELIM)
@@ -52,7 +52,7 @@ def constant_projection(spark, sf_dir):
 @query("scalar_strings", r"""
     SELECT doc_id,
            regexp_replace(replace(text, chr(10), ' '), '[^\x00-\x7F]', '', 'g') AS ascii_text,
-           len(string_split(text, ' ')) AS n_fields,
+           CAST(len(string_split(text, ' ')) AS INTEGER) AS n_fields,
            concat_ws('|', lang, "source") AS lang_source,
            lang || '-' || CAST(doc_id AS VARCHAR) AS doc_key,
            trim('  ' || "source" || '  ') AS trimmed,

@@ -221,7 +221,7 @@ def wordcount_batch(spark, sf_dir):
 @query("wordcount_blocklist", TB.with_views("""
     WITH w AS (SELECT word, count(*) AS "count" FROM (SELECT unnest(string_split(text, ' ')) AS word FROM lines) x
                GROUP BY word)
-    SELECT word, "count", (SELECT sum("count") FROM w WHERE word IN ('a', 'b', 'c')) AS dropped_total
+    SELECT word, "count", (SELECT CAST(sum("count") AS BIGINT) FROM w WHERE word IN ('a', 'b', 'c')) AS dropped_total
     FROM w WHERE word NOT IN ('a', 'b', 'c')""", "lines"))
 def wordcount_blocklist(spark, sf_dir):
     counts = J.words(TB.lines(spark, sf_dir), " ").groupBy("word").count()

@@ -40,6 +40,25 @@ def norm(v):
     return str(v)
 
 
+def duck_type(dt) -> str:
+    """DuckDB type name of a Spark type (for the schema comparison)."""
+    from pyspark.sql import types as T
+    simple = {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.DoubleType: "DOUBLE", T.FloatType: "FLOAT",
+              T.StringType: "VARCHAR", T.BooleanType: "BOOLEAN", T.DateType: "DATE",
+              T.TimestampNTZType: "TIMESTAMP", T.TimestampType: "TIMESTAMP WITH TIME ZONE",
+              T.ShortType: "SMALLINT", T.ByteType: "TINYINT"}
+    for k, v in simple.items():
+        if isinstance(dt, k):
+            return v
+    if isinstance(dt, T.ArrayType):
+        return duck_type(dt.elementType) + "[]"
+    if isinstance(dt, T.DecimalType):
+        return f"DECIMAL({dt.precision},{dt.scale})"
+    if isinstance(dt, T.StructType):
+        return "STRUCT(" + ", ".join(f"{f.name} {duck_type(f.dataType)}" for f in dt.fields) + ")"
+    return dt.simpleString().upper()
+
+
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
@@ -78,6 +97,11 @@ def main():
             print(f"FAIL {n}: columns spark={cols} oracle={ocols}")
             bad.append(n)
             continue
+        otypes = {d[0]: str(d[1]) for d in r.description}
+        stypes = {f.name: duck_type(f.dataType) for f in df.schema.fields}
+        tdiff = {c: (stypes[c], otypes[c]) for c in cols if stypes[c] != otypes[c]}
+        if tdiff:
+            print(f"TYPE {n}: {tdiff}")
         idx = [ocols.index(c) for c in cols]
         s1 = sorted("|".join(norm(x) for x in row) for row in rows)
         s2 = sorted("|".join(norm(row[i]) for i in idx) for row in orows)

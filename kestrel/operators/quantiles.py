@@ -21,14 +21,17 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict
     h = (h.withColumn("_hi", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
          .withColumn("_lo", F.col("_hi") - F.col("_c") + 1))
     n = h.groupBy(*group).agg(F.sum("_c").alias("n"), F.min(value).alias("min"), F.max(value).alias("max"))
-    out = n
+    t = h.join(n.select(*group, "n"), group)
+
+    def at(rank):   # the value whose cumulative-count range holds ``rank``
+        return F.max(F.when((F.col("_lo") <= rank) & (F.col("_hi") >= rank), F.col(value)))
+
+    aggs, outs = [], []
     for name, p in probs.items():
         pos = (F.col("n") - 1) * p
-        t = h.join(n.select(*group, "n"), group).withColumn("_pos", pos)
-        lo_rank, hi_rank = F.floor("_pos"), F.ceil("_pos")
-        at = lambda r: F.max(F.when((F.col("_lo") <= r) & (F.col("_hi") >= r), F.col(value)))
-        q = t.groupBy(*group).agg(at(lo_rank).alias("_v0"), at(hi_rank).alias("_v1"), F.first("_pos").alias("_pos"))
-        q = q.select(*group, (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_pos") - F.floor("_pos")))
-                     .alias(name))
-        out = out.join(q, group)
-    return out
+        aggs += [at(F.floor(pos)).alias(f"_{name}_0"), at(F.ceil(pos)).alias(f"_{name}_1"),
+                 F.first(pos - F.floor(pos)).alias(f"_{name}_f")]
+        lo, hi, frac = F.col(f"_{name}_0"), F.col(f"_{name}_1"), F.col(f"_{name}_f")
+        outs.append((lo + (hi - lo) * frac).alias(name))
+    q = t.groupBy(*group).agg(*aggs).select(*group, *outs)
+    return n.join(q, group)

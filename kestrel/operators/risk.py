@@ -20,10 +20,10 @@ CHILDCARE = "Top Centile Childcare Costs"
 
 
 def long_costs(customers: DataFrame) -> DataFrame:
-    """One row per (record, category): ``tstamp, nino, risk_category, cost``."""
-    h = customers.select("tstamp", "nino", F.lit(HOUSING).alias("risk_category"), F.col("housing").alias("cost"))
-    c = customers.select("tstamp", "nino", F.lit(CHILDCARE).alias("risk_category"), F.col("childcare").alias("cost"))
-    return h.unionByName(c)
+    """One row per (record, category): ``tstamp, nino, risk_category, cost`` (one scan, unpivot)."""
+    pairs = F.array(F.struct(F.lit(HOUSING).alias("risk_category"), F.col("housing").cast("double").alias("cost")),
+                    F.struct(F.lit(CHILDCARE).alias("risk_category"), F.col("childcare").cast("double").alias("cost")))
+    return customers.select("tstamp", "nino", F.inline(pairs))
 
 
 def slot_of(ts: str, slide_seconds: int) -> Column:

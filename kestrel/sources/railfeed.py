@@ -27,7 +27,7 @@ def _location(j: int) -> str:
         arr = (f"CASE (event_id DIV 3) % 3 WHEN 0 THEN concat('<fc:arr at=\"', {_hhmm(f'{base} + event_id % 6')}, "
                f"'\" src=\"TD\"/>') WHEN 1 THEN concat('<fc:arr et=\"', {_hhmm(f'{base} + event_id % 5')}, '\"', "
                f"CASE WHEN event_id % 2 = 0 THEN concat(' wet=\"', {_hhmm(f'{base} + 2')}, '\"') ELSE '' END, "
-               f"' src=\"Darwin\"/>') ELSE '' END")
+               f"' src=\"Forecast\"/>') ELSE '' END")
         body = (f"concat('<fc:Location tpl=\"', {tpl}, '\" wta=\"', {_hhmm(base)}, '\" wtd=\"', "
                 f"{_hhmm(f'{base} + 1')}, '\">', {arr}, '<fc:dep et=\"', {_hhmm(f'{base} + 1 + event_id % 4')}, "
                 f"'\"/><fc:plat platsrc=\"P\">', CAST(event_id % 12 AS STRING), '</fc:plat></fc:Location>')")

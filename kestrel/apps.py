@@ -199,9 +199,9 @@ def rail_current_graph(spark: SparkSession, out_root: str) -> tuple[DataFrame, D
     return RL.current_vertices(parsed), RL.current_edges(parsed)
 
 
-def tweets_job(spark: SparkSession, pages_path: str, out_path: str) -> DataFrame:
+def tweets_job(spark: SparkSession, pages_path: str, out_path: str, one_file_per_page: bool = False) -> DataFrame:
     """Search-result pages (JSON arrays) → flat, de-duplicated tweets written as JSON."""
-    flat = TW.flatten(TW.read_pages(spark, pages_path)).dropDuplicates(["id"])
+    flat = TW.flatten(TW.read_pages(spark, pages_path, one_file_per_page)).dropDuplicates(["id"])
     flat.write.mode("overwrite").json(out_path)
     return spark.read.json(out_path)
 

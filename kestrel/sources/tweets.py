@@ -35,20 +35,28 @@ def tweet_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct((F.col("doc_id") % 97).alias("id")).alias("user"))
 
 
-def write_pages(tweets: DataFrame, path: str, page_size: int = 100) -> None:
-    """Write pages ``[p*size, (p+1)*size]`` (bounds inclusive, so boundary ids repeat),
-    one JSON array file per page.  A page holds at most ``page_size + 1`` documents."""
+def write_pages(tweets: DataFrame, path: str, page_size: int = 100, one_file_per_page: bool = False) -> None:
+    """Write pages ``[p*size, (p+1)*size]`` (bounds inclusive, so boundary ids repeat).
+
+    Each page is one JSON array of at most ``page_size + 1`` documents.  By
+    default pages are packed one per line into ordinary-sized files;
+    ``one_file_per_page`` reproduces the original one-array-per-file layout
+    (fine for a few pages, not for billions).
+    """
     p = F.floor(F.col("id") / page_size)
     pages = F.when((F.col("id") % page_size == 0) & (F.col("id") > 0), F.array(p, p - 1)).otherwise(F.array(p))
     exploded = tweets.withColumn("page", F.explode(pages))
     per_page = exploded.groupBy("page").agg(
         F.to_json(F.sort_array(F.collect_list(F.struct(*tweets.columns)), asc=False)).alias("value"))
-    per_page.write.mode("overwrite").partitionBy("page").text(path)
+    if one_file_per_page:
+        per_page.write.mode("overwrite").partitionBy("page").text(path)
+    else:
+        per_page.select("value").write.mode("overwrite").text(path)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """All page files; each top-level JSON array is exploded into rows."""
-    return spark.read.schema(TWEET_SCHEMA).option("multiLine", True).json(path)
+def read_pages(spark: SparkSession, path: str, one_file_per_page: bool = False) -> DataFrame:
+    """All pages; every top-level JSON array (per line, or per file) is exploded into rows."""
+    return spark.read.schema(TWEET_SCHEMA).option("multiLine", one_file_per_page).json(path)
 
 
 def flatten(tweets: DataFrame) -> DataFrame:

@@ -121,3 +121,11 @@ def test_tweets_job(spark, sf_dir):
     TW.write_pages(TW.tweet_documents(spark, sf_dir), pages)
     got = A.tweets_job(spark, pages, scratch_path(spark, "tweets-out"))
     assert got.count() == TB.table(spark, sf_dir, "documents").count()
+
+
+def test_tweet_pages_one_file_per_page_layout(spark, sf_dir):
+    from kestrel.sources import tweets as TW
+    pages = scratch_path(spark, "pages-files")
+    TW.write_pages(TW.tweet_documents(spark, sf_dir), pages, one_file_per_page=True)
+    got = A.tweets_job(spark, pages, scratch_path(spark, "tweets-out2"), one_file_per_page=True)
+    assert got.count() == TB.table(spark, sf_dir, "documents").count()

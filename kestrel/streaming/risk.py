@@ -1,17 +1,19 @@
 """Risk flags as a Structured Streaming job (foreachBatch with shared-storage state).
 
-Per micro-batch (slots ``lo..hi`` arrived):
-
-1. the batch's costs are stored under ``values/batch_id=N``;
-2. thresholds are recomputed for the windows the batch can change,
-   ``lo-w .. hi+w-1``, from the stored values of slots ``lo-2w+1 .. hi``;
-   they are stored under ``thresholds/batch_id=N`` (latest batch wins per window);
-3. cutoffs are carried over all stored thresholds and the batch is flagged;
-   flags go to ``flags/batch_id=N``.
-
-Every write overwrites its own batch partition, so a replayed batch after a
-failure yields the same state and output.  Rows for slots older than
-``hi_prev - allowed_lateness_slots`` are dropped as late.
+State lives in ``batch_id`` partitions under ``root`` (every write overwrites
+only its own batch, so a batch replayed after a failure leaves the same
+state).  For micro-batch ``N`` with slots ``lo..hi``:
+
+1. rows older than ``max_seen - lateness`` are dropped; the rest are stored
+   under ``values/``;
+2. ``boundary = min(lo, max_seen - lateness) - w``: windows ending before it
+   can no longer change.  Thresholds of windows ``boundary .. hi+w-1`` are
+   recomputed from stored values of slots ``boundary-w+1 .. hi``;
+3. the last non-NULL threshold of a window ending before ``boundary`` (the
+   *carry*) comes from the previous batch's carry and thresholds — one row
+   per category — so a batch never reads the whole history;
+4. cutoffs for ``lo..hi`` = last non-NULL over carry + recomputed thresholds;
+   rows strictly above are flagged into ``flags/``.
 """
 
 from __future__ import annotations
@@ -19,49 +21,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.operators.risk import carried_cutoffs, flag, long_costs, slot_of, window_thresholds  # noqa: F401
+from kestrel.operators.risk import carried_cutoffs, flag, long_costs, slot_of
 from kestrel.operators.topk import kth_largest
 from kestrel.streaming.runner import run_available_now
 
 
-def _latest(t: DataFrame, keys: list[str]) -> DataFrame:
-    """Latest version (highest batch) of every keyed row of a batch-partitioned table."""
-    cols = [c for c in t.columns if c not in set(keys) | {"batch_id"}]
-    return t.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch_id").alias("_r")).select(*keys, "_r.*")
+def _previous_batch(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """Latest batch below ``batch_id`` that wrote ``path`` (empty batches write nothing)."""
+    try:
+        return spark.read.parquet(path).where(F.col("batch_id") < batch_id).select(F.max("batch_id")).first()[0]
+    except Exception:  # nothing written yet
+        return None
 
 
-def risk_flag_batch_fn(spark: SparkSession, root: str, slide_seconds: int, w: int,
-                       allowed_lateness_slots: int | None = None):
-    values, thresholds, flags = f"{root}/values", f"{root}/thresholds", f"{root}/flags"
+def risk_flag_batch_fn(spark: SparkSession, root: str, slide_seconds: int, w: int, lateness_slots: int = 0):
+    values, thresholds, carry, meta, flags = (f"{root}/{d}" for d in ("values", "thresholds", "carry", "meta", "flags"))
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        prev = _previous_batch(spark, meta, batch_id)
         costs = long_costs(batch).withColumn("slot", slot_of("tstamp", slide_seconds))
+        seen = None
+        if prev is not None:
+            seen = spark.read.parquet(f"{meta}/batch_id={prev}").first()["max_seen"]
+            costs = costs.where(F.col("slot") >= seen - lateness_slots)          # late rows
         lo, hi = costs.select(F.min("slot"), F.max("slot")).first()
-        if allowed_lateness_slots is not None and batch_id > 0:
-            try:
-                prev_hi = spark.read.parquet(values).where(F.col("batch_id") < batch_id).select(F.max("slot")).first()[0]
-            except Exception:  # no state yet
-                prev_hi = None
-            if prev_hi is not None:
-                costs = costs.where(F.col("slot") >= prev_hi - allowed_lateness_slots)
+        if lo is None:
+            return
+        max_seen = hi if seen is None else max(seen, hi)
+        boundary = min(lo, max_seen - lateness_slots) - w
         costs.write.mode("overwrite").parquet(f"{values}/batch_id={batch_id}")
+        spark.createDataFrame([(int(max_seen),)], "max_seen long") \
+            .write.mode("overwrite").parquet(f"{meta}/batch_id={batch_id}")
 
         recent = (spark.read.parquet(values)
-                  .where((F.col("batch_id") <= batch_id) & F.col("slot").between(lo - 2 * w + 1, hi))
-                  .drop("batch_id"))
+                  .where((F.col("batch_id") <= batch_id) & F.col("slot").between(boundary - w + 1, hi)))
         ex = recent.select("risk_category", "cost",
                            F.explode(F.sequence("slot", F.col("slot") + (w - 1))).alias("end_slot"))
-        ex = ex.where(F.col("end_slot").between(lo - w, hi + w - 1))
-        thr = kth_largest(ex, ["risk_category", "end_slot"], "cost")
+        thr = kth_largest(ex.where(F.col("end_slot").between(boundary, hi + w - 1)), ["risk_category", "end_slot"],
+                          "cost").select("risk_category", "end_slot", "kth")
         thr.write.mode("overwrite").parquet(f"{thresholds}/batch_id={batch_id}")
+        thr = spark.read.parquet(f"{thresholds}/batch_id={batch_id}")
 
-        cur = _latest(spark.read.parquet(thresholds).where(F.col("batch_id") <= batch_id),
-                      ["risk_category", "end_slot"])
-        cutoffs = carried_cutoffs(cur).where(F.col("end_slot").between(lo, hi))
-        batch_costs = costs.drop("slot")
-        flag(batch_costs, cutoffs, slide_seconds).write.mode("overwrite").parquet(f"{flags}/batch_id={batch_id}")
+        cand_schema = "risk_category string, end_slot long, kth double"
+        cand = spark.createDataFrame([], cand_schema)
+        if prev is not None:
+            cand = cand.unionByName(spark.read.parquet(f"{carry}/batch_id={prev}").select(cand.columns))
+            try:
+                cand = cand.unionByName(spark.read.parquet(f"{thresholds}/batch_id={prev}").select(cand.columns)
+                                        .where(F.col("end_slot") < boundary))
+            except Exception:  # previous batch computed no thresholds
+                pass
+        new_carry = (cand.where(F.col("kth").isNotNull()).groupBy("risk_category")
+                     .agg(F.max_by(F.struct("end_slot", "kth"), "end_slot").alias("c"))
+                     .select("risk_category", "c.end_slot", "c.kth"))
+        new_carry.write.mode("overwrite").parquet(f"{carry}/batch_id={batch_id}")
+        new_carry = spark.read.parquet(f"{carry}/batch_id={batch_id}")
+
+        cutoffs = carried_cutoffs(new_carry.unionByName(thr)).where(F.col("end_slot").between(lo, hi))
+        flag(costs.drop("slot"), cutoffs, slide_seconds).write.mode("overwrite") \
+            .parquet(f"{flags}/batch_id={batch_id}")
 
     return fn
 
@@ -73,4 +93,4 @@ def run_risk_flags(spark: SparkSession, stream: DataFrame, root: str, checkpoint
     return spark.read.parquet(f"{root}/flags").drop("batch_id")
 
 
-__all__ = ["run_risk_flags", "risk_flag_batch_fn", "window_thresholds"]
+__all__ = ["run_risk_flags", "risk_flag_batch_fn"]

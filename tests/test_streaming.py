@@ -34,3 +34,18 @@ def test_replayed_batch_overwrites_its_partition(spark):
     w(df, 1)
     w(df, 1)   # the same batch again after a failure
     assert spark.read.parquet(out).count() == 10
+
+
+def test_streaming_risk_flags_equal_batch_with_many_batches_and_gaps(spark, sf_dir):
+    from kestrel.operators.risk import risk_flags
+    from kestrel.sources import tables as TB
+    from kestrel.streaming.risk import run_risk_flags
+    cust = TB.customers(spark, sf_dir).select("tstamp", "nino", "housing", "childcare")
+    src = scratch_path(spark, "risk-many")
+    RN.stage_files(cust, src, "tstamp", 8)
+    key = ["tstamp", "nino", "risk_category", "cost"]
+    for slide, w in [(3600, 3), (6 * 3600, 10), (1800, 24)]:
+        stream = RN.file_stream(spark, src, cust.schema)
+        got = run_risk_flags(spark, stream, scratch_path(spark, "risk-state"), scratch_path(spark, "risk-ck"), slide, w)
+        want = risk_flags(cust, slide, w)
+        assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, want.select(key).collect()))

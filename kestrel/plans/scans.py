@@ -196,3 +196,29 @@ def encode_delimited(spark, sf_dir):
 def encode_json_array(spark, sf_dir):
     c = TB.table(spark, sf_dir, "customer")
     return W.encode_json_array(c, ["c_custkey", "c_name", "c_mktsegment"])
+
+
+_SPACE_SCHEMA = T.StructType([T.StructField("user", T.IntegerType()), T.StructField("artist", T.IntegerType()),
+                              T.StructField("plays", T.LongType())])
+
+
+@query("space_delimited_stats", TB.with_views("""
+    WITH p AS (SELECT "user", item AS artist, count(*) AS plays FROM ratings GROUP BY "user", item)
+    SELECT 'user' AS field, count("user") AS "count", round(avg("user"), 6) AS mean, round(stddev_pop("user"), 6) AS stdev,
+           max("user") AS "max", min("user") AS "min" FROM p
+    UNION ALL
+    SELECT 'artist', count(artist), round(avg(artist), 6), round(stddev_pop(artist), 6), max(artist), min(artist) FROM p""",
+    "ratings"))
+def space_delimited_stats(spark, sf_dir):
+    """Space-delimited ``user artist plays`` lines → stats of the first two fields."""
+    from kestrel.operators.stats import numeric_stats
+    plays = TB.ratings(spark, sf_dir).groupBy("user", F.col("item").alias("artist")).agg(F.count("*").alias("plays"))
+    path = scratch_path(spark, "user-artist")
+    W.write_delimited_text(plays, path, ["user", "artist", "plays"], " ")
+    d = spark.read.schema(_SPACE_SCHEMA).option("sep", " ").csv(path)
+    out = None
+    for c in ("user", "artist"):
+        s = numeric_stats(d, c).select(F.lit(c).alias("field"), "count", F.round("mean", 6).alias("mean"),
+                                       F.round("stdev", 6).alias("stdev"), "max", "min")
+        out = s if out is None else out.unionByName(s)
+    return out

@@ -184,19 +184,27 @@ def wordcount_app(spark: SparkSession, source: DataFrame, out: str, checkpoint:
 # ---------------------------------------------------------------- rail feed, tweets, churn
 def rail_feed_app(spark: SparkSession, source: DataFrame, out_root: str, checkpoint: str,
                   processing_time: str | None = None):
-    """Append parsed forecast edges, schedule vertices/edges and tombstones per batch;
-    ``rail_current_graph`` derives the live graph from them."""
+    """Parse each micro-batch of rail XML once and append typed tables:
+    ``forecast_edges/``, ``schedule_edges/``, ``vertex_events/`` (batch-partitioned,
+    idempotent on replay).  ``rail_current_graph`` derives the live graph."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        batch.select("value").write.mode("overwrite").parquet(f"{out_root}/messages/batch_id={batch_id}")
+        parsed = RL.parse_messages(batch).persist()
+        for name, df in (("forecast_edges", RL.forecast_edges(parsed)),
+                         ("schedule_edges", RL.schedule_edges(parsed)),
+                         ("vertex_events", RL.vertex_events(parsed))):
+            df.write.mode("overwrite").parquet(f"{out_root}/{name}/batch_id={batch_id}")
+        parsed.unpersist()
 
     return RN.start(source, per_batch, checkpoint, processing_time=processing_time)
 
 
 def rail_current_graph(spark: SparkSession, out_root: str) -> tuple[DataFrame, DataFrame]:
-    parsed = RL.parse_messages(spark.read.parquet(f"{out_root}/messages"))
-    return RL.current_vertices(parsed), RL.current_edges(parsed)
+    """Live vertices and their latest forecast edges from the typed feed tables."""
+    live = RL.latest_vertices(spark.read.parquet(f"{out_root}/vertex_events").drop("batch_id"))
+    edges = spark.read.parquet(f"{out_root}/forecast_edges").drop("batch_id")
+    return live, RL.latest_edges(edges, live)
 
 
 def tweets_job(spark: SparkSession, pages_path: str, out_path: str, one_file_per_page: bool = False) -> DataFrame:

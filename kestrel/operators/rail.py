@@ -121,30 +121,40 @@ def schedule_edges(parsed: DataFrame) -> DataFrame:
                     p["_act"].alias("act"), "msg_ts", "seq")
 
 
-def current_vertices(parsed: DataFrame) -> DataFrame:
-    """Latest-wins per ``rid`` over schedule upserts and deactivation tombstones.
-
-    One pass: every schedule or deactivation becomes a ``(rid, at, vertex)``
-    record (a tombstone has ``live = false``); ``max_by`` keeps the latest per
-    train and aggregates partially before the shuffle, so a busy train id
-    costs no single task.
-    """
+def vertex_events(parsed: DataFrame) -> DataFrame:
+    """Schedule upserts and deactivation tombstones as ``(rid, at, v)`` records
+    (a tombstone has ``v.live = false``)."""
     s = F.col("msg")["uR"]["schedule"]
     d = F.col("msg")["uR"]["deactivated"]
-    rec = parsed.where(s.isNotNull() | d.isNotNull()).select(
+    return parsed.where(s.isNotNull() | d.isNotNull()).select(
         F.coalesce(s["_rid"], d["_rid"]).alias("rid"),
         F.struct(F.col("msg")["_ts"].alias("msg_ts"), F.col("msg")["_seq"].cast("long").alias("seq")).alias("at"),
         F.struct(s.isNotNull().alias("live"), s["_trainId"].alias("headcode"), s["_toc"].alias("toc"),
                  s["_ssd"].alias("ssd"), s["_uid"].alias("uid"), s["_trainCat"].alias("train_cat")).alias("v"))
-    latest = rec.groupBy("rid").agg(F.max_by("v", "at").alias("v"))
+
+
+def latest_vertices(events: DataFrame) -> DataFrame:
+    """Latest-wins per ``rid``; ``max_by`` aggregates partially before the
+    shuffle, so a busy train id costs no single task.  Tombstoned trains drop."""
+    latest = events.groupBy("rid").agg(F.max_by("v", "at").alias("v"))
     return latest.where(F.col("v.live")).select("rid", "v.headcode", "v.toc", "v.ssd", "v.uid", "v.train_cat")
 
 
-def current_edges(parsed: DataFrame) -> DataFrame:
-    """Forecast edges, latest per edge id, of trains whose vertex is live."""
-    e = forecast_edges(parsed)
-    cols = [c for c in e.columns if c != "edge_id"]
+def current_vertices(parsed: DataFrame) -> DataFrame:
+    """Live schedule vertices after upserts and deactivations (one pass over the messages)."""
+    return latest_vertices(vertex_events(parsed))
+
+
+def latest_edges(edges: DataFrame, live: DataFrame) -> DataFrame:
+    """Latest version of every forecast edge whose train vertex is live."""
+    cols = [c for c in edges.columns if c != "edge_id"]
     # max_by aggregates partially before the shuffle: a hot edge id costs no single task
-    latest = (e.groupBy("edge_id").agg(F.max_by(F.struct(*cols), F.struct("msg_ts", "seq")).alias("e"))
+    latest = (edges.groupBy("edge_id").agg(F.max_by(F.struct(*cols), F.struct("msg_ts", "seq")).alias("e"))
               .select("edge_id", "e.*"))
-    return latest.join(current_vertices(parsed).select("rid"), "rid", "left_semi")
+    return latest.join(live.select("rid"), "rid", "left_semi")
+
+
+def current_edges(parsed: DataFrame) -> DataFrame:
+    """Forecast edges, latest per edge id, of trains whose vertex is live."""
+    return latest_edges(forecast_edges(parsed), current_vertices(parsed))
+

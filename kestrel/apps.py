@@ -21,7 +21,7 @@ from kestrel.operators import mileage as M
 from kestrel.operators import rail as RL
 from kestrel.operators import stats as S
 from kestrel.operators.risk import risk_flags
-from kestrel.session import scratch_path, shared_dir
+from kestrel.session import shared_dir
 from kestrel.sinks import files as W
 from kestrel.sinks.index import index_writer
 from kestrel.sources import readers as R
@@ -242,4 +242,4 @@ def churn_app(spark: SparkSession, source: DataFrame, table_path: str, checkpoin
 
 __all__ = ["mileage_job", "als_tuning_job", "implicit_job", "rating_stream_app", "risk_app", "risk_batch",
            "wordcount_app", "rail_feed_app", "rail_current_graph", "tweets_job", "churn_app",
-           "parse_customer_messages", "parse_churn_messages", "scratch_path"]
+           "parse_customer_messages", "parse_churn_messages"]

@@ -6,7 +6,6 @@ oracle is the batch meaning of the same job, so a match means streaming = batch.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kestrel.functions.parse import name_fields, split_literal, typed_customer
 from kestrel.operators import stats as S

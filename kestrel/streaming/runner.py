@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.session import scratch_path
@@ -146,4 +146,4 @@ def ntz(col) -> Column:
 
 
 __all__ = ["stream_source", "stage_files", "file_stream", "run_available_now", "batch_partition_writer",
-           "read_changelog", "run_update_aggregate", "run_append", "materialize", "start", "event_time", "ntz", "Window"]
+           "read_changelog", "run_update_aggregate", "run_append", "materialize", "start", "event_time", "ntz"]

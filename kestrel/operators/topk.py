@@ -28,49 +28,45 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
 
 
 def kth_largest(df: DataFrame, group: Sequence[str], value: str, k: Column | None = None,
-                bins: int = 32, accuracy: int = 1000, sample_fraction: float | None = None,
-                seed: int = 17) -> DataFrame:
+                bins: int = 32, accuracy: int = 1000, levels: int = 2) -> DataFrame:
     """Exact k-th largest ``value`` per group (duplicates count), ``k = floor(n/10)`` by default.
 
     Returns ``group..., n, k, kth`` with ``kth`` NULL when ``k`` is 0 or exceeds ``n``.
-    Values are first binned at approximate quantile split points; exact bin
-    counts locate the bin holding rank ``k``; only the rows of that one bin are
-    ranked.  No task sees more than about ``n / bins`` rows of a group.
 
-    As in Spark's range partitioner, the split points are sketched from a
-    Bernoulli sample (``sample_fraction``): they only decide where bins start.
-    Every row is still counted and ranked, so the result is exact whatever the
-    sample; a poor sample only makes the chosen bin larger.
+    Each level bins the candidate rows at approximate quantile split points of
+    the group (``percentile_approx``), counts every bin exactly, and keeps only
+    the bin that holds rank ``k`` (``k`` becomes the rank inside it).  After
+    ``levels`` levels the surviving bin is ranked — or, when it holds a single
+    value (a mass of duplicates), that value is the answer without ranking.
+    No task sees more than about ``n / bins**levels`` rows of a group.
     """
     group = list(group)
     probs = [i / bins for i in range(1, bins)]
-    if sample_fraction is None:
-        stats = df.groupBy(*group).agg(F.count(value).alias("n"),
-                                       F.percentile_approx(value, probs, accuracy).alias("_splits"))
-    else:
-        splits = (df.sample(False, sample_fraction, seed).groupBy(*group)
-                  .agg(F.percentile_approx(value, probs, accuracy).alias("_splits")))
-        stats = (df.groupBy(*group).agg(F.count(value).alias("n")).join(splits, group, "left")
-                 .withColumn("_splits", F.coalesce("_splits", F.array().cast("array<double>"))))
+    cand = df.select(*group, value)
+    sketch = F.array_distinct(F.percentile_approx(value, probs, accuracy)).alias("_splits")
+    first = cand.groupBy(*group).agg(F.count(value).alias("n"), sketch)     # count and level-1 sketch, one pass
     kcol = k if k is not None else F.floor(F.col("n") / 10)
-    stats = stats.withColumn("k", kcol.cast("long"))
-    # bin index = number of distinct split points strictly below the value.
-    # (Re-reading the narrow input for the bin counts and for the chosen bin is
-    # cheaper than shuffling every row once more.)
-    binned = (df.select(*group, value)
-              .join(stats.select(*group, F.array_distinct("_splits").alias("_splits")), group)
-              .withColumn("_bin", F.size(F.filter("_splits", lambda s: s < F.col(value))))
-              .drop("_splits"))
-    counts = binned.groupBy(*group, "_bin").agg(F.count(value).alias("_c"))
-    wdesc = Window.partitionBy(*group).orderBy(F.desc("_bin"))
-    counts = (counts.withColumn("_above", F.coalesce(F.sum("_c").over(
-        wdesc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("_upto", F.col("_above") + F.col("_c")))
-    target = (counts.join(stats.select(*group, "k"), group)
-              .where((F.col("k") > F.col("_above")) & (F.col("k") <= F.col("_upto")))
-              .select(*group, "_bin", (F.col("k") - F.col("_above")).alias("_kin")))
-    inbin = binned.join(target, group + ["_bin"])
-    wv = Window.partitionBy(*group, "_bin").orderBy(F.desc(value))
-    picked = (inbin.withColumn("_r", F.row_number().over(wv))
-              .where(F.col("_r") == F.col("_kin")).select(*group, F.col(value).alias("kth")))
-    return stats.select(*group, "n", "k").join(picked, group, "left")
+    first = first.withColumn("k", kcol.cast("long"))
+    stats = first.select(*group, "n", "k")
+    want = stats.select(*group, "k")                  # rank sought among the candidates
+    for level in range(levels):
+        splits = first.select(*group, "_splits") if level == 0 else cand.groupBy(*group).agg(sketch)
+        binned = (cand.join(splits, group)
+                  .withColumn("_bin", F.size(F.filter("_splits", lambda s: s < F.col(value))))
+                  .drop("_splits"))
+        counts = binned.groupBy(*group, "_bin").agg(F.count(value).alias("_c"), F.min(value).alias("_lo"),
+                                                    F.max(value).alias("_hi"))
+        wdesc = Window.partitionBy(*group).orderBy(F.desc("_bin"))
+        counts = counts.withColumn("_above", F.coalesce(F.sum("_c").over(
+            wdesc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        target = (counts.join(want.select(*group, "k"), group)
+                  .where((F.col("k") > F.col("_above")) & (F.col("k") <= F.col("_above") + F.col("_c")))
+                  .select(*group, "_bin", (F.col("k") - F.col("_above")).alias("k"), "_lo", "_hi"))
+        cand = binned.join(target.select(*group, "_bin"), group + ["_bin"]).select(*group, value)
+        want = target.select(*group, "k", "_lo", "_hi")
+    single = want.where(F.col("_lo") == F.col("_hi")).select(*group, F.col("_lo").alias("kth"))
+    rest = want.where(F.col("_lo") != F.col("_hi")).select(*group, "k")
+    wv = Window.partitionBy(*group).orderBy(F.desc(value))
+    ranked = (cand.join(rest, group).withColumn("_r", F.row_number().over(wv))
+              .where(F.col("_r") == F.col("k")).select(*group, F.col(value).alias("kth")))
+    return stats.join(single.unionByName(ranked), group, "left").select(*group, "n", "k", "kth")

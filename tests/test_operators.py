@@ -152,3 +152,18 @@ def test_carried_cutoffs_epochs_equal_single_pass(spark):
         prev = [k for cc, ee, k in rows if cc == c and ee < e and k is not None]
         last = max(((ee, k) for cc, ee, k in rows if cc == c and ee < e and k is not None), default=(None, None))[1]
         assert cut == (last if prev else None)
+
+
+def test_kth_largest_multi_level_and_duplicate_mass(spark):
+    rng = random.Random(21)
+    rows = [("dup", 7.0) for _ in range(500)]                                   # one value only
+    rows += [("mix", float(rng.choice([1, 2, 2, 3, 3, 3, 50]))) for _ in range(800)]
+    rows += [("wide", rng.random() * 1e6) for _ in range(1500)]
+    rows += [("tiny", 1.0), ("tiny", 2.0)]                                       # k = 0
+    df = spark.createDataFrame(rows, "g string, v double")
+    for levels, bins in [(1, 4), (3, 4), (2, 32)]:
+        got = {r.g: (r.k, r.kth) for r in kth_largest(df, ["g"], "v", bins=bins, levels=levels).collect()}
+        for g in ("dup", "mix", "wide", "tiny"):
+            vals = sorted((v for gg, v in rows if gg == g), reverse=True)
+            k = len(vals) // 10
+            assert got[g] == (k, vals[k - 1] if k else None), (levels, bins, g)

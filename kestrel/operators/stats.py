@@ -58,3 +58,18 @@ def rmse(preds: DataFrame, data: DataFrame) -> DataFrame:
     agg = j.agg(F.sum(sq).alias("sse"), F.count("prediction").alias("n_joined"),
                 F.count("*").alias("n_input"))
     return agg.select(F.sqrt(F.col("sse") / F.col("n_input")).alias("rmse"), "n_joined", "n_input")
+
+
+def hash_split(df: DataFrame, keys: list[str], weights: list[float], seed: int = 42) -> list[DataFrame]:
+    """Deterministic split by a hash of ``keys`` (a repeatable ``randomSplit``).
+
+    A row's part depends only on its key values, never on partitioning or
+    order, so a recomputation after an executor loss yields the same rows.
+    """
+    total = float(sum(weights))
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(10000)) / 10000.0
+    edges, acc = [], 0.0
+    for w in weights:
+        edges.append((acc / total, (acc + w) / total))
+        acc += w
+    return [df.where((bucket >= lo) & (bucket < hi)) for lo, hi in edges]

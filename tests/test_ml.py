@@ -52,3 +52,12 @@ def test_rmse_of_mean_predictor_is_population_stddev(spark, sf_dir):
 def test_split_counts_sum_to_total(spark, sf_dir):
     s = S.dataset_summary(S.split_by_digit(TB.ratings(spark, sf_dir))).first()
     assert s.n_train + s.n_validation + s.n_test == s.n_ratings
+
+
+def test_hash_split_is_a_partition_and_repeatable(spark, sf_dir):
+    r = TB.ratings(spark, sf_dir).select("user", "item", "rating", "ts").distinct()
+    parts = S.hash_split(r, ["user", "item", "ts"], [0.8, 0.1, 0.1])
+    counts = [p.count() for p in parts]
+    assert sum(counts) == r.count() and counts[0] > counts[1]
+    again = S.hash_split(r.repartition(7), ["user", "item", "ts"], [0.8, 0.1, 0.1])
+    assert sorted(map(tuple, parts[1].collect())) == sorted(map(tuple, again[1].collect()))

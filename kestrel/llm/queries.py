@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat_format, quality_rules, secret_scan, sentencepiece_codec, token_counts
-from kestrel.llm.tables import read
+from kestrel.llm import chat_format, ngram_join, quality_rules, secret_scan, sentencepiece_codec, token_counts
+from kestrel.llm.tables import make_importable, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +18,11 @@ ORACLES: dict[str, str] = {}
 
 def _query(name: str, oracle: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            make_importable(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -107,3 +112,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.apply_policy(rows, "base-v1", "base_ok")
     rows = quality_rules.apply_policy(rows, "default-v1", "kept")
     return rows.select("doc_id", *quality_rules.MEASURES, "failures", (~F.col("base_ok")).alias("base_failed"), "kept")
+
+
+@_query("op10_ngram_join")
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and near-duplicate component of every document."""
+    return ngram_join.ngram_components(read(spark, sf_dir, "documents"), n=5)

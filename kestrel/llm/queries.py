@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat_format, ngram_join, quality_rules, secret_scan, sentencepiece_codec, token_counts
+from kestrel.llm import chat_format, mixing, ngram_join, pii, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
 from kestrel.llm.tables import make_importable, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,40 @@ def _query(name: str, oracle: str | None = None):
     return add
 
 
+# Production mix: the largest source at the weight of two, the others alike.
+MIX_WEIGHTS = {"src0": 2.0}
+MIX_SEED = 11
+
+_OP1_SQL = """
+WITH RECURSIVE size AS (
+  SELECT source, count(*) AS n, sum(coalesce(length(text), 0)) AS chars FROM documents GROUP BY source),
+w AS (SELECT source, chars, CASE WHEN chars = 0 THEN 0.0::DOUBLE WHEN source = 'src0' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM size),
+tot AS (SELECT sum(weight) AS tw, sum(chars) AS tc FROM w WHERE weight > 0),
+rates AS (SELECT source, CASE WHEN weight > 0 THEN weight / tw * (1.0::DOUBLE * tc) / chars ELSE 0.0::DOUBLE END AS rate FROM w, tot),
+parts AS (SELECT source, rate, greatest(1, ceil(rate / 8.0))::BIGINT AS draws FROM rates),
+steps AS (
+  SELECT source, draws, rate / draws AS r, 0 AS k, exp(-(rate / draws)) AS p, exp(-(rate / draws)) AS c FROM parts
+  UNION ALL SELECT source, draws, r, k + 1, p * r / (k + 1), c + p * r / (k + 1) FROM steps WHERE k < 40),
+u AS (
+  SELECT d.doc_id, d.source, p.rate, i,
+         ((('0x' || substr(md5('count:11:' || i || ':' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT)::DOUBLE + 0.5)
+           / 4503599627370496.0::DOUBLE AS u
+  FROM documents d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source, generate_series(1, p.draws) g(i)),
+n AS (
+  SELECT doc_id, any_value(u.source) AS source, any_value(rate) AS rate, count(s.k) AS copies
+  FROM u LEFT JOIN steps s ON s.source IS NOT DISTINCT FROM u.source AND s.c <= u.u GROUP BY doc_id)
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, j::INT AS copy_no, copies::INT AS copies, rate,
+       ('0x' || substr(md5('order:11:' || j || ':' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS shuffle_key
+FROM documents d JOIN n USING (doc_id), generate_series(1, copies) g(j)
+"""
+
+
+@_query("op1_mix_sources", _OP1_SQL)
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents repeated to the target weights of their sources, globally shuffled."""
+    return mixing.mix(read(spark, sf_dir, "documents"), MIX_WEIGHTS, seed=MIX_SEED)
+
+
 @_query("op2_sentencepiece")
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; digests of ids, decoded text and source spans."""
@@ -36,6 +70,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_decode_digests(docs, "piece_bpe_32k.model")
 
 
+@_query("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document."""
+    return pii.find_pii(read(spark, sf_dir, "documents"))
+
+
 @_query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes, tokens and the over-limit flag of every document."""
@@ -74,6 +114,13 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(table.unionByName(extra.select(*chat_format.CANONICAL))))
 
 
+@_query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score, verdict and offending offsets of every document, learned from labelled ones."""
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(spark, docs, read(spark, sf_dir, "labels")))
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 _OP9_SQL = rf"""

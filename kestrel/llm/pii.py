@@ -39,37 +39,59 @@ def _text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
-def prefix_sums(values: Column, block: int = 256) -> Column:
+def let(value: Column, body) -> Column:
+    """``body`` of the value, evaluated once (a column used inside a lambda would be evaluated per element)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(a: Column, start: Column) -> Column:
+    empty = F.array().cast("array<bigint>")
+    return F.aggregate(
+        a, F.struct(start.alias("total"), empty.alias("out")),
+        lambda acc, x: F.struct((acc["total"] + x).alias("total"),
+                                F.concat(acc["out"], F.array(acc["total"] + x)).alias("out")),
+        lambda acc: acc["out"])
+
+
+def prefix_sums(values: Column, block: int = 128) -> Column:
     """Running totals of an array of longs.
 
-    Two levels of blocks keep the copying of growing arrays linear in practice
-    also for texts with very many matches.
+    Arrays grow by copying, so long ones are summed in blocks: the cost per value
+    is that of a block, not of the whole array.
     """
-    def running(a: Column, start: Column) -> Column:
-        empty = F.array().cast("array<bigint>")
-        return F.aggregate(
-            a, F.struct(start.alias("total"), empty.alias("out")),
-            lambda acc, x: F.struct((acc["total"] + x).alias("total"),
-                                    F.concat(acc["out"], F.array(acc["total"] + x)).alias("out")),
-            lambda acc: acc["out"])
     zero = F.lit(0).cast("long")
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int")),
-                         lambda b: F.slice(values, b * block + 1, block))
-    totals = running(F.transform(blocks, lambda b: F.aggregate(b, zero, lambda s, x: s + x)), zero)
-    whole = F.flatten(F.transform(blocks, lambda b, i: running(b, F.when(i > 0, F.element_at(totals, i)).otherwise(zero))))
-    return F.when(F.size(values) <= 0, F.array().cast("array<bigint>")).when(
-        F.size(values) <= block, running(values, zero)).otherwise(whole)
 
+    def blocked(v: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / block).cast("int")),
+                             lambda b: F.slice(v, b * block + 1, block))
+        return let(blocks, lambda bs: let(
+            _running(F.transform(bs, lambda b: F.aggregate(b, zero, lambda t, x: t + x)), zero),
+            lambda totals: F.flatten(F.transform(bs, lambda b, i: _running(
+                b, F.when(i > 0, F.get(totals, i - 1)).otherwise(zero))))))
+    return let(values, lambda v: F.when(F.size(v) <= block, _running(v, zero)).otherwise(blocked(v)))
+
+
+def match_spans(text: Column, shape: str, with_before: bool = False) -> Column:
+    """Leftmost non-overlapping matches as ``array<struct<s, e, m>>`` in code points, end exclusive.
 
-def match_spans(text: Column, shape: str) -> Column:
-    """Leftmost non-overlapping matches as ``array<struct<s, e, m>>`` in code points, end exclusive."""
+    ``with_before`` adds ``b``, the last 64 characters between the previous match and this one.
+    """
     found = F.regexp_extract_all(text, F.lit(shape), F.lit(0))
     between = F.split(text, shape, -1)                             # one more piece than matches
-    steps = F.transform(found, lambda m, i: (F.char_length(between[i]) + F.when(
-        i > 0, F.char_length(found[i - 1])).otherwise(0)).cast("long"))
-    starts = prefix_sums(steps)
-    return F.transform(found, lambda m, i: F.struct(
-        starts[i].alias("s"), (starts[i] + F.char_length(m)).alias("e"), m.alias("m")))
+
+    def placed(v: Column) -> Column:
+        steps = F.transform(v["found"], lambda m, i: (F.char_length(v["between"][i]) + F.when(
+            i > 0, F.char_length(v["found"][i - 1])).otherwise(0)).cast("long"))
+
+        def spans(starts: Column) -> Column:
+            def one(m, i):
+                fields = [starts[i].alias("s"), (starts[i] + F.char_length(m)).alias("e"), m.alias("m")]
+                if with_before:
+                    fields.append(F.right(v["between"][i], F.lit(64)).alias("b"))
+                return F.struct(*fields)
+            return F.transform(v["found"], one)
+        return let(prefix_sums(steps), spans)
+    return let(F.struct(found.alias("found"), between.alias("between")), placed)
 
 
 def _luhn(digits: Column) -> Column:
@@ -103,12 +125,6 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(could, F.filter(match_spans(text, SHAPES[kind]), lambda x: _passes(kind, x["m"]))).otherwise(none)
 
 
-def with_base(docs: DataFrame, text_col: str = "text", prefix: str = "__") -> DataFrame:
-    """Add one array of spans per base kind (``__email``, ...)."""
-    t = _text(F.col(text_col))
-    return docs.select("*", *[base_spans(t, k).alias(prefix + k) for k in BASE_KINDS])
-
-
 # ---------------------------------------------------------------- contexts
 @dataclass(frozen=True)
 class Bootstrap:
@@ -125,39 +141,43 @@ class Bootstrap:
     min_length: int = 4
 
 
-def row_key(id_col: str, text_col: str) -> Column:
-    """What makes two rows the same for this operator: id and text (hashed)."""
-    return F.struct(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("h"))
+def _tokens(text: Column, seeds: Column) -> Column:
+    """Identifier tokens as ``array<struct<token, s, e, before, seed>>``.
+
+    A token is trimmed of punctuation at its ends; one that touches a base span
+    is a seed; ``before`` is the lower-case word ahead of it, if it holds a letter
+    and no digit.
+    """
+    def one(x: Column, own: Column) -> Column:
+        lead = F.char_length(F.regexp_extract(x["m"], r"^([\p{Punct}&&[^+@]]*)", 1))
+        bare = F.regexp_replace(F.regexp_replace(x["m"], r"^[\p{Punct}&&[^+@]]+", ""), r"(?<!\p{Punct})\p{Punct}++$", "")
+        word = F.lower(F.regexp_extract(x["b"], r"([^\s0-9]*\p{L}[^\s0-9]*)\s+$", 1))
+        start = x["s"] + lead
+        return F.struct(bare.alias("token"), start.alias("s"), (start + F.char_length(bare)).alias("e"),
+                        F.when(F.char_length(word).between(1, 40), word).alias("before"),
+                        F.exists(own, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])).alias("seed"))
+    return let(seeds, lambda own: F.transform(match_spans(text, _TOKEN, with_before=True), lambda x: one(x, own)))
 
 
-def occurrences(based: DataFrame, text_col: str = "text") -> DataFrame:
-    """Identifier tokens with their places, seed kind (or null) and the word before.
+def survey(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row without its text: ``id, h`` (hash of the text), base spans and identifier tokens.
 
-    Only texts that hold an identifier character are opened.  A token is trimmed
-    of punctuation at its ends; one that touches a base span is a seed.
+    Written to shared storage, so texts are matched once.
     """
-    t = _text(F.col(text_col))
-    seeds = F.flatten(F.array(*[F.transform(F.col("__" + k), lambda x, k=k: F.struct(
-        x["s"].alias("s"), x["e"].alias("e"), F.lit(k).alias("kind"))) for k in BASE_KINDS]))
-    some = based.where(F.col(text_col).rlike("[0-9@]")).select(
-        "__row", t.alias("__t"), seeds.alias("__seeds"), match_spans(t, _TOKEN).alias("__tokens"),
-        F.split(t, _TOKEN, -1).alias("__between"))
-    each = some.select("__row", "__seeds", "__between", F.posexplode("__tokens").alias("__i", "__m"))
-    lead = F.char_length(F.regexp_extract("__m.m", r"^([\p{Punct}&&[^+@]]*)", 1))
-    bare = F.regexp_replace(F.regexp_replace("__m.m", r"^[\p{Punct}&&[^+@]]+", ""), r"[\p{Punct}]+$", "")
-    before = F.element_at("__between", F.col("__i") + 1)
-    tail = F.regexp_replace(F.substring(before, F.greatest(F.lit(1), F.char_length(before) - 63), F.lit(64)), r"\s+$", "")
-    word = F.lower(F.regexp_extract(tail, r"(\S+)$", 1))
-    start = F.col("__m.s") + lead
-    placed = each.select("__row", "__seeds", bare.alias("token"), start.alias("s"),
-                         (start + F.char_length(bare)).alias("e"),
-                         F.when(F.char_length(word).between(1, 40), word).alias("before"))
-    kind = F.get(F.filter("__seeds", lambda x: (x["s"] < F.col("e")) & (F.col("s") < x["e"])), F.lit(0))["kind"]
-    return placed.where("token != ''").select("__row", "token", "s", "e", "before", kind.alias("seed"))
-
-
-def score_graph(spark: SparkSession, found: DataFrame, context_words: DataFrame, b: Bootstrap) -> DataFrame:
-    """Confident patterns ``before, confidence`` after the rounds.
+    t = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(t).alias("h"), t.alias("t"),
+                       *[base_spans(_text(t), k).alias(k) for k in BASE_KINDS])
+    seeds = F.flatten(F.array(*[F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+                                for k in BASE_KINDS]))
+    tokens = F.when(F.col("t").rlike("[0-9@]"), _tokens(F.col("t"), seeds))
+    slim = [F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in BASE_KINDS]
+    path = scratch_path(docs.sparkSession, "pii-survey")
+    rows.select("id", "h", *slim, tokens.alias("tokens")).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def score_graph(spark: SparkSession, found: DataFrame, context_words: DataFrame, b: Bootstrap) -> tuple[DataFrame, DataFrame]:
+    """Confident patterns ``before, confidence`` and the instances they introduce, ``token, score``.
 
     ``found`` holds the pattern-instance edges (with repeats), ``context_words``
     how often each word occurs at all (``before, n``).  A pattern's confidence is
@@ -167,7 +187,7 @@ def score_graph(spark: SparkSession, found: DataFrame, context_words: DataFrame,
     edge table, written to shared storage.
     """
     edges = found.where("before IS NOT NULL").groupBy("before", "token").agg(
-        F.count("*").alias("n"), F.max(F.col("seed").isNotNull().cast("int")).alias("is_seed"))
+        F.count("*").alias("n"), F.max(F.col("seed").cast("int")).alias("is_seed"))
     path = scratch_path(spark, "pii-edges")
     edges.write.parquet(path)
     edges = spark.read.parquet(path)
@@ -189,29 +209,21 @@ def score_graph(spark: SparkSession, found: DataFrame, context_words: DataFrame,
         patterns = spark.read.parquet(path)
         score = edges.where("is_seed = 0").join(patterns, "before").groupBy("token").agg(
             (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))))).alias("score"))
-    return patterns
-
+    return patterns, score
 
-def context_spans(spark: SparkSession, docs: DataFrame, b: Bootstrap = Bootstrap(), id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """``id, h, spans``: the spans that confident patterns add, per distinct (id, text).
 
-    ``spans`` is ``array<struct<s, e>>`` sorted by start.
-    """
-    based = with_base(docs.select(row_key(id_col, text_col).alias("__row"), F.col(text_col).cast("string").alias("__text")),
-                      "__text")
-    path = scratch_path(spark, "pii-occurrences")
-    occurrences(based, "__text").write.parquet(path)
-    found = spark.read.parquet(path)
+def context_spans(docs: DataFrame, surveyed: DataFrame, b: Bootstrap = Bootstrap(), text_col: str = "text") -> DataFrame:
+    """``id, h, context``: the spans that confident patterns add, per distinct (id, text hash), sorted by start."""
+    spark = docs.sparkSession
+    found = surveyed.where("tokens IS NOT NULL").select("id", "h", F.explode("tokens").alias("x")).select("id", "h", "x.*")
     # how often a context word occurs at all, in the texts that hold identifiers
     words = (docs.select(F.col(text_col).cast("string").alias("t")).where(F.col("t").rlike("[0-9@]"))
              .select(F.explode(F.split(F.lower("t"), r"\s+")).alias("before")).groupBy("before").agg(F.count("*").alias("n")))
-    patterns = score_graph(spark, found, words, b)
-    new = (found.where(F.col("seed").isNull() & (F.char_length("token") >= b.min_length))
-           .join(patterns, "before").withColumn("score", F.col("confidence")).where(F.col("score") >= b.min_score))
-    new = new.groupBy("__row").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("spans"))
+    patterns, score = score_graph(spark, found, words, b)
+    new = (found.where(~F.col("seed") & (F.char_length("token") >= b.min_length)).join(patterns.select("before"), "before")
+           .join(score.where(F.col("score") >= b.min_score), "token"))
     path = scratch_path(spark, "pii-context")
-    new.select("__row.id", "__row.h", "spans").write.parquet(path)
+    new.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("context")).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -219,13 +231,6 @@ def _joined(kind: str, spans: Column) -> Column:
     return F.transform(spans, lambda x: F.concat_ws(":", F.lit(kind), x["s"].cast("string"), x["e"].cast("string")))
 
 
-def _with_context(docs: DataFrame, more: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Docs with the base arrays and ``__context``; the few rows with added spans are joined by id and text hash."""
-    m = more.select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("spans").alias("__context"))
-    return docs.join(m, F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-                     & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__h")), "left").drop("__id", "__h")
-
-
 def find_pii(docs: DataFrame, bootstrap: Bootstrap = Bootstrap(), id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """Personal data of every whole text, one row per input row.
@@ -236,18 +241,17 @@ def find_pii(docs: DataFrame, bootstrap: Bootstrap = Bootstrap(), id_col: str =
     text has no spans; ids may be null or repeat; other columns are not read; an
     empty table gives an empty result.
     """
-    spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    more = context_spans(spark, own, bootstrap, "doc_id", "text")
-    slim = with_base(own).withColumn("__h0", F.xxhash64("text")).drop("text")
-    m = more.select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("spans").alias("__context"))
-    rows = slim.join(m, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h0") == F.col("__h")), "left")
-    base = F.concat_ws(",", F.flatten(F.array(*[_joined(k, F.col("__" + k)) for k in BASE_KINDS])))
-    context = F.coalesce(_joined("context", F.col("__context")), F.array().cast("array<string>"))
-    every = F.concat_ws(",", F.flatten(F.array(*[_joined(k, F.col("__" + k)) for k in BASE_KINDS], context)))
+    rows = survey(own)
+    more = context_spans(own, rows, bootstrap)
+    rows = rows.drop("tokens").alias("l").join(
+        more.alias("r"), F.col("l.id").eqNullSafe(F.col("r.id")) & (F.col("l.h") == F.col("r.h")), "left")
+    listed = [_joined(k, F.col("l." + k)) for k in BASE_KINDS]
+    context = F.coalesce(_joined("context", F.col("r.context")), F.array().cast("array<string>"))
     return rows.select(
-        "doc_id", *[F.size("__" + k).cast("long").alias("n_" + k) for k in BASE_KINDS],
-        F.sha2(base, 256).alias("base_sha256"), every.alias("spans"), F.size(context).cast("long").alias("n_context"))
+        F.col("l.id").alias("doc_id"), *[F.size("l." + k).cast("long").alias("n_" + k) for k in BASE_KINDS],
+        F.sha2(F.concat_ws(",", F.flatten(F.array(*listed))), 256).alias("base_sha256"),
+        F.concat_ws(",", F.flatten(F.array(*listed, context))).alias("spans"), F.size(context).cast("long").alias("n_context"))
 
 
 def redact(docs: DataFrame, bootstrap: Bootstrap = Bootstrap(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,23 +260,26 @@ def redact(docs: DataFrame, bootstrap: Bootstrap = Bootstrap(), id_col: str = "d
     Overlapping spans are replaced once, by the kind that starts first (listed
     order on ties) and up to the furthest end.
     """
-    spark = docs.sparkSession
-    more = context_spans(spark, docs, bootstrap, id_col, text_col)
-    t = F.col(text_col).cast("string")
-    based = _with_context(with_base(docs, text_col), more, id_col, text_col)
-    tagged = F.array_sort(F.flatten(F.array(*[F.transform(
-        F.coalesce(F.col("__" + k), F.array().cast("array<struct<s:bigint,e:bigint>>")),
-        lambda x, i=i: F.struct(x["s"].alias("s"), F.lit(i).alias("k"), x["e"].alias("e"))) for i, k in enumerate(KINDS)])))
+    t = F.col("l." + text_col).cast("string")
+    more = context_spans(docs, survey(docs, id_col, text_col), bootstrap, text_col)
+    based = docs.alias("l").join(more.alias("r"), F.col("l." + id_col).cast("long").eqNullSafe(F.col("r.id"))
+                                 & (F.xxhash64(t) == F.col("r.h")), "left")
+    kinds = [base_spans(_text(t), k) for k in BASE_KINDS] + [
+        F.coalesce(F.col("r.context"), F.array().cast("array<struct<s:bigint,e:bigint>>"))]
+    tagged = F.array_sort(F.flatten(F.array(*[F.transform(spans, lambda x, i=i: F.struct(
+        x["s"].alias("s"), F.lit(i).alias("k"), x["e"].alias("e"))) for i, spans in enumerate(kinds)])))
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-    cut = F.aggregate(
-        F.col("__spans"), start,
-        lambda acc, x: F.when(x["s"] >= acc["at"], F.struct(
-            x["e"].alias("at"),
-            F.concat(acc["out"], F.array(F.substring(t, (acc["at"] + 1).cast("int"), (x["s"] - acc["at"]).cast("int")),
-                                         names[x["k"]])).alias("out")))
-        .otherwise(F.struct(F.greatest(acc["at"], x["e"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(t, (acc["at"] + 1).cast("int"), F.char_length(t))))
-    spans = based.withColumn("__spans", tagged)
-    new = F.when(F.size("__spans") > 0, cut).otherwise(t)
-    return spans.select(*[new.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+
+    def cut(spans: Column) -> Column:
+        return F.aggregate(
+            spans, start,
+            lambda acc, x: F.when(x["s"] >= acc["at"], F.struct(
+                x["e"].alias("at"),
+                F.concat(acc["out"], F.array(F.substring(t, (acc["at"] + 1).cast("int"), (x["s"] - acc["at"]).cast("int")),
+                                             names[x["k"]])).alias("out")))
+            .otherwise(F.struct(F.greatest(acc["at"], x["e"]).alias("at"), acc["out"].alias("out"))),
+            lambda acc: F.concat(F.array_join(acc["out"], ""),
+                                 F.substring(t, (acc["at"] + 1).cast("int"), F.char_length(t))))
+    new = F.when(t.rlike("[0-9@]"), let(tagged, lambda spans: F.when(F.size(spans) > 0, cut(spans)).otherwise(t))).otherwise(t)
+    return based.select(*[new.alias(c) if c == text_col else F.col(f"l.`{c}`").alias(c) for c in docs.columns])

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat_format, mixing, ngram_join, pii, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
+from kestrel.llm import ann, chat_format, mixing, ngram_join, pii, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
 from kestrel.llm.tables import make_importable, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,6 +121,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(spark, docs, read(spark, sf_dir, "labels")))
 
 
+@_query("op8_nearest")
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return ann.nearest(read(spark, sf_dir, "embeddings"), query_every=20, k=20)
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 _OP9_SQL = rf"""

@@ -419,6 +419,26 @@ def _least_column(size: str):
     return F.greatest(F.lit(1), F.floor(F.col(size) * SHARE_SLACK).cast("long"))
 
 
+def keep_one_per_component(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows, all columns as they are, with one document left of each near-duplicate class.
+
+    The document with the smallest id of a class stays; of repeated ids one row
+    stays.  Rows without an id are never judged copies and stay.
+    """
+    spark = docs.sparkSession
+    members = _written(spark, NgramJoin(docs, n, id_col, text_col).memberships(), "ngram-members")
+    per_id = members.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.min("component_id").alias("component_id"))
+    gone = per_id.where("component_id != doc_id").select("doc_id")
+    side = F.broadcast(gone) if gone.count() <= FEW_IDS else gone
+    kept = docs.join(side.withColumnRenamed("doc_id", "__gone"),
+                     F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    if per_id.where("rows > 1").isEmpty():
+        return kept
+    own = F.col(id_col)
+    return kept.where(own.isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(own.isNull()))
+
+
 def ngram_components(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Near-duplicate classes: documents whose n-gram sets have Jaccard similarity of 0.75 or more are linked.
 

@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.functions.parse import name_fields, split_literal, typed_customer
-from kestrel.functions.timecols import day_range
+from kestrel.functions.timecols import on_rounded_day
 from kestrel.ml import recommend as RC
 from kestrel.operators import mileage as M
 from kestrel.operators import rail as RL
 from kestrel.operators import stats as S
-from kestrel.operators.risk import risk_flags
-from kestrel.session import shared_dir
+from kestrel.operators.risk import CHILDCARE, HOUSING, risk_flags
+from kestrel.session import path_exists, shared_dir
 from kestrel.sinks import files as W
 from kestrel.sinks.index import index_writer
 from kestrel.sources import readers as R
@@ -50,7 +50,7 @@ def mileage_job(spark: SparkSession, channel_path: str, resource_path: str, flee
         F.col("Col3").cast("double").alias("lat"), F.col("Col4").cast("double").alias("lon"),
         F.col("Col6").cast("double").alias("speed"))
     if day:
-        ch = ch.where(day_range("ts", day))
+        ch = ch.where(on_rounded_day("ts", day))
     if class_range:
         dim = dim.where(F.col("class").between(*class_range))
     segs = M.segments(M.dedupe_min_latitude(M.clean_pings(ch, dim)))
@@ -95,7 +95,7 @@ def implicit_job(spark: SparkSession, views_csv: str, model_out: str | None = No
     raw = spark.read.option("header", True).csv(views_csv)
     v = raw.select(F.col(raw.columns[1]).cast("int").alias("item"), F.col(raw.columns[2]).cast("int").alias("user"))
     counts = v.groupBy("user", "item").agg(F.count("*").cast("double").alias("rating"))
-    train, test = counts.randomSplit([0.8, 0.2], seed=RC.SEED)
+    train, test = S.hash_split(counts, ["user", "item"], [0.8, 0.2], seed=RC.SEED)
     model = RC.als(rank=10, max_iter=10, reg=0.01, implicit=True, alpha=0.01).fit(train)
     if model_out:
         model.write().overwrite().save(model_out)
@@ -117,6 +117,12 @@ def rating_stream_app(spark: SparkSession, source: DataFrame, model_path: str, m
         if batch.isEmpty():
             return
         batch = batch.persist()
+        try:
+            score_batch(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def score_batch(batch: DataFrame, batch_id: int) -> None:
         scored = model.transform(batch).withColumn("prediction", F.round("prediction", 1))
         preds_w(J.error_docs(scored, movies), batch_id)
         se = F.pow(F.col("prediction") - F.col("rating"), 2)
@@ -124,7 +130,6 @@ def rating_stream_app(spark: SparkSession, source: DataFrame, model_path: str, m
                           F.stddev_pop("rating").alias("baseline_rmse")), batch_id)
         docs = RC.recommendation_docs(RC.recommend_for(model, batch.select("user"), 5, movies))
         recs_w(batch.select("tstamp", "user").join(docs, "user"), batch_id)
-        batch.unpersist()
 
     return RN.start(J.parse_rating_messages(source), per_batch, checkpoint, processing_time=processing_time)
 
@@ -136,20 +141,38 @@ def parse_customer_messages(values: DataFrame) -> DataFrame:
     return typed_customer(named)
 
 
+# Resource and cost field of each category in the risk index (fixed by the original mappings).
+RISK_RESOURCES = {HOUSING: ("risks/topCentileHousingCosts", "housingCosts"),
+                  CHILDCARE: ("risks/topCentileChildCareCosts", "childCareCosts")}
+
+
 def risk_app(spark: SparkSession, source: DataFrame, index_root: str, checkpoint: str,
-             slide_seconds: int = 1, window_slots: int = 10, processing_time: str | None = None):
-    """Index every customer record and flag top-decile housing and child-care costs."""
+             slide_seconds: int = 1, window_slots: int = 10, lateness_slots: int = 0,
+             processing_time: str | None = None):
+    """Index every customer record, and every top-decile housing or child-care cost in its risk resource.
+
+    ``lateness_slots`` slots of disorder are awaited; rows further behind are
+    kept under ``_risk_state/late``.
+    """
     cust_w = index_writer(index_root, "customers/customer")
-    flags_fn = risk_flag_batch_fn(spark, f"{index_root}/_risk_state", slide_seconds, window_slots)
+    writers = {c: index_writer(index_root, resource) for c, (resource, _) in RISK_RESOURCES.items()}
+
+    def index_flags(flags: DataFrame, batch_id: int) -> None:
+        for category, (_, field) in RISK_RESOURCES.items():
+            writers[category](flags.where(F.col("risk_category") == category).select(
+                "tstamp", "nino", "risk_category", F.col("cost").alias(field)), batch_id)
+    flags_fn = risk_flag_batch_fn(spark, f"{index_root}/_risk_state", slide_seconds, window_slots, lateness_slots,
+                                  flag_sink=index_flags)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         recs = parse_customer_messages(batch).persist()
-        cust_w(recs, batch_id)
-        flags_fn(recs.select("tstamp", "nino", F.col("housingCosts").alias("housing"),
-                             F.col("childCareCosts").alias("childcare")), batch_id)
-        recs.unpersist()
+        try:
+            if not recs.isEmpty():
+                cust_w(recs, batch_id)
+            flags_fn(recs.select("tstamp", "nino", F.col("housingCosts").alias("housing"),
+                                 F.col("childCareCosts").alias("childcare")), batch_id)
+        finally:
+            recs.unpersist()
 
     return RN.start(source, per_batch, checkpoint, processing_time=processing_time)
 
@@ -164,19 +187,33 @@ def risk_batch(customers: DataFrame, slide_seconds: int = 1, window_slots: int =
 # ---------------------------------------------------------------- word counts
 def wordcount_app(spark: SparkSession, source: DataFrame, out: str, checkpoint: str, sep: str = " ",
                   running: bool = False, processing_time: str | None = None):
-    """Per-batch counts (appended with the batch time, block-listed words dropped and
-    tallied) or a running count per word (``running=True``)."""
+    """Per-batch counts (with the batch time, block-listed words dropped) or a running count per word
+    (``running=True``).
+
+    The first also keeps ``_dropped/``: per batch the dropped words' count and
+    their running total over all batches.
+    """
     lines = source.select(F.col("value").alias("text"))
     if running:
         agg = J.running_word_count(lines, sep)
         return RN.start(agg, RN.batch_partition_writer(out), checkpoint, mode="update",
                         processing_time=processing_time)
 
+    totals = f"{out}/_dropped"
+
     def echo(batch: DataFrame, batch_id: int) -> None:
-        counts = J.words(batch, sep).groupBy("word").count()
-        blocked = F.col("word").isin(J.BLOCKLIST)
-        (counts.select("word", "count", blocked.alias("dropped"), F.current_timestamp().alias("batch_time"))
-         .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"))
+        counts = J.words(batch, sep).groupBy("word").agg(
+            F.count("*").alias("count"), F.max(F.col("word").isin(J.BLOCKLIST)).alias("dropped")).withColumn(
+            "batch_time", F.current_timestamp()).persist()
+        try:
+            counts.where("NOT dropped").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            now = counts.where("dropped").agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+        finally:
+            counts.unpersist()
+        before = f"{totals}/batch_id={batch_id - 1}"               # every batch writes its total
+        total = spark.read.parquet(before).first()["total"] if batch_id and path_exists(spark, before) else 0
+        spark.createDataFrame([(now, total + now)], "dropped long, total long").write.mode("overwrite").parquet(
+            f"{totals}/batch_id={batch_id}")
 
     return RN.start(lines, echo, checkpoint, processing_time=processing_time)
 
@@ -191,20 +228,22 @@ def rail_feed_app(spark: SparkSession, source: DataFrame, out_root: str, checkpo
         if batch.isEmpty():
             return
         parsed = RL.parse_messages(batch).persist()
-        for name, df in (("forecast_edges", RL.forecast_edges(parsed)),
-                         ("schedule_edges", RL.schedule_edges(parsed)),
-                         ("vertex_events", RL.vertex_events(parsed))):
-            df.write.mode("overwrite").parquet(f"{out_root}/{name}/batch_id={batch_id}")
-        parsed.unpersist()
+        try:
+            for name, df in (("forecast_edges", RL.forecast_edges(parsed)),
+                             ("schedule_edges", RL.schedule_edges(parsed)),
+                             ("vertex_events", RL.vertex_events(parsed))):
+                df.write.mode("overwrite").parquet(f"{out_root}/{name}/batch_id={batch_id}")
+        finally:
+            parsed.unpersist()
 
     return RN.start(source, per_batch, checkpoint, processing_time=processing_time)
 
 
-def rail_current_graph(spark: SparkSession, out_root: str) -> tuple[DataFrame, DataFrame]:
-    """Live vertices and their latest forecast edges from the typed feed tables."""
-    live = RL.latest_vertices(spark.read.parquet(f"{out_root}/vertex_events").drop("batch_id"))
-    edges = spark.read.parquet(f"{out_root}/forecast_edges").drop("batch_id")
-    return live, RL.latest_edges(edges, live)
+def rail_current_graph(spark: SparkSession, out_root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Live vertices, forecast edges and schedule edges from the typed feed tables."""
+    events, forecasts, schedules = (spark.read.parquet(f"{out_root}/{t}").drop("batch_id")
+                                    for t in ("vertex_events", "forecast_edges", "schedule_edges"))
+    return RL.latest_vertices(events), RL.latest_edges(forecasts, events), RL.latest_edges(schedules, events)
 
 
 def tweets_job(spark: SparkSession, pages_path: str, out_path: str, one_file_per_page: bool = False) -> DataFrame:

@@ -27,6 +27,20 @@ def day_range(ts, day: str) -> Column:
     return (_c(ts) >= start) & (_c(ts) < F.lit(day).cast("date").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"))
 
 
+def on_rounded_day(ts, day: str) -> Column:
+    """Rows whose minute-rounded timestamp falls on ``day``.
+
+    The raw range is widened by half a minute on both sides so that it still
+    pushes down to the scan; the exact test is on the rounded minute.
+    """
+    start = F.lit(day).cast("date").cast("timestamp_ntz")
+    end = start + F.expr("INTERVAL 1 DAY")
+    half = F.expr("INTERVAL 31 SECONDS")
+    near = (_c(ts) >= start - half) & (_c(ts) < end + half)
+    minute = round_to_minute(epoch_seconds(ts))
+    return near & (minute >= start) & (minute < end)
+
+
 def hhmm_minutes(s) -> Column:
     """``'HH:MM'`` → minutes after midnight."""
     s = _c(s)

@@ -145,16 +145,31 @@ def current_vertices(parsed: DataFrame) -> DataFrame:
     return latest_vertices(vertex_events(parsed))
 
 
-def latest_edges(edges: DataFrame, live: DataFrame) -> DataFrame:
-    """Latest version of every forecast edge whose train vertex is live."""
+def last_deactivations(events: DataFrame) -> DataFrame:
+    """``rid, gone``: the position of every train's last tombstone."""
+    return events.where(~F.col("v.live")).groupBy("rid").agg(F.max("at").alias("gone"))
+
+
+def latest_edges(edges: DataFrame, events: DataFrame) -> DataFrame:
+    """Latest version of every edge of a live train, among those sent after the train's last deactivation.
+
+    Deleting a vertex deletes its edges, so a train that is scheduled again
+    starts without any.
+    """
     cols = [c for c in edges.columns if c != "edge_id"]
+    at = F.struct("msg_ts", "seq")
+    after = (edges.join(last_deactivations(events), "rid", "left").where(F.col("gone").isNull() | (at > F.col("gone")))
+             .drop("gone"))
     # max_by aggregates partially before the shuffle: a hot edge id costs no single task
-    latest = (edges.groupBy("edge_id").agg(F.max_by(F.struct(*cols), F.struct("msg_ts", "seq")).alias("e"))
-              .select("edge_id", "e.*"))
-    return latest.join(live.select("rid"), "rid", "left_semi")
+    latest = after.groupBy("edge_id").agg(F.max_by(F.struct(*cols), at).alias("e")).select("edge_id", "e.*")
+    return latest.join(latest_vertices(events).select("rid"), "rid", "left_semi")
 
 
 def current_edges(parsed: DataFrame) -> DataFrame:
-    """Forecast edges, latest per edge id, of trains whose vertex is live."""
-    return latest_edges(forecast_edges(parsed), current_vertices(parsed))
+    """Live forecast edges."""
+    return latest_edges(forecast_edges(parsed), vertex_events(parsed))
+
 
+def current_schedule_edges(parsed: DataFrame) -> DataFrame:
+    """Live schedule edges."""
+    return latest_edges(schedule_edges(parsed), vertex_events(parsed))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.operators.topk import kth_largest
+from kestrel.operators.topk import value_at_rank
 
 # Category labels of the two flags (fixed by the original index documents).
 HOUSING = "Top Centile Housing Costs"
@@ -30,18 +30,43 @@ def slot_of(ts: str, slide_seconds: int) -> Column:
     return F.floor(F.unix_timestamp(F.col(ts)) / slide_seconds).cast("long")
 
 
-def window_thresholds(costs: DataFrame, slide_seconds: int, w: int, lo=None, hi=None) -> DataFrame:
-    """``risk_category, end_slot, n, k, kth`` for every window holding data.
+def window_thresholds(costs: DataFrame, slide_seconds: int, w: int, lo=None, hi=None, bins: int = 256) -> DataFrame:
+    """``risk_category, end_slot, n, k, kth`` for every window holding data (``k = floor(n/10)``).
 
-    Each row is copied to the ``w`` windows that contain it (the sliding window
-    expansion), then the exact k-th largest is found per window.  ``lo``/``hi``
-    restrict the windows computed (the streaming form recomputes a range).
+    Rows are first reduced to counts per (category, slot, bin of cost), combined
+    before the shuffle; only those counts are spread over the ``w`` windows that
+    hold a slot.  They give every window's size and the bin of its rank ``k``.
+    Then the values of that bin alone, with counts per slot, are summed per
+    window and ranked.  ``lo``/``hi`` restrict the windows.
     """
-    s = costs.select("risk_category", "cost", slot_of("tstamp", slide_seconds).alias("slot"))
-    ex = s.select("risk_category", "cost", F.explode(F.sequence("slot", F.col("slot") + (w - 1))).alias("end_slot"))
+    s = costs.select("risk_category", F.col("cost"), slot_of("tstamp", slide_seconds).alias("slot"))
+    return slot_thresholds(s, w, lo, hi, bins)
+
+
+def slot_thresholds(s: DataFrame, w: int, lo=None, hi=None, bins: int = 256) -> DataFrame:
+    """:func:`window_thresholds` of rows ``risk_category, cost, slot``."""
+    cat, win = ["risk_category"], ["risk_category", "end_slot"]
+    probs = [i / bins for i in range(1, bins)]
+    splits = s.groupBy(*cat).agg(F.array_distinct(F.percentile_approx("cost", probs, 4 * bins)).alias("_splits"))
+    bin_of = F.size(F.filter("_splits", lambda x: x < F.col("cost")))
+    valued = s.join(splits, cat).select(*cat, "slot", bin_of.alias("_bin"), "cost").groupBy(
+        *cat, "slot", "_bin", "cost").agg(F.count("*").alias("_rows"))
+    slots = valued.groupBy(*cat, "slot", "_bin").agg(F.sum(F.when(F.col("cost").isNotNull(), F.col("_rows"))).alias("_n"))
+    ends = F.explode(F.sequence("slot", F.col("slot") + (w - 1))).alias("end_slot")
+    per_bin = slots.select(*cat, "_bin", F.coalesce("_n", F.lit(0)).alias("_n"), ends)
     if lo is not None:
-        ex = ex.where(F.col("end_slot").between(lo, hi))
-    return kth_largest(ex, ["risk_category", "end_slot"], "cost")
+        per_bin = per_bin.where(F.col("end_slot").between(lo, hi))
+    per_bin = per_bin.groupBy(*win, "_bin").agg(F.sum("_n").alias("_n"))
+    desc = Window.partitionBy(*win).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, 0)
+    per_bin = (per_bin.withColumn("n", F.sum("_n").over(Window.partitionBy(*win)))
+               .withColumn("_upto", F.sum("_n").over(desc)).withColumn("k", F.floor(F.col("n") / 10).cast("long")))
+    windows = per_bin.groupBy(*win).agg(F.first("n").alias("n"), F.first("k").alias("k"))
+    target = per_bin.where((F.col("_upto") >= F.col("k")) & (F.col("_upto") - F.col("_n") < F.col("k"))).select(
+        *win, "_bin", (F.col("k") - F.col("_upto") + F.col("_n")).alias("_k"),
+        F.explode(F.sequence(F.col("end_slot") - (w - 1), F.col("end_slot"))).alias("slot"))
+    counted = (target.join(valued.where("cost IS NOT NULL"), cat + ["slot", "_bin"])
+               .groupBy(*win, "_k", "cost").agg(F.sum("_rows").alias("_rows")))
+    return windows.join(value_at_rank(counted, win, "cost", "_rows", "_k"), win, "left").select(*win, "n", "k", "kth")
 
 
 def carried_cutoffs(thresholds: DataFrame, epoch_slots: int = 4096) -> DataFrame:

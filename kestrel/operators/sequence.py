@@ -47,7 +47,33 @@ def next_in_sequence(df: DataFrame, key: str, bucket: str, order: Sequence[str],
     return out.drop("_has_next", "_succ", *[f"_in_{c}" for c in carry])
 
 
-def row_index(df: DataFrame, key: str, order: Sequence[str], name: str = "index") -> DataFrame:
-    """0-based position of each row within its key (a per-key ``zipWithIndex``)."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
-    return df.withColumn(name, F.row_number().over(w) - 1)
+def previous_in_sequence(df: DataFrame, key: str, bucket: str, order: Sequence[str], col: str, name: str) -> DataFrame:
+    """Add ``name`` = value of ``col`` in the previous row of the same ``key``; NULL for the first.
+
+    ``bucket`` as in :func:`next_in_sequence`: the window runs per ``(key,
+    bucket)``, and a bucket's first row takes the last value of the key's
+    previous bucket from a table of one row per bucket.
+    """
+    w = Window.partitionBy(key, bucket).orderBy(*[F.col(c) for c in order])
+    lasts = df.groupBy(key, bucket).agg(F.max_by(F.struct(col), F.struct(*order)).alias("_last"))
+    wb = Window.partitionBy(key).orderBy(bucket)
+    before = lasts.select(key, bucket, F.lag("_last").over(wb).alias("_before"))
+    staged = df.withColumn("_first", F.row_number().over(w) == 1).withColumn("_in", F.lag(col).over(w))
+    return (staged.join(before, [key, bucket], "left")
+            .withColumn(name, F.when(F.col("_first"), F.col(f"_before.{col}")).otherwise(F.col("_in")))
+            .drop("_first", "_in", "_before"))
+
+
+def row_index(df: DataFrame, key: str, order: Sequence[str], bucket: str, name: str = "index") -> DataFrame:
+    """0-based position of each row within its key (a per-key ``zipWithIndex``).
+
+    ``bucket`` as in :func:`next_in_sequence`: rows are numbered per ``(key,
+    bucket)`` and shifted by the rows in the key's earlier buckets, so a hot key
+    spreads over its buckets.
+    """
+    w = Window.partitionBy(key, bucket).orderBy(*[F.col(c) for c in order])
+    wb = Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(key, bucket).agg(F.count("*").alias("_n"))
+    shifts = sizes.select(key, bucket, F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_shift"))
+    return (df.withColumn("_in", F.row_number().over(w) - 1).join(shifts, [key, bucket])
+            .withColumn(name, F.col("_in") + F.col("_shift")).drop("_in", "_shift"))

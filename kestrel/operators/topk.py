@@ -9,24 +9,25 @@ from pyspark.sql import functions as F
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
-                    salt_col: str | None = None, salt_buckets: int = 16,
                     rank_name: str = "rank") -> DataFrame:
     """The first ``k`` rows of every group under ``order`` (a total order), ranked 1..k.
 
-    Two stages: the top ``k`` of every ``(group, salt)`` sub-group first, then
-    the top ``k`` of those ≤ ``k * salt_buckets`` candidates per group.  A hot
-    group is thereby cut ``salt_buckets`` ways before any task sees it whole.
+    Spark cuts every map task to ``k`` rows per group before the shuffle, so a
+    hot group never meets whole in one task.
     """
-    group = list(group)
-    if salt_col is not None:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salt_buckets)))
-        w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
-        df = (salted.withColumn("_r1", F.row_number().over(w1))
-              .where(F.col("_r1") <= k).drop("_r1", "_salt"))
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= k)
 
 
+def value_at_rank(counted: DataFrame, group: Sequence[str], value: str, count: str, k: str = "k") -> DataFrame:
+    """``group..., kth``: the ``k``-th largest of values given with their counts (one row per distinct value)."""
+    group = list(group)
+    w = Window.partitionBy(*group).orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.withColumn("_upto", F.sum(count).over(w))
+    hit = (F.col("_upto") >= F.col(k)) & (F.col("_upto") - F.col(count) < F.col(k))
+    return upto.where(hit).select(*group, F.col(value).alias("kth"))
+
+
 def kth_largest(df: DataFrame, group: Sequence[str], value: str, k: Column | None = None,
                 bins: int = 32, accuracy: int = 1000, levels: int = 2) -> DataFrame:
     """Exact k-th largest ``value`` per group (duplicates count), ``k = floor(n/10)`` by default.
@@ -36,9 +37,9 @@ def kth_largest(df: DataFrame, group: Sequence[str], value: str, k: Column | Non
     Each level bins the candidate rows at approximate quantile split points of
     the group (``percentile_approx``), counts every bin exactly, and keeps only
     the bin that holds rank ``k`` (``k`` becomes the rank inside it).  After
-    ``levels`` levels the surviving bin is ranked — or, when it holds a single
-    value (a mass of duplicates), that value is the answer without ranking.
-    No task sees more than about ``n / bins**levels`` rows of a group.
+    ``levels`` levels the surviving bin is reduced to its distinct values with
+    counts (combined before the shuffle), and a running count finds rank ``k``:
+    a value that repeats any number of times is one row.
     """
     group = list(group)
     probs = [i / bins for i in range(1, bins)]
@@ -54,19 +55,15 @@ def kth_largest(df: DataFrame, group: Sequence[str], value: str, k: Column | Non
         binned = (cand.join(splits, group)
                   .withColumn("_bin", F.size(F.filter("_splits", lambda s: s < F.col(value))))
                   .drop("_splits"))
-        counts = binned.groupBy(*group, "_bin").agg(F.count(value).alias("_c"), F.min(value).alias("_lo"),
-                                                    F.max(value).alias("_hi"))
+        counts = binned.groupBy(*group, "_bin").agg(F.count(value).alias("_c"))
         wdesc = Window.partitionBy(*group).orderBy(F.desc("_bin"))
         counts = counts.withColumn("_above", F.coalesce(F.sum("_c").over(
             wdesc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         target = (counts.join(want.select(*group, "k"), group)
                   .where((F.col("k") > F.col("_above")) & (F.col("k") <= F.col("_above") + F.col("_c")))
-                  .select(*group, "_bin", (F.col("k") - F.col("_above")).alias("k"), "_lo", "_hi"))
+                  .select(*group, "_bin", (F.col("k") - F.col("_above")).alias("k")))
         cand = binned.join(target.select(*group, "_bin"), group + ["_bin"]).select(*group, value)
-        want = target.select(*group, "k", "_lo", "_hi")
-    single = want.where(F.col("_lo") == F.col("_hi")).select(*group, F.col("_lo").alias("kth"))
-    rest = want.where(F.col("_lo") != F.col("_hi")).select(*group, "k")
-    wv = Window.partitionBy(*group).orderBy(F.desc(value))
-    ranked = (cand.join(rest, group).withColumn("_r", F.row_number().over(wv))
-              .where(F.col("_r") == F.col("k")).select(*group, F.col(value).alias("kth")))
-    return stats.join(single.unionByName(ranked), group, "left").select(*group, "n", "k", "kth")
+        want = target.select(*group, "k")
+    # distinct values with counts, however often a value repeats
+    counted = cand.groupBy(*group, value).agg(F.count("*").alias("_n")).join(want.select(*group, "k"), group)
+    return stats.join(value_at_rank(counted, group, value, "_n"), group, "left").select(*group, "n", "k", "kth")

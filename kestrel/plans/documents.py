@@ -88,7 +88,7 @@ def rail_schedule_vertices(spark, sf_dir):
     return RL.schedule_vertices(_parsed(spark, sf_dir))
 
 
-@query("rail_schedule_edges", "WITH " + _EV + """,
+_SCHEDULE_EDGES = """WITH
     pts AS (
       SELECT e, rid, msg_ts, ts, 'OR' AS type, 'T' || CAST(e % 40 AS VARCHAR) AS tpl, 'TB' AS act,
              NULL AS pta, """ + _hhmm("0") + """ AS ptd, NULL AS wta, """ + _hhmm("0") + """ AS wtd, NULL AS wtp
@@ -107,7 +107,10 @@ def rail_schedule_vertices(spark, sf_dir):
       FROM ev WHERE kind = 'schedule')
     SELECT tpl || rid AS edge_id, rid, tpl, type, CAST(pta AS VARCHAR) AS pta, CAST(ptd AS VARCHAR) AS ptd,
            CAST(wta AS VARCHAR) AS wta, CAST(wtd AS VARCHAR) AS wtd, CAST(wtp AS VARCHAR) AS wtp,
-           CAST(act AS VARCHAR) AS act, msg_ts, e AS seq FROM pts""")
+           CAST(act AS VARCHAR) AS act, msg_ts, e AS seq FROM pts"""
+
+
+@query("rail_schedule_edges", "WITH " + _EV + " " + _SCHEDULE_EDGES.replace("WITH", ",", 1))
 def rail_schedule_edges(spark, sf_dir):
     return RL.schedule_edges(_parsed(spark, sf_dir))
 
@@ -118,13 +121,28 @@ def rail_current_state(spark, sf_dir):
     return RL.current_vertices(_parsed(spark, sf_dir))
 
 
-@query("rail_current_edges", "WITH " + _EV + ", " + _LOC + ", " + _SV + ", " + _LIVE + """,
-    fl AS (SELECT * FROM fe QUALIFY row_number() OVER (PARTITION BY edge_id ORDER BY msg_ts DESC, seq DESC) = 1)
-    SELECT """ + _FE_SEL + """ FROM fl WHERE rid IN (SELECT rid FROM live)""")
+# An edge lives if its train's newest vertex message is a schedule, no deactivation of the train follows the edge's
+# message, and no newer message carries the same edge.
+def _live_edge(t: str) -> str:
+    return f"""WHERE EXISTS (SELECT 1 FROM live WHERE live.rid = {t}.rid)
+      AND NOT EXISTS (SELECT 1 FROM ev d WHERE d.kind = 'deactivated' AND d.rid = {t}.rid
+                      AND (d.msg_ts > {t}.msg_ts OR (d.msg_ts = {t}.msg_ts AND d.e > {t}.seq)))
+      AND NOT EXISTS (SELECT 1 FROM {t} n WHERE n.edge_id = {t}.edge_id
+                      AND (n.msg_ts > {t}.msg_ts OR (n.msg_ts = {t}.msg_ts AND n.seq > {t}.seq)))"""
+
+
+@query("rail_current_edges", "WITH " + _EV + ", " + _LOC + ", " + _SV + ", " + _LIVE + """
+    SELECT """ + _FE_SEL + " FROM fe " + _live_edge("fe"))
 def rail_current_edges(spark, sf_dir):
     return RL.current_edges(_parsed(spark, sf_dir))
 
 
+@query("rail_current_schedule_edges", "WITH " + _EV + ", " + _SV + ", " + _LIVE + ", se AS (" + _SCHEDULE_EDGES + """)
+    SELECT edge_id, rid, tpl, type, pta, ptd, wta, wtd, wtp, act, msg_ts, seq FROM se """ + _live_edge("se"))
+def rail_current_schedule_edges(spark, sf_dir):
+    return RL.current_schedule_edges(_parsed(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- tweets
 _TW = """tw AS (SELECT doc_id AS id,
     strftime(TIMESTAMP '2024-01-01' + to_minutes(CAST(doc_id * 7 AS BIGINT)), '%a %b %d %H:%M:%S +0000 %Y') AS date,

@@ -177,13 +177,14 @@ def left_outer_join(spark, sf_dir):
 def row_index_q(spark, sf_dir):
     fd = M.fleet_dimension(T.vehicles(spark, sf_dir), T.fleets(spark, sf_dir))
     d = M.dedupe_min_latitude(M.clean_pings(T.pings(spark, sf_dir), fd))
-    r = row_index(d, "vehicle_number", ["ts", "lon", "lat"])
+    r = row_index(d, "vehicle_number", ["ts", "lon", "lat"], bucket="bucket")
     return r.select("vehicle_number", "ts", F.col("index").cast("long").alias("index"))
 
 
 @query("filter_day", T.with_views("""
     SELECT vehicle, ts, lat, lon FROM pings
-    WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'""", "pings"))
+    WHERE CAST(make_timestamp(CAST(round((epoch_us(ts) // 1000000) / 60.0) * 60 AS BIGINT) * 1000000) AS DATE)
+          = DATE '2024-01-10'""", "pings"))
 def filter_day(spark, sf_dir):
-    from kestrel.functions.timecols import day_range
-    return T.pings(spark, sf_dir).where(day_range("ts", "2024-01-10")).select("vehicle", "ts", "lat", "lon")
+    from kestrel.functions.timecols import on_rounded_day
+    return T.pings(spark, sf_dir).where(on_rounded_day("ts", "2024-01-10")).select("vehicle", "ts", "lat", "lon")

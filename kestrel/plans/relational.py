@@ -169,7 +169,7 @@ def top50_for_user(spark, sf_dir):
     SELECT "user", "rank", item, round(avg_rating, 6) AS avg_rating, n FROM r WHERE "rank" <= 5""", "ratings"))
 def topk_per_user(spark, sf_dir):
     g = T.ratings(spark, sf_dir).groupBy("user", "item").agg(F.avg("rating").alias("avg_rating"), F.count("*").alias("n"))
-    t = top_k_per_group(g, ["user"], [F.desc("avg_rating"), F.desc("n"), F.col("item")], 5, salt_col="item")
+    t = top_k_per_group(g, ["user"], [F.desc("avg_rating"), F.desc("n"), F.col("item")], 5)
     return t.select("user", F.col("rank").cast("long").alias("rank"), "item",
                     F.round("avg_rating", 6).alias("avg_rating"), "n")
 

@@ -18,14 +18,17 @@ from kestrel.streaming import jobs as J
 from kestrel.streaming import runner as RN
 
 N_FILES = 5
-WATERMARK = "1 hour"
 
 
-def _rating_stream(spark, sf_dir):
-    """Rating messages replayed as text lines, parsed to typed rows."""
+def _rating_feed(spark, sf_dir):
+    """(rating messages replayed as text lines and parsed, the feed's lateness)."""
     src = scratch_path(spark, "rating-feed")
-    RN.stage_files(TB.rating_messages(spark, sf_dir), src, "ts", N_FILES, fmt="text", text_col="value")
-    return J.parse_rating_messages(RN.stream_source(spark, "files", path=f"{src}/*"))
+    staged = RN.stage_files(TB.rating_messages(spark, sf_dir), src, "ts", N_FILES, fmt="text", text_col="value")
+    return J.parse_rating_messages(RN.stream_source(spark, "files", path=f"{src}/*")), staged
+
+
+def _rating_stream(spark, sf_dir):
+    return _rating_feed(spark, sf_dir)[0]
 
 
 def _model(spark, sf_dir):
@@ -34,10 +37,11 @@ def _model(spark, sf_dir):
     return RN.materialize(spark, S.item_mean_predictor(sp.where(F.col("split") == "train")), "item-mean-model")
 
 
-def _staged(spark, sf_dir, df, order, name):
+def _staged(spark, df, order, name):
+    """(stream over the staged files, what staging tells about their order)."""
     src = scratch_path(spark, name)
-    RN.stage_files(df, src, order, N_FILES)
-    return RN.file_stream(spark, src, df.schema)
+    staged = RN.stage_files(df, src, order, N_FILES)
+    return RN.file_stream(spark, src, df.schema), staged
 
 
 _MODEL_SQL = """sp AS (SELECT *, CASE WHEN (epoch_us(ts) // 1000000) % 10 < 6 THEN 'train'
@@ -80,8 +84,9 @@ _WIN_ERR = """we AS (SELECT time_bucket(INTERVAL 1 DAY, tstamp) AS window_start,
 
 
 def _window_error(spark, sf_dir, name):
-    scored = J.score(_rating_stream(spark, sf_dir), _model(spark, sf_dir))
-    return RN.run_update_aggregate(spark, J.windowed_error(scored, "1 day", WATERMARK), ["window_start"], name)
+    feed, staged = _rating_feed(spark, sf_dir)
+    scored = J.score(feed, _model(spark, sf_dir))
+    return RN.run_update_aggregate(spark, J.windowed_error(scored, "1 day", staged.lateness()), ["window_start"], name)
 
 
 @query("batch_rmse", TB.with_views("WITH " + _MODEL_SQL + ", " + _WIN_ERR + """
@@ -113,7 +118,7 @@ def stream_running_rmse(spark, sf_dir):
     SELECT r.ts AS tstamp, r."user", t."rank", t.item FROM ratings r JOIN top t ON r."user" = t."user\"""", "ratings"))
 def same_batch_join(spark, sf_dir):
     g = TB.ratings(spark, sf_dir).groupBy("user", "item").agg(F.avg("rating").alias("avg_rating"), F.count("*").alias("n"))
-    top = top_k_per_group(g, ["user"], [F.desc("avg_rating"), F.desc("n"), F.col("item")], 5, salt_col="item")
+    top = top_k_per_group(g, ["user"], [F.desc("avg_rating"), F.desc("n"), F.col("item")], 5)
     top = RN.materialize(spark, top.select("user", F.col("rank").cast("long").alias("rank"), "item"), "user-top5")
     out = scratch_path(spark, "recs-out")
 
@@ -132,8 +137,8 @@ def same_batch_join(spark, sf_dir):
     SELECT time_bucket(INTERVAL 1 HOUR, tstamp) AS window_start, count(*) AS "count" FROM customers GROUP BY 1""",
     "customers"))
 def stream_tumbling_count(spark, sf_dir):
-    s = _staged(spark, sf_dir, TB.customers(spark, sf_dir), "tstamp", "customers-feed")
-    return RN.run_update_aggregate(spark, J.tumbling_count(s, "tstamp", "1 hour", WATERMARK), ["window_start"],
+    s, staged = _staged(spark, TB.customers(spark, sf_dir), "tstamp", "customers-feed")
+    return RN.run_update_aggregate(spark, J.tumbling_count(s, "tstamp", "1 hour", staged.lateness()), ["window_start"],
                                    "tumbling")
 
 
@@ -143,8 +148,8 @@ def stream_tumbling_count(spark, sf_dir):
     SELECT window_start, window_start + INTERVAL 10 HOUR AS window_end, count(*) AS "count" FROM x GROUP BY 1""",
     "customers"))
 def stream_sliding_count(spark, sf_dir):
-    s = _staged(spark, sf_dir, TB.customers(spark, sf_dir), "tstamp", "customers-feed")
-    agg = J.sliding_count(s, "tstamp", "10 hours", "1 hour", WATERMARK)
+    s, staged = _staged(spark, TB.customers(spark, sf_dir), "tstamp", "customers-feed")
+    agg = J.sliding_count(s, "tstamp", "10 hours", "1 hour", staged.lateness())
     return RN.run_update_aggregate(spark, agg, ["window_start", "window_end"], "sliding")
 
 
@@ -152,8 +157,8 @@ def stream_sliding_count(spark, sf_dir):
     SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, word, count(*) AS "count"
     FROM (SELECT ts, unnest(string_split(text, ' ')) AS word FROM timed_lines) x GROUP BY 1, 2""", "timed_lines"))
 def stream_window_wordcount(spark, sf_dir):
-    s = _staged(spark, sf_dir, TB.timed_lines(spark, sf_dir), "ts", "lines-feed")
-    return RN.run_update_aggregate(spark, J.tumbling_word_count(s, "1 day", WATERMARK), ["window_start", "word"],
+    s, staged = _staged(spark, TB.timed_lines(spark, sf_dir), "ts", "lines-feed")
+    return RN.run_update_aggregate(spark, J.tumbling_word_count(s, "1 day", staged.lateness()), ["window_start", "word"],
                                    "window-wc")
 
 
@@ -161,7 +166,7 @@ def stream_window_wordcount(spark, sf_dir):
     SELECT word, count(*) AS "count" FROM (SELECT unnest(string_split(text, ',')) AS word FROM timed_lines) x
     GROUP BY word""", "timed_lines"))
 def stream_running_wordcount(spark, sf_dir):
-    s = _staged(spark, sf_dir, TB.timed_lines(spark, sf_dir), "ts", "lines-feed")
+    s, staged = _staged(spark, TB.timed_lines(spark, sf_dir), "ts", "lines-feed")
     return RN.run_update_aggregate(spark, J.running_word_count(s, ","), ["word"], "running-wc")
 
 
@@ -172,7 +177,7 @@ def stream_restart_wordcount(spark, sf_dir):
     """Two runs over a growing input with one checkpoint = one run over all of it."""
     lines = TB.timed_lines(spark, sf_dir)
     staged = scratch_path(spark, "restart-staged")
-    chunks = RN.stage_files(lines, staged, "ts", N_FILES)
+    chunks = RN.stage_files(lines, staged, "ts", N_FILES).paths
     src, out, ckpt = scratch_path(spark, "restart-src"), scratch_path(spark, "restart-out"), scratch_path(spark, "restart-ckpt")
 
     def run():
@@ -223,17 +228,18 @@ def wordcount_batch(spark, sf_dir):
     SELECT word, "count", (SELECT CAST(sum("count") AS BIGINT) FROM w WHERE word IN ('a', 'b', 'c')) AS dropped_total
     FROM w WHERE word NOT IN ('a', 'b', 'c')""", "lines"))
 def wordcount_blocklist(spark, sf_dir):
-    counts = J.words(TB.lines(spark, sf_dir), " ").groupBy("word").count()
-    blocked = F.col("word").isin(J.BLOCKLIST)
-    dropped = counts.where(blocked).select(F.sum("count")).scalar()   # the accumulator, as an aggregate
-    return counts.where(~blocked).select("word", "count", dropped.alias("dropped_total"))
+    # the flag is an aggregate, so no filter moves below it and both readers share one scan and shuffle
+    counts = J.words(TB.lines(spark, sf_dir), " ").groupBy("word").agg(
+        F.count("*").alias("count"), F.max(F.col("word").isin(J.BLOCKLIST)).alias("blocked"))
+    dropped = counts.where("blocked").select(F.sum("count")).scalar()   # the accumulator, as an aggregate
+    return counts.where("NOT blocked").select("word", "count", dropped.alias("dropped_total"))
 
 
 @query("wordcount_batch_log", TB.with_views("""
     SELECT word, CAST(count(*) AS BIGINT) AS total FROM (SELECT unnest(string_split(text, ' ')) AS word FROM timed_lines) x
     WHERE word NOT IN ('a', 'b', 'c') GROUP BY word""", "timed_lines"))
 def wordcount_batch_log(spark, sf_dir):
-    s = _staged(spark, sf_dir, TB.timed_lines(spark, sf_dir), "ts", "log-feed")
+    s, staged = _staged(spark, TB.timed_lines(spark, sf_dir), "ts", "log-feed")
     log = scratch_path(spark, "wc-log")
 
     def echo(batch, batch_id):
@@ -278,9 +284,10 @@ def sliding_topdecile(spark, sf_dir):
     "customers"))
 def risk_flags(spark, sf_dir):
     from kestrel.streaming.risk import run_risk_flags
-    stream = _staged(spark, sf_dir, TB.customers(spark, sf_dir), "tstamp", "risk-feed")
+    stream, staged = _staged(spark, TB.customers(spark, sf_dir), "tstamp", "risk-feed")
     return run_risk_flags(spark, stream, scratch_path(spark, "risk-state"), scratch_path(spark, "risk-ckpt"),
-                          RISK_SLIDE_SECONDS, RISK_WINDOW_SLOTS)
+                          RISK_SLIDE_SECONDS, RISK_WINDOW_SLOTS,
+                          lateness_slots=staged.span // RISK_SLIDE_SECONDS + 1)
 
 
 @query("risk_flags_batch", TB.with_views("WITH " + _RISK_SQL + """

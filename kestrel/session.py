@@ -49,9 +49,10 @@ _LOCAL_SCRATCH: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Root of shared storage for checkpoints and materialised tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``.  Only when it is unset (unit
-    tests, a laptop) a private temporary folder is created and registered as
-    the checkpoint directory.
+    Uses the cluster's ``spark.checkpoint.dir``.  Only when it is unset on a
+    ``local[...]`` master (unit tests, a laptop) a private temporary folder is
+    created and registered as the checkpoint directory; on a cluster such a
+    folder would be another one on every machine, so that raises.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
@@ -59,6 +60,8 @@ def shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(d)
         return d.rstrip("/")
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if "dir" not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH["dir"] = tempfile.mkdtemp(prefix="kestrel-")
         sc.setCheckpointDir(os.path.join(_LOCAL_SCRATCH["dir"], "rdd"))
@@ -70,8 +73,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/kestrel/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def conf_flag(spark: SparkSession, key: str, default: str) -> str:
-    try:
-        return spark.conf.get(key, default)
-    except Exception:  # pragma: no cover - older conf API
-        return default
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the path's own file system; storage errors are raised."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

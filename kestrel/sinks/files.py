@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def joined_fields(cols: Sequence[str], sep: str) -> Column:
+    """Fields as strings joined by ``sep``; a NULL is an empty field, so later fields keep their place."""
+    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+
+
 def write_delimited_text(df: DataFrame, path: str, cols: Sequence[str], sep: str) -> None:
     """One ``sep``-joined line per row (no quoting), overwrite."""
-    df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]).alias("value")) \
+    df.select(joined_fields(cols, sep).alias("value")) \
         .write.mode("overwrite").text(path)
 
 
@@ -31,7 +36,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 def encode_delimited(df: DataFrame, cols: Sequence[str], sep: str, name: str = "value") -> DataFrame:
     """Kafka-style message value: fields joined by ``sep``."""
-    return df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]).alias(name))
+    return df.select(joined_fields(cols, sep).alias(name))
 
 
 def encode_json_array(df: DataFrame, cols: Sequence[str], name: str = "value") -> DataFrame:

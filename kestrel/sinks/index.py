@@ -23,6 +23,9 @@ INDEX_SCHEMAS: dict[str, T.StructType] = {
     "risks/topCentileHousingCosts": T.StructType([
         T.StructField("housingCosts", T.DoubleType()), T.StructField("nino", T.StringType()),
         T.StructField("risk_category", T.StringType()), T.StructField("tstamp", T.TimestampNTZType())]),
+    "risks/topCentileChildCareCosts": T.StructType([
+        T.StructField("childCareCosts", T.DoubleType()), T.StructField("nino", T.StringType()),
+        T.StructField("risk_category", T.StringType()), T.StructField("tstamp", T.TimestampNTZType())]),
     "metrics/metric": T.StructType([
         T.StructField("@timestamp", T.TimestampNTZType()), T.StructField("topCentileHousingCosts", T.DoubleType())]),
 }

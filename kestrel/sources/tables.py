@@ -135,7 +135,8 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string")),
         F.concat(F.lit("PC"), F.col("c_custkey").cast("string")),
     ]
-    return j.select("event_id", F.concat_ws(CUSTOMER_DELIM, *fields).alias("line"))
+    whole = [F.coalesce(f, F.lit("")) for f in fields]             # a NULL is an empty field
+    return j.select("event_id", F.concat_ws(CUSTOMER_DELIM, *whole).alias("line"))
 
 
 VIEW_SQL["customer_lines"] = """SELECT e.event_id, concat_ws('@|',
@@ -164,9 +165,9 @@ def timed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rating_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``rating_messages(ts, value)``: ``tstamp,user,item,rating`` lines of the rating feed."""
     r = ratings(spark, sf_dir)
-    return r.select("ts", F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-                                      F.col("user").cast("string"), F.col("item").cast("string"),
-                                      F.col("rating").cast("string")).alias("value"))
+    fields = [F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col("user").cast("string"), F.col("item").cast("string"),
+              F.col("rating").cast("string")]
+    return r.select("ts", F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields]).alias("value"))
 
 
 VIEW_SQL["timed_lines"] = """SELECT 'doc' AS src, doc_id AS id, TIMESTAMP '2024-01-01' + to_minutes(CAST(doc_id * 7 AS BIGINT)) AS ts, text

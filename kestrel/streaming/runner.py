@@ -11,6 +11,7 @@ replayed after a failure replaces its output instead of duplicating it.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,13 +37,33 @@ def stream_source(spark: SparkSession, kind: str, **opts) -> DataFrame:
     raise ValueError(f"unknown stream source {kind}")
 
 
+class Staged(NamedTuple):
+    """Chunk folders in order, and how far ``order`` reaches within one chunk (seconds for times)."""
+
+    paths: list[str]
+    span: int
+
+    def lateness(self, slack: int = 3600) -> str:
+        """A watermark delay that no staged row can miss: files of one chunk come in any order."""
+        return f"{self.span + slack} seconds"
+
+
 def stage_files(df: DataFrame, path: str, order: str, n_files: int, fmt: str = "parquet",
-                text_col: str | None = None) -> list[str]:
+                text_col: str | None = None) -> Staged:
     """Write ``df`` as ``n_files`` successive chunks of ``order`` (e.g. time), oldest first.
 
-    Returns the chunk folders; replaying them one per trigger feeds the stream
-    in time order.  (Fixture helper: a real deployment reads Kafka.)
+    Replaying them feeds the stream chunk by chunk; within a chunk there may be
+    several files (one per task) in any order, hence :attr:`Staged.span`.  The
+    source is read once.  (Fixture helper: a real deployment reads Kafka.)
     """
+    df = df.persist()
+    try:
+        return _stage(df, path, order, n_files, fmt, text_col)
+    finally:
+        df.unpersist()
+
+
+def _stage(df: DataFrame, path: str, order: str, n_files: int, fmt: str, text_col: str | None) -> Staged:
     key = F.unix_micros(F.col(order).cast("timestamp")) if dict(df.dtypes)[order].startswith("timestamp") \
         else F.col(order).cast("double")
     lo, hi = df.select(F.min(key), F.max(key)).first()
@@ -58,7 +79,8 @@ def stage_files(df: DataFrame, path: str, order: str, n_files: int, fmt: str = "
         else:
             part.write.mode("overwrite").format(fmt).save(p)
         paths.append(p)
-    return paths
+    per_second = 1_000_000 if dict(df.dtypes)[order].startswith("timestamp") else 1
+    return Staged(paths, int((span + 1) / n_files / per_second) + 1)
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int = 1) -> DataFrame:
@@ -77,6 +99,13 @@ def run_available_now(stream: DataFrame, fn: Callable[[DataFrame, int], None], c
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    if dropped := late_rows(q.recentProgress):
+        raise RuntimeError(f"{dropped} rows came behind the watermark and were not counted; raise its delay")
+
+
+def late_rows(progress) -> int:
+    """Rows that stateful operators dropped as late, over the query's recent progress reports."""
+    return sum(op["numRowsDroppedByWatermark"] for p in progress for op in (p["stateOperators"] or ()))
 
 
 def start(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
@@ -146,4 +175,5 @@ def ntz(col) -> Column:
 
 
 __all__ = ["stream_source", "stage_files", "file_stream", "run_available_now", "batch_partition_writer",
-           "read_changelog", "run_update_aggregate", "run_append", "materialize", "start", "event_time", "ntz"]
+           "read_changelog", "run_update_aggregate", "run_append", "materialize", "start", "event_time", "ntz",
+           "Staged", "late_rows"]

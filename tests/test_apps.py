@@ -110,9 +110,10 @@ def test_rail_feed_app_and_current_graph(spark, sf_dir):
     out = scratch_path(spark, "rail-out")
     A.rail_feed_app(spark, RN.stream_source(spark, "files", path=src), out, scratch_path(spark, "rail-ck")) \
         .awaitTermination()
-    v, e = A.rail_current_graph(spark, out)
+    v, e, s = A.rail_current_graph(spark, out)
     assert v.count() == QUERIES["rail_current_state"](spark, sf_dir).count()
     assert e.count() == QUERIES["rail_current_edges"](spark, sf_dir).count()
+    assert s.count() == QUERIES["rail_current_schedule_edges"](spark, sf_dir).count()
 
 
 def test_tweets_job(spark, sf_dir):

@@ -81,14 +81,23 @@ def test_kth_largest_matches_brute_force_with_duplicates_and_small_groups(spark)
         assert got[g] == (k, vals[k - 1] if k else None)
 
 
-def test_top_k_per_group_salted_equals_unsalted(spark):
+def test_top_k_per_group_equals_sorting(spark):
     rng = random.Random(5)
     rows = [(rng.randint(0, 3), i, rng.randint(0, 9)) for i in range(2000)]
     df = spark.createDataFrame(rows, "u int, item int, score int")
-    order = [F.desc("score"), F.col("item")]
-    a = top_k_per_group(df, ["u"], order, 5, salt_col="item", salt_buckets=8).select("u", "rank", "item").collect()
-    b = top_k_per_group(df, ["u"], order, 5).select("u", "rank", "item").collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    got = top_k_per_group(df, ["u"], [F.desc("score"), F.col("item")], 5).select("u", "rank", "item").collect()
+    want = []
+    for u in range(4):
+        own = sorted((-s, i) for v, i, s in rows if v == u)[:5]
+        want += [(u, k + 1, i) for k, (_, i) in enumerate(own)]
+    assert sorted(map(tuple, got)) == want
+
+
+def test_kth_largest_of_a_heavy_value_ranks_distinct_values_only(spark):
+    df = spark.range(20_000).selectExpr("'g' AS g", "if(id % 2 = 0, 100.0D, 100.0D + (id % 40) / 64.0) AS v")
+    r = kth_largest(df, ["g"], "v", k=F.lit(10_500)).collect()[0]
+    vals = sorted((x.v for x in df.collect()), reverse=True)
+    assert (r.n, r.k, r.kth) == (20_000, 10_500, vals[10_499])
 
 
 def test_exact_quantiles_match_numpy(spark):

@@ -25,8 +25,8 @@ from kestrel.session import scratch_path
 NUM, DEN = 75, 100              # two sets link when DEN * intersection >= NUM * union
 SHARE_SLACK = 0.08              # the front is (1 - threshold + slack) of a set; slack * size of it must be shared
 SMALL_RUN = 24                  # sharers of an n-gram that are paired directly
-HOT_LIMIT = 1 << 18             # size bound of the list of common n-grams (2 MB)
-HOT_LEAST = 64                  # fewest sharers of a common n-gram
+COUNTED = 0.5                   # share of a set (in hash order) whose n-grams are counted for the order
+HOT_LIMIT = 1 << 21             # size bound of the list of common n-grams (16 MB)
 BUILD_LIMIT = 256               # sets in one trie
 ENTRIES_PER_BUCKET = 500_000
 FEW_IDS = 500_000               # ids that may be broadcast (at most 16 MB); beyond, a shuffle join
@@ -74,76 +74,94 @@ def front_length(size: int) -> int:
     return min(size, size - need + int(_least_shared(size)))
 
 
-def _ordered(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
+def _gram_ids(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 32 bits of each n-gram as one number; two n-grams alike in it only add a candidate."""
+    return (grams % np.uint64(buckets)) << np.uint64(32) | (grams // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)
+
+
+def _ordered(s: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
     """The set in global order: by hash, common n-grams last."""
     if not len(hot) or not len(s):
         return s
-    at = np.searchsorted(hot, s)
-    common = hot[np.minimum(at, len(hot) - 1)] == s
+    ids = _gram_ids(s, buckets)
+    common = hot[np.minimum(np.searchsorted(hot, ids), len(hot) - 1)] == ids
     return np.concatenate((s[~common], s[common]))
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a document's set size and digest.  Kind 1: n-grams met twice or more in this task's stretch, with counts."""
-    names = ["kind", "doc_id", "size", "digest", "gram", "count"]     # for kind 0, gram is the digest's 64-bit key
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-    held, held_n = [], 0
-
-    def common():
-        grams, count = np.unique(np.concatenate(held), return_counts=True)
-        grams, count = grams[count > 1].view(np.int64), count[count > 1]
-        m = len(grams)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(m, np.int32)), pa.nulls(m, kinds[1]), pa.nulls(m, kinds[2]), pa.nulls(m, kinds[3]),
-             pa.array(grams), pa.array(count.astype(np.int64))], names)
+    """A document's set size, digest and the digest's first 64 bits as a key."""
     for part in byte_slices(batches, "text"):
         sets = ngram_sets(*text_buffers(part.column("text")), n)
-        m = part.num_rows
         digests = [_digest(s) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.zeros(m, np.int32)), part.column("doc_id"), pa.array([len(s) for s in sets], kinds[2]),
-             pa.array(digests, kinds[3]), pa.array([d and _key(d) for d in digests], kinds[4]),
-             pa.nulls(m, kinds[5])], names)
-        held += sets
-        held_n += sum(map(len, sets))
-        if held_n > 4_000_000:
-            yield common()
-            held, held_n = [], 0
-    if held:
-        yield common()
+            [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
+             pa.array([d and _key(d) for d in digests], pa.int64())], ["doc_id", "size", "digest", "key"])
 
 
 # ---------------------------------------------------------------- candidates
-def _front_batches(batches: Iterator[pa.RecordBatch], n: int, hot: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """The fronts of the stretch's distinct sets, packed per bucket: 32 bits of each n-gram and the set's key."""
-    names, kinds = ["bucket", "grams", "keys"], [pa.int32(), pa.binary(), pa.binary()]
+def _packed(parts: list[np.ndarray], owners: list[np.ndarray] | None, buckets: int) -> pa.RecordBatch:
+    """n-grams (32 bits each) and, if given, the keys of their sets, one row per bucket."""
+    grams = np.concatenate(parts)
+    bucket = (grams % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket, rest = bucket[order], (grams[order] // np.uint64(buckets)).astype(np.uint32)
+    edge = np.flatnonzero(np.diff(bucket, prepend=-1))
+    spans = list(zip(edge, np.append(edge[1:], len(bucket))))
+    cols = [pa.array(bucket[edge]), pa.array([rest[a:b].tobytes() for a, b in spans], pa.binary())]
+    if owners is not None:
+        keys = np.concatenate(owners)[order]
+        cols.append(pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()))
+    return pa.RecordBatch.from_arrays(cols, ["bucket", "grams", "keys"][:len(cols)])
+
+
+def _front_batches(batches: Iterator[pa.RecordBatch], n: int, buckets: int, hot: np.ndarray | None,
+                   held_limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The fronts of the stretch's distinct sets, packed per bucket.
+
+    Without ``hot``: the first COUNTED of each set by hash, n-grams alone, for counting.
+    """
     seen: set[int] = set()
-    fronts, keys, held = [], [], 0
-
-    def packed():
-        grams, owner = np.concatenate(fronts), np.concatenate(keys)
-        bucket = (grams % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        bucket, rest, owner = bucket[order], (grams[order] // np.uint64(buckets)).astype(np.uint32), owner[order]
-        edge = np.flatnonzero(np.diff(bucket, prepend=-1))
-        stop = np.append(edge[1:], len(bucket))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(bucket[edge]), pa.array([rest[a:b].tobytes() for a, b in zip(edge, stop)], kinds[1]),
-             pa.array([owner[a:b].tobytes() for a, b in zip(edge, stop)], kinds[2])], names)
+    parts, owners, held = [], [], 0
     for part in byte_slices(batches, "text"):
         for s in ngram_sets(*text_buffers(part.column("text")), n):
             if not len(s) or (key := _key(_digest(s))) in seen:    # copies met before add nothing
                 continue
             seen.add(key)
-            front = _ordered(s, hot)[:front_length(len(s))]
-            fronts.append(front)
-            keys.append(np.full(len(front), key, dtype=np.int64))
-            held += len(front)
-        if held > 2_000_000:
-            yield packed()
-            fronts, keys, held, seen = [], [], 0, set()
+            if hot is None:
+                parts.append(s[:int(len(s) * COUNTED) + 1])
+            else:
+                parts.append(_ordered(s, hot, buckets)[:front_length(len(s))])
+                owners.append(np.full(len(parts[-1]), key, dtype=np.int64))
+            held += len(parts[-1])
+        if held > held_limit:
+            yield _packed(parts, owners if hot is not None else None, buckets)
+            parts, owners, held, seen = [], [], 0, set()
     if held:
-        yield packed()
+        yield _packed(parts, owners if hot is not None else None, buckets)
+
+
+def _buckets_of(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]):
+    """(bucket, joined bytes of each column) of rows that arrive sorted by bucket; one bucket is held at a time."""
+    now, held = None, [[] for _ in columns]
+    for batch in batches:
+        for bucket, *blobs in zip(*(batch.column(c).to_pylist() for c in ("bucket", *columns))):
+            if bucket != now and now is not None:
+                yield now, [b"".join(h) for h in held]
+                held = [[] for _ in columns]
+            now = bucket
+            for h, b in zip(held, blobs):
+                h.append(b)
+    if now is not None:
+        yield now, [b"".join(h) for h in held]
+
+
+def _common_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """n-grams of more than SMALL_RUN sharers, with counts."""
+    for bucket, (blob,) in _buckets_of(batches, ("grams",)):
+        grams, count = np.unique(np.frombuffer(blob, dtype=np.uint32), return_counts=True)
+        many = count > SMALL_RUN
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket << 32 | grams[many].astype(np.int64)), pa.array(count[many].astype(np.int64))], ["gram", "count"])
 
 
 def _count_pairs(a: list[np.ndarray], b: list[np.ndarray]):
@@ -159,8 +177,8 @@ def _count_pairs(a: list[np.ndarray], b: list[np.ndarray]):
 
 
 def _bucket_candidates(bucket: int, grams: np.ndarray, keys: np.ndarray):
-    """Kind 0: pairs sharing an n-gram of few sharers.  Kind 1: least sharer and every other, where sharers are many.
-    Kind 2: (n-gram, sharer) of those many.  With counts of shared n-grams."""
+    """Kind 0: pairs sharing an n-gram of few sharers.  Kind 1: where sharers are many, the first and the last (by key)
+    with every other.  Kind 2: (n-gram, sharer) of those many.  With counts of shared n-grams."""
     order = np.lexsort((keys, grams))
     grams, keys = grams[order], keys[order]
     new = np.append(True, (grams[1:] != grams[:-1]) | (keys[1:] != keys[:-1]))   # a set met in two stretches counts once
@@ -178,9 +196,9 @@ def _bucket_candidates(bucket: int, grams: np.ndarray, keys: np.ndarray):
     a, b, gram, member = [], [], [], []
     for s, m in zip(start[length > SMALL_RUN], length[length > SMALL_RUN]):
         own = keys[s:s + m]
-        a.append(np.full(m - 1, own[0]))
-        b.append(own[1:])
-        gram.append(np.full(m, (int(grams[s]) << 31 | bucket) - (1 << 62), dtype=np.int64))
+        a += [np.full(m - 1, own[0]), own[1:-1]]
+        b += [own[1:], np.full(m - 2, own[-1])]
+        gram.append(np.full(m, bucket << 32 | int(grams[s]), dtype=np.int64))
         member.append(own)
     yield 1, *_count_pairs(a, b)
     if gram:
@@ -188,26 +206,12 @@ def _bucket_candidates(bucket: int, grams: np.ndarray, keys: np.ndarray):
 
 
 def _candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted by bucket; one bucket is held at a time."""
-    def flush(bucket, grams, keys):
-        g = np.frombuffer(b"".join(grams), dtype=np.uint32)
-        k = np.frombuffer(b"".join(keys), dtype=np.int64)
-        for kind, a, b, count in _bucket_candidates(bucket, g, k):
+    for bucket, (grams, keys) in _buckets_of(batches, ("grams", "keys")):
+        for kind, a, b, count in _bucket_candidates(bucket, np.frombuffer(grams, np.uint32), np.frombuffer(keys, np.int64)):
             if len(a):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(count.astype(np.int64))],
                     ["kind", "a", "b", "count"])
-    now, grams, keys = None, [], []
-    for batch in batches:
-        for bucket, g, k in zip(*(batch.column(c).to_pylist() for c in ("bucket", "grams", "keys"))):
-            if bucket != now and grams:
-                yield from flush(now, grams, keys)
-                grams, keys = [], []
-            now = bucket
-            grams.append(g)
-            keys.append(k)
-    if grams:
-        yield from flush(now, grams, keys)
 
 
 # ---------------------------------------------------------------- verification
@@ -299,56 +303,54 @@ class NgramJoin:
         self.spark: SparkSession = docs.sparkSession
         self.n = n
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        found = _written(self.spark, self.docs.mapInArrow(
-            lambda b: _set_batches(b, n),
-            "kind int, doc_id long, size long, digest binary, gram long, count long"), "ngram-sets")
-        self.rows = found.where("kind = 0").select("doc_id", "size", "digest", F.col("gram").alias("key"))
-        self._common = found.where("kind = 1").select("gram", "count")
+        self.rows = _written(self.spark, self.docs.mapInArrow(
+            lambda b: _set_batches(b, n), "doc_id long, size long, digest binary, key long"), "ngram-sets")
         # one class per distinct set; rows without an id take no part in links
         self.classes = _written(self.spark, self.rows.where("size > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.min("size").alias("size"), F.min("key").alias("key"),
-            F.count("*").alias("copies")), "ngram-classes")
+            F.min("doc_id").alias("rep"), F.min("size").alias("size"), F.min("key").alias("key")), "ngram-classes")
+        entries = self.classes.agg(F.sum(F.col("size") * (1 - NUM / DEN + SHARE_SLACK) + 1)).first()[0] or 0
+        self.parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), int(entries / (4 * ENTRIES_PER_BUCKET)))
+        self.buckets = 4 * self.parts
+
+    def _fronts(self, hot, schema: str) -> DataFrame:
+        """Packed fronts, each bucket's rows together and in order."""
+        n, buckets = self.n, self.buckets
+        packed = self.docs.where("doc_id IS NOT NULL").select("text").mapInArrow(
+            lambda b: _front_batches(b, n, buckets, hot and hot.value), schema)
+        return packed.repartition(self.parts, "bucket").sortWithinPartitions("bucket")
 
     def common_grams(self) -> np.ndarray:
-        """Sorted hashes of the commonest n-grams: at most HOT_LIMIT, whatever the corpus.
+        """Sorted ids of the commonest n-grams: those of more than SMALL_RUN sharers, at most HOT_LIMIT.
 
-        Counts leave out n-grams met once in a task's stretch; any list gives the
-        same links, a good one gives fewer candidates.
+        Counted over the fronts of all documents.  Any list gives the same
+        links; a good one gives fewer candidates.
         """
-        top = (self._common.groupBy("gram").agg(F.sum("count").alias("n")).where(F.col("n") >= HOT_LEAST)
-               .orderBy(F.col("n").desc(), "gram").limit(HOT_LIMIT).select("gram").toPandas())
-        return np.sort(top["gram"].to_numpy(dtype=np.int64).view(np.uint64))
-
-    def _pairs(self, shared: DataFrame, heavy: DataFrame | None) -> DataFrame:
-        """Candidate pairs ``u < v`` (representatives) whose sizes and shared front n-grams allow a link."""
-        c = self.classes.select("key", "rep", "size")
-        if heavy is not None:
-            c = c.join(heavy, "key", "left").select("key", "rep", "size", F.coalesce("heavy", F.lit(0)).alias("heavy"))
-        else:
-            c = c.withColumn("heavy", F.lit(0))
-        least = F.greatest(F.lit(1), F.least(_least_column("l.size"), _least_column("r.size"))
-                           - F.least("l.heavy", "r.heavy"))
+        counted = self._fronts(None, "bucket int, grams binary").mapInArrow(_common_batches, "gram long, count long")
+        top = counted.orderBy(F.col("count").desc(), "gram").limit(HOT_LIMIT).select("gram").toPandas()
+        return np.sort(top["gram"].to_numpy(dtype=np.int64).astype(np.uint64))
+
+    def _pairs(self, shared: DataFrame, least) -> DataFrame:
+        """Pairs ``u < v`` of representatives whose sizes allow a link and that share at least ``least`` front n-grams."""
+        c = self._sets
         return (shared.groupBy("a", "b").agg(F.sum("count").alias("n"))
                 .join(c.alias("l"), F.col("a") == F.col("l.key")).join(c.alias("r"), F.col("b") == F.col("r.key"))
-                .where((DEN * F.least("l.size", "r.size") >= NUM * F.greatest("l.size", "r.size")) & (F.col("n") >= least)
+                .where((DEN * F.least("l.size", "r.size") >= NUM * F.greatest("l.size", "r.size")) & least
                        & (F.col("l.rep") != F.col("r.rep")))
                 .select(F.least("l.rep", "r.rep").alias("u"), F.greatest("l.rep", "r.rep").alias("v")).distinct())
 
-    def _candidates(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """(pairs by rare n-grams and stars, front n-grams shared by many, how many of them each set has)."""
-        spark, n = self.spark, self.n
-        hot = spark.sparkContext.broadcast(self.common_grams())
-        entries = self.classes.agg(F.sum(F.col("size") * (1 - NUM / DEN + SHARE_SLACK) + 1)).first()[0] or 0
-        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(entries / (4 * ENTRIES_PER_BUCKET)))
-        buckets = 4 * parts
-        fronts = self.docs.where("doc_id IS NOT NULL").select("text").mapInArrow(
-            lambda b: _front_batches(b, n, hot.value, buckets), "bucket int, grams binary, keys binary")
-        found = _written(spark, fronts.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
+    def _first_candidates(self) -> DataFrame:
+        """Pairs that share enough rare n-grams, and stars of common ones; keeps what the second round needs."""
+        hot = self.spark.sparkContext.broadcast(self.common_grams())
+        found = _written(self.spark, self._fronts(hot, "bucket int, grams binary, keys binary").mapInArrow(
             _candidate_batches, "kind int, a long, b long, count long"), "ngram-candidates")
-        members = found.where("kind = 2").select(F.col("a").alias("gram"), F.col("b").alias("key"))
-        heavy = members.groupBy("key").agg(F.count("*").alias("heavy"))
-        pairs = self._pairs(found.where("kind = 0"), heavy).unionAll(self._pairs(found.where("kind = 1"), None))
-        return _written(spark, pairs.distinct(), "ngram-pairs"), members, heavy
+        self._members = found.where("kind = 2").select(F.col("a").alias("gram"), F.col("b").alias("key"))
+        heavy = self._members.groupBy("key").agg(F.count("*").alias("heavy"))
+        self._sets = _written(self.spark, self.classes.join(heavy, "key", "left").select(
+            "key", "rep", "size", F.coalesce("heavy", F.lit(0)).alias("heavy")), "ngram-heavy")
+        self._few = found.where("kind = 0")
+        pairs = self._pairs(self._few, F.col("n") >= _least_of_pair()).unionAll(
+            self._pairs(found.where("kind = 1"), F.col("n") >= _least_of_pair()))
+        return _written(self.spark, pairs.distinct(), "ngram-pairs")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The linked pairs among the candidates."""
@@ -369,26 +371,32 @@ class NgramJoin:
         rows = probe.unionAll(build).repartition("u", "salt").sortWithinPartitions("u", "salt", "role")
         return _written(spark, rows.mapInArrow(_verify_batches, "u long, v long"), "ngram-links")
 
-    def _residual(self, members: DataFrame, heavy: DataFrame, component: DataFrame) -> DataFrame:
-        """Pairs known only through n-grams shared by many, between components that are still apart.
+    def _second_candidates(self, component: DataFrame) -> DataFrame:
+        """What the first round left open, between components that are still apart.
 
-        Such a pair shares enough front n-grams within the heavy ones alone, so
-        both sets have that many.  Groups that the first round joined are gone.
+        A linked pair shares ``least`` front n-grams.  Either some of them are
+        rare, and the common ones of both sets make up for the rest; or all are
+        common, and both sets hold that many.
         """
-        c = (self.classes.select("key", "rep", "size").join(heavy, "key")
-             .where(F.col("heavy") >= _least_column("size"))
-             .join(component, F.col("rep") == F.col("node"), "left")
+        node = component.select("node", "component")
+        least = _least_of_pair()
+        mixed = self._pairs(self._few, (F.col("n") < least) & (F.col("n") + F.least("l.heavy", "r.heavy") >= least))
+        for end in ("u", "v"):
+            mixed = mixed.join(node.select(F.col("node").alias(end), F.col("component").alias("c" + end)), end, "left")
+        mixed = mixed.where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
+        c = (self._sets.where(F.col("heavy") >= _least_column("size")).join(node, F.col("rep") == F.col("node"), "left")
              .select("key", "rep", "size", F.coalesce("component", "rep").alias("component")))
-        rows = members.join(c, "key")
+        rows = self._members.join(c, "key")
         apart = rows.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
         rows = rows.join(apart.select("gram"), "gram").select("gram", "rep", "size", "component")
         l, r = rows.alias("l"), rows.alias("r")
         met = l.join(r, (F.col("l.gram") == F.col("r.gram")) & (F.col("l.rep") < F.col("r.rep"))
                      & (F.col("l.component") != F.col("r.component"))
                      & (DEN * F.least("l.size", "r.size") >= NUM * F.greatest("l.size", "r.size")))
-        return met.groupBy(F.col("l.rep").alias("u"), F.col("r.rep").alias("v")).agg(
+        common = met.groupBy(F.col("l.rep").alias("u"), F.col("r.rep").alias("v")).agg(
             F.count("*").alias("n"), F.first(F.least("l.size", "r.size")).alias("size")).where(
             F.col("n") >= _least_column("size")).select("u", "v")
+        return _written(self.spark, mixed.unionAll(common).distinct(), "ngram-residual")
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """(verified links between representatives, ``node, component``).
@@ -396,10 +404,9 @@ class NgramJoin:
         The links connect exactly the documents that the join links; a pair whose
         documents are already connected by other links may be left unlisted.
         """
-        pairs, members, heavy = self._candidates()
-        first = self._verified(pairs)
+        first = self._verified(self._first_candidates())
         component = connected_components(self.spark, first)
-        rest = _written(self.spark, self._residual(members, heavy, component), "ngram-residual")
+        rest = self._second_candidates(component)
         if rest.isEmpty():
             return first, component
         every = first.unionAll(self._verified(rest))
@@ -415,6 +422,10 @@ class NgramJoin:
             F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def _least_of_pair():
+    return F.least(_least_column("l.size"), _least_column("r.size"))
+
+
 def _least_column(size: str):
     return F.greatest(F.lit(1), F.floor(F.col(size) * SHARE_SLACK).cast("long"))
 

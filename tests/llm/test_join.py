@@ -83,7 +83,6 @@ def test_groups_around_the_threshold(spark, seed):
 def test_large_group_of_chained_copies_goes_through_the_residual(spark, monkeypatch):
     """Copies drift along a chain: ends are far apart, neighbours are linked, n-grams have many sharers."""
     monkeypatch.setattr(ngram_join, "SMALL_RUN", 3)
-    monkeypatch.setattr(ngram_join, "HOT_LEAST", 8)
     monkeypatch.setattr(ngram_join, "BUILD_LIMIT", 7)
     r = random.Random(4)
     words = [f"c{i}" for i in range(60)]
@@ -119,8 +118,8 @@ def test_fronts_of_linked_sets_share_enough():
         b = np.unique(np.concatenate((a[rng.random(len(a)) > 0.15], rng.integers(0, 2 ** 63, rng.integers(0, 20), dtype=np.uint64))))
         common = len(np.intersect1d(a, b))
         if len(b) and 100 * common >= 75 * (len(a) + len(b) - common):
-            hot = np.sort(rng.choice(a, len(a) // 3, replace=False))
-            fa, fb = (ngram_join._ordered(s, hot)[:ngram_join.front_length(len(s))] for s in (a, b))
+            hot = np.sort(ngram_join._gram_ids(rng.choice(a, len(a) // 3, replace=False), 8))
+            fa, fb = (ngram_join._ordered(s, hot, 8)[:ngram_join.front_length(len(s))] for s in (a, b))
             assert len(np.intersect1d(fa, fb)) >= ngram_join._least_shared(min(len(a), len(b)))
 
 

@@ -14,7 +14,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.session import scratch_path
+
 SALTS = 32                      # ways a source's rows are dealt for the join with the rates
+FEW_SOURCES = 10_000            # sources whose rates may be broadcast (about 4 MB)
 PIECE = 8.0                     # a larger rate is a sum of equal rates of at most this size
 
 
@@ -75,9 +78,10 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, default_wei
     hash-dealt partitions).  Those names replace input columns of the same name.
     A document's count depends on seed and id only (repeated ids get the same
     count, a null id counts as the id ``null``), so it survives recomputation.
-    The rates are one row per source; they are joined on (source, salt), so a
-    source with a third of all rows is dealt over ``SALTS`` tasks.  Empty input
-    gives an empty result.
+    The rates are one row per source, written to shared storage and counted: up
+    to ``FEW_SOURCES`` are broadcast, so texts move once, in the shuffle; beyond,
+    they are joined on (source, salt), which deals a source with a third of all
+    rows over ``SALTS`` tasks.  Empty input gives an empty result.
     """
     own = [c for c in docs.columns if c not in ("copy_no", "copies", "rate", "shuffle_key")]
     rates = source_rates(docs, weights, default_weight, epochs, source_col, text_col)
@@ -85,11 +89,18 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, default_wei
     draws = F.greatest(F.lit(1), F.ceil(F.col("rate") / PIECE).cast("int"))
     rates = rates.select(F.col("source").alias("__source"), F.col("rate"), draws.alias("__draws")).withColumn(
         "__steps", poisson_steps(F.col("rate") / F.col("__draws")))
-    rates = rates.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    spark = docs.sparkSession
+    path = scratch_path(spark, "mix-rates")
+    rates.write.parquet(path)
+    rates = spark.read.parquet(path)
     ident = _text_key(F.col(id_col))
-    rows = docs.select(*own, F.pmod(F.xxhash64(ident), F.lit(SALTS)).cast("int").alias("__salted"))
-    joined = rows.join(rates, F.col(source_col).cast("string").eqNullSafe(F.col("__source"))
-                       & (F.col("__salted") == F.col("__salt")))
+    same = F.col(source_col).cast("string").eqNullSafe(F.col("__source"))
+    if rates.count() <= FEW_SOURCES:
+        joined = docs.select(*own).join(F.broadcast(rates), same)
+    else:                                                          # too many to broadcast: deal hot sources by a salt
+        dealt = rates.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+        rows = docs.select(*own, F.pmod(F.xxhash64(ident), F.lit(SALTS)).cast("int").alias("__salted"))
+        joined = rows.join(dealt, same & (F.col("__salted") == F.col("__salt")))
     drawn = F.transform(F.sequence(F.lit(1), F.col("__draws")), lambda i: hash_fraction(
         F.lit(f"count:{seed}"), i.cast("string"), ident))
     copies = F.aggregate(drawn, F.lit(0), lambda acc, u: acc + F.size(F.filter(F.col("__steps"), lambda c: c <= u)))

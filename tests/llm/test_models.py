@@ -58,6 +58,13 @@ def test_mixing_is_repeatable_shuffled_and_native(spark, documents):
     assert not re.search("Python|Pandas|Arrow", mixing.mix(documents)._jdf.queryExecution().executedPlan().toString())
 
 
+def test_many_sources_are_joined_by_salt_with_the_same_result(documents, monkeypatch):
+    columns = ["doc_id", "copy_no", "copies", "rate", "shuffle_key"]
+    a = sorted(map(tuple, mixing.mix(documents, seed=3).select(*columns).collect()))
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
+    assert sorted(map(tuple, mixing.mix(documents, seed=3).select(*columns).collect())) == a
+
+
 def test_mixing_odd_rows(odd, empty):
     out = mixing.mix(odd, epochs=40.0, seed=2)
     assert set(odd.columns) <= set(out.columns) and len(set(out.columns)) == len(out.columns)

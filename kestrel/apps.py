@@ -26,6 +26,7 @@ from kestrel.sinks import files as W
 from kestrel.sinks.index import index_writer
 from kestrel.sources import readers as R
 from kestrel.sources import tweets as TW
+from kestrel.sources.gunzip import gunzip
 from kestrel.sources.tables import CUSTOMER_DELIM, CUSTOMER_FIELDS
 from kestrel.streaming import jobs as J
 from kestrel.streaming import runner as RN
@@ -220,10 +221,13 @@ def wordcount_app(spark: SparkSession, source: DataFrame, out: str, checkpoint:
 
 # ---------------------------------------------------------------- rail feed, tweets, churn
 def rail_feed_app(spark: SparkSession, source: DataFrame, out_root: str, checkpoint: str,
-                  processing_time: str | None = None):
+                  processing_time: str | None = None, gzipped: bool = False):
     """Parse each micro-batch of rail XML once and append typed tables:
     ``forecast_edges/``, ``schedule_edges/``, ``vertex_events/`` (batch-partitioned,
     idempotent on replay).  ``rail_current_graph`` derives the live graph."""
+    if gzipped:                                                    # payloads as the push feed sends them
+        source = gunzip(source)
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
@@ -246,6 +250,29 @@ def rail_current_graph(spark: SparkSession, out_root: str) -> tuple[DataFrame, D
     return RL.latest_vertices(events), RL.latest_edges(forecasts, events), RL.latest_edges(schedules, events)
 
 
+def churn_train_job(spark: SparkSession, table_path: str) -> DataFrame:
+    """Train the tree and the forest on the table that ``churn_app`` appends to; ``model, auc`` on the holdout."""
+    from kestrel.ml import classify as CL
+    rows = spark.read.parquet(table_path).drop("batch_id").where(F.col("churned").isNotNull())
+    tree, forest = (CL.fit_and_score(spark, rows, c) for c in (CL.decision_tree(), CL.random_forest()))
+    return tree.unionByName(forest)
+
+
+def listening_job(spark: SparkSession, counts_path: str) -> DataFrame:
+    """Implicit ALS (5 iterations, reg 0.01) over space-delimited ``user item count`` lines.
+
+    Returns the predictions for the held-out pairs, sorted by user.
+    """
+    shared_dir(spark)
+    p = split_literal("value", " ")
+    rows = spark.read.text(counts_path).select(
+        F.try_element_at(p, F.lit(1)).try_cast("int").alias("user"), F.try_element_at(p, F.lit(2)).try_cast("int").alias("item"),
+        F.try_element_at(p, F.lit(3)).try_cast("double").alias("rating")).dropna()
+    train, test = S.hash_split(rows, ["user", "item"], [0.8, 0.2], seed=RC.SEED)
+    model = RC.als(rank=10, max_iter=5, reg=0.01, implicit=True).fit(train)
+    return model.transform(test).orderBy("user", "item")
+
+
 def tweets_job(spark: SparkSession, pages_path: str, out_path: str, one_file_per_page: bool = False) -> DataFrame:
     """Search-result pages (JSON arrays) → flat, de-duplicated tweets written as JSON."""
     flat = TW.flatten(TW.read_pages(spark, pages_path, one_file_per_page)).dropDuplicates(["id"])
@@ -253,16 +280,15 @@ def tweets_job(spark: SparkSession, pages_path: str, out_path: str, one_file_per
     return spark.read.json(out_path)
 
 
-CHURN_SCHEMA = T.StructType(
-    [T.StructField("state", T.StringType()), T.StructField("account_length", T.DoubleType()),
-     T.StructField("area_code", T.StringType()), T.StructField("phone_number", T.StringType()),
-     T.StructField("intl_plan", T.StringType()), T.StructField("voice_mail_plan", T.StringType())]
-    + [T.StructField(n, T.DoubleType()) for n in (
-        "number_vmail_messages", "total_day_minutes", "total_day_calls", "total_day_charge",
-        "total_eve_minutes", "total_eve_calls", "total_eve_charge", "total_night_minutes",
-        "total_night_calls", "total_night_charge", "total_intl_minutes", "total_intl_calls",
-        "total_intl_charge", "number_customer_service_calls")]
-    + [T.StructField("churned", T.StringType())])
+# The 21 fields of a churn message, in the order of the wire format (fixed values).
+CHURN_FIELDS = """
+    state string, account_length double, area_code string, phone_number string, intl_plan string, voice_mail_plan string,
+    number_vmail_messages double, total_day_minutes double, total_day_calls double, total_day_charge double,
+    total_eve_minutes double, total_eve_calls double, total_eve_charge double, total_night_minutes double,
+    total_night_calls double, total_night_charge double, total_intl_minutes double, total_intl_calls double,
+    total_intl_charge double, number_customer_service_calls double, churned string"""
+_TYPES = {"string": T.StringType(), "double": T.DoubleType()}
+CHURN_SCHEMA = T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in map(str.split, CHURN_FIELDS.split(","))])
 
 
 def parse_churn_messages(values: DataFrame) -> DataFrame:
@@ -281,4 +307,4 @@ def churn_app(spark: SparkSession, source: DataFrame, table_path: str, checkpoin
 
 __all__ = ["mileage_job", "als_tuning_job", "implicit_job", "rating_stream_app", "risk_app", "risk_batch",
            "wordcount_app", "rail_feed_app", "rail_current_graph", "tweets_job", "churn_app",
-           "parse_customer_messages", "parse_churn_messages"]
+           "parse_customer_messages", "parse_churn_messages", "churn_train_job", "listening_job"]

@@ -8,6 +8,8 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 
+from kestrel.operators.stats import hash_split
+
 SEED = 42
 # Feature columns used by the original classifier (fixed values).
 REDUCED_NUMERIC = ["account_length", "number_vmail_messages", "total_day_calls", "total_day_charge",
@@ -24,7 +26,7 @@ def pipeline(classifier) -> Pipeline:
 
 
 def fit_and_score(spark: SparkSession, data: DataFrame, classifier, split=(0.7, 0.3)) -> DataFrame:
-    train, test = data.randomSplit(list(split), seed=SEED)
+    train, test = hash_split(data, sorted(data.columns), list(split), seed=SEED)   # repeatable after a lost task
     model = pipeline(classifier).fit(train)
     auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(model.transform(test))
     return spark.createDataFrame([(type(classifier).__name__, float(auc))], "model string, auc double")

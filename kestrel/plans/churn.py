@@ -59,3 +59,12 @@ def churn_tree_auc(spark, sf_dir):
 @query("churn_forest_auc")
 def churn_forest_auc(spark, sf_dir):
     return CL.fit_and_score(spark, TB.churn(spark, sf_dir), CL.random_forest())
+
+
+@query("churn_checks", """SELECT 'DecisionTreeClassifier' AS model, true AS useful
+    UNION ALL SELECT 'RandomForestClassifier', true""")
+def churn_checks(spark, sf_dir):
+    """Both classifiers rank held-out customers better than chance."""
+    data = TB.churn(spark, sf_dir)
+    scored = CL.fit_and_score(spark, data, CL.decision_tree()).unionAll(CL.fit_and_score(spark, data, CL.random_forest()))
+    return scored.select("model", ((F.col("auc") > 0.5) & (F.col("auc") <= 1.0)).alias("useful"))

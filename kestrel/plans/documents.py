@@ -187,10 +187,11 @@ def geo_radius_filter(spark, sf_dir):
     return _near(_tweets(spark, sf_dir)).select("id", F.round("distance", 6).alias("distance"))
 
 
-@query("keyset_page", "WITH " + _TW + """
-    SELECT CAST(floor(id / 100) AS BIGINT) AS page, count(*) AS n, min(id) AS next_max_id, max(id) AS max_id
-    FROM near WHERE distance <= 10.0 GROUP BY 1""")
+@query("keyset_page", "WITH " + _TW + """,
+    ranked AS (SELECT id, row_number() OVER (ORDER BY id DESC) - 1 AS pos FROM near WHERE distance <= 10.0),
+    paged AS (SELECT id, pos, pos // 99 AS page FROM ranked
+              UNION ALL SELECT id, pos, pos // 99 - 1 FROM ranked WHERE pos > 0 AND pos % 99 = 0)
+    SELECT CAST(page AS BIGINT) AS page, count(*) AS n, min(id) AS next_max_id, max(id) AS max_id FROM paged GROUP BY 1""")
 def keyset_page(spark, sf_dir):
-    n = _near(_tweets(spark, sf_dir))
-    return n.groupBy(F.floor(F.col("id") / 100).cast("long").alias("page")).agg(
-        F.count("*").alias("n"), F.min("id").alias("next_max_id"), F.max("id").alias("max_id"))
+    """Search pages of 100, newest first; a page starts at the cursor, the smallest id of the page before."""
+    return TW.keyset_pages(_near(_tweets(spark, sf_dir)), "id", 100)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALSModel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kestrel.ml import recommend as RC
@@ -38,7 +39,7 @@ def als_grid(spark, sf_dir):
 def als_implicit(spark, sf_dir):
     # implicit feedback: how often a user touched an item (view counts)
     views = TB.ratings(spark, sf_dir).groupBy("user", "item").agg(F.count("*").cast("double").alias("rating"))
-    train, test = views.randomSplit([0.8, 0.2], seed=RC.SEED)
+    train, test = S.hash_split(views, ["user", "item"], [0.8, 0.2], seed=RC.SEED)
     model = RC.als(rank=10, max_iter=10, reg=0.01, implicit=True, alpha=0.01).fit(train)
     return model.transform(test).select("user", "item", "rating", F.round("prediction", 4).alias("prediction"))
 
@@ -131,3 +132,64 @@ def random_split(spark, sf_dir):
 @query("bernoulli_sample")
 def bernoulli_sample(spark, sf_dir):
     return TB.ratings(spark, sf_dir).sample(False, 0.5, 83)
+
+
+# ---------------------------------------------------------------- checked skeletons of the learned results
+_KNOWN_SQL = """sp AS (SELECT *, CASE WHEN (epoch_us(ts) // 1000000) % 10 < 6 THEN 'train'
+        WHEN (epoch_us(ts) // 1000000) % 10 < 8 THEN 'validation' ELSE 'test' END AS split FROM ratings),
+    tr AS (SELECT * FROM sp WHERE split = 'train'),
+    te AS (SELECT * FROM sp WHERE split = 'test'),
+    ok AS (SELECT * FROM te WHERE "user" IN (SELECT "user" FROM tr) AND item IN (SELECT item FROM tr))"""
+
+
+@query("als_checks", TB.with_views("WITH " + _KNOWN_SQL + """
+    SELECT 'predicted_rows' AS "check", count(*) AS n FROM ok
+    UNION ALL SELECT 'finite_predictions', count(*) FROM ok
+    UNION ALL SELECT 'loaded_model_differs', 0
+    UNION ALL SELECT 'top5_users', count(DISTINCT "user") FROM te WHERE "user" IN (SELECT "user" FROM tr)
+    UNION ALL SELECT 'top5_rows', count(DISTINCT "user") * (SELECT least(5, count(DISTINCT item)) FROM tr) FROM te
+              WHERE "user" IN (SELECT "user" FROM tr)
+    UNION ALL SELECT 'top5_out_of_order', 0""", "ratings"))
+def als_checks(spark, sf_dir):
+    """What must hold of one fit: who is scored, that a saved model scores alike, and the shape of the top five."""
+    train, _, test = _splits(spark, sf_dir)
+    model = RC.als().fit(train)
+    path = scratch_path(spark, "als-model")
+    model.write().overwrite().save(path)
+    a = model.transform(test)
+    b = ALSModel.load(path).transform(test)
+    scored = a.agg(F.count("*").alias("predicted_rows"), F.count_if(F.abs("prediction") < 1e6).alias("finite_predictions"))
+    pair = ["user", "item", "prediction"]
+    differs = a.select(pair).exceptAll(b.select(pair)).agg(F.count("*").alias("loaded_model_differs"))
+    top = RC.recommend_for(model, test.select("user"), 5, TB.catalog(spark, sf_dir))
+    after = F.lag("rating").over(Window.partitionBy("user").orderBy("rank"))
+    shape = top.withColumn("before", after).agg(
+        F.countDistinct("user").alias("top5_users"), F.count("*").alias("top5_rows"),
+        F.count_if(F.col("rating") > F.col("before")).alias("top5_out_of_order"))
+    rows = [df.unpivot([], df.columns, "check", "n") for df in (scored, differs, shape)]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2])
+
+
+@query("split_checks", TB.with_views("""
+    SELECT 'rows' AS "check", count(*) AS n FROM ratings UNION ALL SELECT 'rows_in_two_parts', 0
+    UNION ALL SELECT 'parts_off_by_more_than_a_tenth', 0 UNION ALL SELECT 'sample_rows_not_in_table', 0
+    UNION ALL SELECT 'sample_share_off', 0""", "ratings"))
+def split_checks(spark, sf_dir):
+    """Repeatable parts cover every row once, near their weights; the Bernoulli sample is a subset of about half."""
+    r = TB.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    parts = S.hash_split(r, ["id"], [0.8, 0.1, 0.1], seed=RC.SEED)
+    tagged = [p.select("id", F.lit(i).alias("part"), F.lit(w).alias("weight")) for i, (p, w) in enumerate(zip(parts, (0.8, 0.1, 0.1)))]
+    every = tagged[0].unionAll(tagged[1]).unionAll(tagged[2])
+    n = r.agg(F.count("*")).scalar()
+    per_id = every.groupBy("id").count()
+    off = every.groupBy("part", "weight").agg(F.count("*").alias("c")).where(
+        F.abs(F.col("c") - n * F.col("weight")) > 0.1 * n * F.col("weight") + 30)
+    half = r.sample(False, 0.5, 83)
+    share = half.agg(F.count("*").alias("c")).where(F.abs(F.col("c") - 0.5 * n) > 0.1 * n + 30)
+    out = None
+    for name, df in (("rows", per_id), ("rows_in_two_parts", per_id.where("count > 1")),
+                     ("parts_off_by_more_than_a_tenth", off),
+                     ("sample_rows_not_in_table", half.join(r, "id", "left_anti")), ("sample_share_off", share)):
+        row = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), "n")
+        out = row if out is None else out.unionAll(row)
+    return out

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.operators.sequence import row_index
 from kestrel.sources.tables import table
 
 TWEET_SCHEMA = T.StructType([
@@ -65,3 +66,20 @@ def flatten(tweets: DataFrame) -> DataFrame:
         "id", F.col("created_at").alias("date"), F.replace(F.col("text"), F.lit("\n"), F.lit(" ")).alias("text"),
         F.element_at("place.bounding_box.coordinates", 1).alias("bounding_box"),
         F.col("user.id").alias("user"))
+
+
+def keyset_pages(df: DataFrame, id_col: str, size: int, ids_per_bucket: int = 100_000) -> DataFrame:
+    """``page, n, next_max_id, max_id`` of pages of ``size`` ids, newest (largest) first.
+
+    The cursor is inclusive: a page starts with the smallest id of the page
+    before.  Positions come from per-bucket row numbers plus the sizes of the
+    buckets ahead, so no task sorts the whole result.
+    """
+    keyed = df.select(F.lit(0).alias("_all"), (-F.col(id_col)).alias("_order"),
+                      F.floor(-F.col(id_col) / ids_per_bucket).alias("_bucket"), F.col(id_col).alias("_id"))
+    at = F.col("pos")
+    page = F.floor(at / (size - 1)).cast("long")
+    pages = F.when((at > 0) & (at % (size - 1) == 0), F.array(page, page - 1)).otherwise(F.array(page))
+    ranked = row_index(keyed, "_all", ["_order"], bucket="_bucket", name="pos")
+    return (ranked.select("_id", F.explode(pages).alias("page")).groupBy("page")
+            .agg(F.count("*").alias("n"), F.min("_id").alias("next_max_id"), F.max("_id").alias("max_id")))

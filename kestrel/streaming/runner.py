@@ -22,13 +22,14 @@ from kestrel.session import scratch_path
 def stream_source(spark: SparkSession, kind: str, **opts) -> DataFrame:
     """A streaming DataFrame with a string ``value`` column.
 
-    ``kind``: ``kafka`` (``servers``, ``topic``), ``socket`` (``host``, ``port``)
-    or ``files`` (``path``; text lines).
+    ``kind``: ``kafka`` (``servers``, ``topic``; ``binary=True`` leaves payloads
+    undecoded, e.g. for gzip), ``socket`` (``host``, ``port``) or ``files``
+    (``path``; text lines).
     """
     if kind == "kafka":
         return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", opts["servers"])
                 .option("subscribe", opts["topic"]).option("startingOffsets", opts.get("offsets", "earliest"))
-                .load().selectExpr("CAST(value AS STRING) AS value"))
+                .load().selectExpr("value" if opts.get("binary") else "CAST(value AS STRING) AS value"))
     if kind == "socket":
         return (spark.readStream.format("socket").option("host", opts["host"])
                 .option("port", int(opts["port"])).load())

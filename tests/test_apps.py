@@ -130,3 +130,50 @@ def test_tweet_pages_one_file_per_page_layout(spark, sf_dir):
     TW.write_pages(TW.tweet_documents(spark, sf_dir), pages, one_file_per_page=True)
     got = A.tweets_job(spark, pages, scratch_path(spark, "tweets-out2"), one_file_per_page=True)
     assert got.count() == TB.table(spark, sf_dir, "documents").count()
+
+
+def test_gzip_payloads_decode_and_broken_ones_are_null(spark):
+    import gzip
+
+    from kestrel.sources.gunzip import gunzip
+    rows = [(bytearray(gzip.compress("<a x='é'/>".encode())),), (None,), (bytearray(b"plain"),)]
+    got = [r.value for r in gunzip(spark.createDataFrame(rows, "value binary")).collect()]
+    assert got == ["<a x='é'/>", None, None]
+
+
+def test_churn_table_trains_both_models(spark, sf_dir):
+    c = TB.churn(spark, sf_dir.replace("sf0.001", "sf0.01"))
+    path = scratch_path(spark, "churn-table")
+    c.select(*[(F.col(f.name) if f.name in c.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+               for f in A.CHURN_SCHEMA.fields]).write.parquet(f"{path}/batch_id=0")
+    out = {r.model: r.auc for r in A.churn_train_job(spark, path).collect()}
+    assert len(out) == 2 and all(0.5 < a <= 1 for a in out.values())
+
+
+def test_listening_counts_job_sorts_its_predictions(spark):
+    path = scratch_path(spark, "listening")
+    spark.range(3000).selectExpr("concat_ws(' ', id % 40, id % 37, 1 + id % 5) AS value").distinct().write.text(path)
+    rows = [(r.user, r.item) for r in A.listening_job(spark, path).collect()]
+    assert rows and rows == sorted(rows)
+
+
+def test_dropped_words_keep_a_running_total(spark):
+    src, out = scratch_path(spark, "drop-src"), scratch_path(spark, "drop-out")
+    for i, text in enumerate(["a b x", "c y a"]):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{src}/part={i}")
+    A.wordcount_app(spark, RN.stream_source(spark, "files", path=f"{src}/*"), out, scratch_path(spark, "drop-ck")).awaitTermination()
+    totals = [spark.read.parquet(f"{out}/_dropped/batch_id={i}").first().total for i in range(2)]
+    assert totals == [2, 4]
+    assert {r.word for r in spark.read.parquet(f"{out}/batch_id=0", f"{out}/batch_id=1").collect()} == {"x", "y"}
+
+
+def test_risk_app_writes_both_risk_resources(spark, sf_dir):
+    lines = TB.customer_lines(spark, sf_dir)
+    src, idx = scratch_path(spark, "risk-lines"), scratch_path(spark, "risk-index")
+    lines.select(F.col("line").alias("value")).coalesce(1).write.text(src)
+    A.risk_app(spark, RN.stream_source(spark, "files", path=src), idx, scratch_path(spark, "risk-app-ck"),
+               slide_seconds=6 * 3600, lateness_slots=200).awaitTermination()
+    want = A.risk_batch(A.parse_customer_messages(lines.select(F.col("line").alias("value"))), 6 * 3600, 10)
+    for category, (resource, field) in A.RISK_RESOURCES.items():
+        got = sorted((r.tstamp, r.nino, r[field]) for r in read_index(spark, idx, resource).collect())
+        assert got == sorted((r.tstamp, r.nino, r.cost) for r in want.where(F.col("risk_category") == category).collect())

@@ -145,17 +145,17 @@ def _tokens(text: Column, seeds: Column) -> Column:
     """Identifier tokens as ``array<struct<token, s, e, before, seed>>``.
 
     A token is trimmed of punctuation at its ends; one that touches a base span
-    is a seed; ``before`` is the lower-case word ahead of it, if it holds a letter
-    and no digit.
+    is a seed and stands for that whole entity; ``before`` is the lower-case word
+    ahead of it, if it holds a letter and no digit.
     """
     def one(x: Column, own: Column) -> Column:
         lead = F.char_length(F.regexp_extract(x["m"], r"^([\p{Punct}&&[^+@]]*)", 1))
         bare = F.regexp_replace(F.regexp_replace(x["m"], r"^[\p{Punct}&&[^+@]]+", ""), r"(?<!\p{Punct})\p{Punct}++$", "")
         word = F.lower(F.regexp_extract(x["b"], r"([^\s0-9]*\p{L}[^\s0-9]*)\s+$", 1))
         start = x["s"] + lead
-        return F.struct(bare.alias("token"), start.alias("s"), (start + F.char_length(bare)).alias("e"),
-                        F.when(F.char_length(word).between(1, 40), word).alias("before"),
-                        F.exists(own, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])).alias("seed"))
+        entity = F.get(F.filter(own, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])), F.lit(0))["m"]
+        return F.struct(F.coalesce(entity, bare).alias("token"), start.alias("s"), (start + F.char_length(bare)).alias("e"),
+                        F.when(F.char_length(word).between(1, 40), word).alias("before"), entity.isNotNull().alias("seed"))
     return let(seeds, lambda own: F.transform(match_spans(text, _TOKEN, with_before=True), lambda x: one(x, own)))
 
 
@@ -167,7 +167,7 @@ def survey(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     t = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(t).alias("h"), t.alias("t"),
                        *[base_spans(_text(t), k).alias(k) for k in BASE_KINDS])
-    seeds = F.flatten(F.array(*[F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+    seeds = F.flatten(F.array(*[F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
                                 for k in BASE_KINDS]))
     tokens = F.when(F.col("t").rlike("[0-9@]"), _tokens(F.col("t"), seeds))
     slim = [F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in BASE_KINDS]
@@ -266,8 +266,10 @@ def redact(docs: DataFrame, bootstrap: Bootstrap = Bootstrap(), id_col: str = "d
                                  & (F.xxhash64(t) == F.col("r.h")), "left")
     kinds = [base_spans(_text(t), k) for k in BASE_KINDS] + [
         F.coalesce(F.col("r.context"), F.array().cast("array<struct<s:bigint,e:bigint>>"))]
-    tagged = F.array_sort(F.flatten(F.array(*[F.transform(spans, lambda x, i=i: F.struct(
-        x["s"].alias("s"), F.lit(i).alias("k"), x["e"].alias("e"))) for i, spans in enumerate(kinds)])))
+
+    def of_kind(i: int, spans: Column) -> Column:
+        return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), F.lit(i).alias("k"), x["e"].alias("e")))
+    tagged = F.array_sort(F.flatten(F.array(*[of_kind(i, spans) for i, spans in enumerate(kinds)])))
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 

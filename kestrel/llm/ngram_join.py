@@ -29,6 +29,7 @@ COUNTED = 0.5                   # share of a set (in hash order) whose n-grams a
 HOT_LIMIT = 1 << 21             # size bound of the list of common n-grams (16 MB)
 BUILD_LIMIT = 256               # sets in one trie
 ENTRIES_PER_BUCKET = 500_000
+WORK_BYTES = 2 << 20            # text hashed at a time
 FEW_IDS = 500_000               # ids that may be broadcast (at most 16 MB); beyond, a shuffle join
 
 
@@ -90,7 +91,7 @@ def _ordered(s: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
 
 def _set_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """A document's set size, digest and the digest's first 64 bits as a key."""
-    for part in byte_slices(batches, "text"):
+    for part in byte_slices(batches, "text", WORK_BYTES):
         sets = ngram_sets(*text_buffers(part.column("text")), n)
         digests = [_digest(s) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
@@ -115,14 +116,14 @@ def _packed(parts: list[np.ndarray], owners: list[np.ndarray] | None, buckets: i
 
 
 def _front_batches(batches: Iterator[pa.RecordBatch], n: int, buckets: int, hot: np.ndarray | None,
-                   held_limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+                   held_limit: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The fronts of the stretch's distinct sets, packed per bucket.
 
     Without ``hot``: the first COUNTED of each set by hash, n-grams alone, for counting.
     """
     seen: set[int] = set()
     parts, owners, held = [], [], 0
-    for part in byte_slices(batches, "text"):
+    for part in byte_slices(batches, "text", WORK_BYTES):
         for s in ngram_sets(*text_buffers(part.column("text")), n):
             if not len(s) or (key := _key(_digest(s))) in seen:    # copies met before add nothing
                 continue
@@ -177,8 +178,8 @@ def _count_pairs(a: list[np.ndarray], b: list[np.ndarray]):
 
 
 def _bucket_candidates(bucket: int, grams: np.ndarray, keys: np.ndarray):
-    """Kind 0: pairs sharing an n-gram of few sharers.  Kind 1: where sharers are many, the first and the last (by key)
-    with every other.  Kind 2: (n-gram, sharer) of those many.  With counts of shared n-grams."""
+    """Kind 0: pairs sharing an n-gram of few sharers, with counts.  Kind 1: where sharers are many, the first and the
+    last (by key) with every other, with counts.  Kind 2: those n-grams with each sharer and, as count, the first one."""
     order = np.lexsort((keys, grams))
     grams, keys = grams[order], keys[order]
     new = np.append(True, (grams[1:] != grams[:-1]) | (keys[1:] != keys[:-1]))   # a set met in two stretches counts once
@@ -193,16 +194,17 @@ def _bucket_candidates(bucket: int, grams: np.ndarray, keys: np.ndarray):
             a.append(keys[runs[:, None] + i].ravel())
             b.append(keys[runs[:, None] + j].ravel())
     yield 0, *_count_pairs(a, b)
-    a, b, gram, member = [], [], [], []
+    a, b, gram, member, pivot = [], [], [], [], []
     for s, m in zip(start[length > SMALL_RUN], length[length > SMALL_RUN]):
         own = keys[s:s + m]
         a += [np.full(m - 1, own[0]), own[1:-1]]
         b += [own[1:], np.full(m - 2, own[-1])]
         gram.append(np.full(m, bucket << 32 | int(grams[s]), dtype=np.int64))
         member.append(own)
+        pivot.append(np.full(m, own[0]))
     yield 1, *_count_pairs(a, b)
     if gram:
-        yield 2, np.concatenate(gram), np.concatenate(member), np.ones(sum(map(len, member)), np.int64)
+        yield 2, np.concatenate(gram), np.concatenate(member), np.concatenate(pivot)
 
 
 def _candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,15 +259,32 @@ def trie_matches(probe: np.ndarray, sets: list[np.ndarray], step: int = 64) -> l
     return found
 
 
-def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted by (probe, salt, probe row first); yields the linked (u, v)."""
-    out_u, out_v = [], []
+def shared_grams(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    return int((a[at] == b).sum())
+
+
+def _verify_batches(batches: Iterator[pa.RecordBatch], measure: bool) -> Iterator[pa.RecordBatch]:
+    """Rows arrive sorted by (probe, salt, probe row first); yields the linked (u, v), or every pair with its overlap."""
+    out_u, out_v, out_n = [], [], []
 
     def linked(u, probe, ids, sets):
-        if probe is not None and sets:
-            for k in trie_matches(probe, sets):
-                out_u.append(u)
-                out_v.append(ids[k])
+        if probe is None or not sets:
+            return
+        if measure:
+            out_n.extend(shared_grams(probe, s) for s in sets)
+            out_u.extend([u] * len(ids))
+            out_v.extend(ids)
+            return
+        for k in trie_matches(probe, sets):
+            out_u.append(u)
+            out_v.append(ids[k])
+            out_n.append(None)
+
+    def rows():
+        return pa.RecordBatch.from_arrays([pa.array(out_u, pa.int64()), pa.array(out_v, pa.int64()),
+                                           pa.array(out_n, pa.int64())], ["u", "v", "shared"])
     now, probe, ids, sets = None, None, [], []
     for batch in batches:
         for u, salt, role, v, blob in zip(*(batch.column(c) for c in ("u", "salt", "role", "v", "grams"))):
@@ -280,15 +299,15 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 ids.append(v.as_py())
                 sets.append(s)
         if len(out_u) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(out_u, pa.int64()), pa.array(out_v, pa.int64())], ["u", "v"])
-            out_u, out_v = [], []
+            yield rows()
+            out_u, out_v, out_n = [], [], []
     linked(now and now[0], probe, ids, sets)
-    yield pa.RecordBatch.from_arrays([pa.array(out_u, pa.int64()), pa.array(out_v, pa.int64())], ["u", "v"])
+    yield rows()
 
 
 def _full_set_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """Whole sets of wanted representatives; a repeated id with another text is left out by its digest."""
-    for part in byte_slices(batches, "text"):
+    for part in byte_slices(batches, "text", WORK_BYTES):
         sets = ngram_sets(*text_buffers(part.column("text")), n)
         keep = [i for i, d in enumerate(part.column("digest").to_pylist()) if _digest(sets[i]) == d]
         yield pa.RecordBatch.from_arrays(
@@ -343,7 +362,8 @@ class NgramJoin:
         hot = self.spark.sparkContext.broadcast(self.common_grams())
         found = _written(self.spark, self._fronts(hot, "bucket int, grams binary, keys binary").mapInArrow(
             _candidate_batches, "kind int, a long, b long, count long"), "ngram-candidates")
-        self._members = found.where("kind = 2").select(F.col("a").alias("gram"), F.col("b").alias("key"))
+        self._members = found.where("kind = 2").select(F.col("a").alias("gram"), F.col("b").alias("key"),
+                                                       F.col("count").alias("pivot"))
         heavy = self._members.groupBy("key").agg(F.count("*").alias("heavy"))
         self._sets = _written(self.spark, self.classes.join(heavy, "key", "left").select(
             "key", "rep", "size", F.coalesce("heavy", F.lit(0)).alias("heavy")), "ngram-heavy")
@@ -352,8 +372,8 @@ class NgramJoin:
             self._pairs(found.where("kind = 1"), F.col("n") >= _least_of_pair()))
         return _written(self.spark, pairs.distinct(), "ngram-pairs")
 
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The linked pairs among the candidates."""
+    def _verified(self, pairs: DataFrame, measure: bool = False) -> DataFrame:
+        """The linked pairs among the candidates; with ``measure``, every pair with its overlap ``shared``."""
         spark, n = self.spark, self.n
         ids = pairs.select(F.explode(F.array("u", "v")).alias("rep")).distinct().join(self.classes, "rep")
         ids = _written(spark, ids.select("rep", "digest"), "ngram-wanted")
@@ -369,7 +389,8 @@ class NgramJoin:
         probe = dealt.select("u", "salt").distinct().join(sets, F.col("u") == F.col("rep")).select(
             "u", "salt", F.lit(0).alias("role"), F.col("u").alias("v"), "grams")
         rows = probe.unionAll(build).repartition("u", "salt").sortWithinPartitions("u", "salt", "role")
-        return _written(spark, rows.mapInArrow(_verify_batches, "u long, v long"), "ngram-links")
+        return _written(spark, rows.mapInArrow(
+            lambda b: _verify_batches(b, measure), "u long, v long, shared long"), "ngram-overlaps" if measure else "ngram-links")
 
     def _second_candidates(self, component: DataFrame) -> DataFrame:
         """What the first round left open, between components that are still apart.
@@ -384,19 +405,49 @@ class NgramJoin:
         for end in ("u", "v"):
             mixed = mixed.join(node.select(F.col("node").alias(end), F.col("component").alias("c" + end)), end, "left")
         mixed = mixed.where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
+        common = self._common_pairs(node)
+        m = self._measured
+        apart = (mixed.join(m.select(F.col("rep").alias("u"), "first", F.struct("size", "shared").alias("l")), "u")
+                 .join(m.select(F.col("rep").alias("v"), "first", F.struct("size", "shared").alias("r")), ["v", "first"])
+                 .where(~_may_link()).select("u", "v").distinct())
+        mixed = mixed.join(apart, ["u", "v"], "left_anti")
+        return _written(self.spark, mixed.unionAll(common).distinct(), "ngram-residual")
+
+    def _common_pairs(self, node: DataFrame) -> DataFrame:
+        """Pairs of sets that share enough common front n-grams, between components that are still apart.
+
+        Sharers of a common n-gram are mostly one family of copies, some of them
+        changed too much to be linked.  Their overlaps with the n-gram's first
+        sharer are measured, one per (sharer, first sharer).  Jaccard distance is a metric, so two
+        sharers whose distances from it differ by more than a quarter cannot be
+        linked; the join runs on bands of that distance.  Within a band
+        :func:`_may_link` bounds their overlap from the measured ones.
+        """
+        spark, width = self.spark, (DEN - NUM) / DEN
         c = (self._sets.where(F.col("heavy") >= _least_column("size")).join(node, F.col("rep") == F.col("node"), "left")
              .select("key", "rep", "size", F.coalesce("component", "rep").alias("component")))
         rows = self._members.join(c, "key")
         apart = rows.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-        rows = rows.join(apart.select("gram"), "gram").select("gram", "rep", "size", "component")
-        l, r = rows.alias("l"), rows.alias("r")
-        met = l.join(r, (F.col("l.gram") == F.col("r.gram")) & (F.col("l.rep") < F.col("r.rep"))
-                     & (F.col("l.component") != F.col("r.component"))
+        first = self._sets.select(F.col("key").alias("pivot"), F.col("rep").alias("first"), F.col("size").alias("first_size"))
+        rows = _written(spark, rows.join(apart.select("gram"), "gram").join(first, "pivot").select(
+            "gram", "rep", "size", "component", "first", "first_size"), "ngram-open")
+        measured = self._verified(rows.where("rep != first").select(F.col("first").alias("u"), F.col("rep").alias("v")).distinct(),
+                                  measure=True).withColumnRenamed("u", "first").withColumnRenamed("v", "rep")
+        shared = F.when(F.col("rep") == F.col("first"), F.col("size")).otherwise(F.col("shared"))
+        far = 1 - F.col("shared") / (F.col("size") + F.col("first_size") - F.col("shared"))
+        placed = _written(spark, rows.join(measured, ["first", "rep"], "left").withColumn("shared", shared).select(
+            "gram", "first", "rep", "size", "component", "shared", far.alias("far")), "ngram-placed")
+        self._measured = placed.select("first", "rep", "size", "shared").distinct()
+        band = F.floor(F.col("far") / (width / 5)).cast("int")
+        l = placed.withColumn("band", F.explode(F.sequence(band - 6, band + 6))).alias("l")
+        r = placed.withColumn("band", band).alias("r")
+        met = l.join(r, (F.col("l.gram") == F.col("r.gram")) & (F.col("l.band") == F.col("r.band"))
+                     & (F.col("l.rep") < F.col("r.rep")) & (F.col("l.component") != F.col("r.component"))
+                     & _may_link()
                      & (DEN * F.least("l.size", "r.size") >= NUM * F.greatest("l.size", "r.size")))
-        common = met.groupBy(F.col("l.rep").alias("u"), F.col("r.rep").alias("v")).agg(
+        return met.groupBy(F.col("l.rep").alias("u"), F.col("r.rep").alias("v")).agg(
             F.count("*").alias("n"), F.first(F.least("l.size", "r.size")).alias("size")).where(
             F.col("n") >= _least_column("size")).select("u", "v")
-        return _written(self.spark, mixed.unionAll(common).distinct(), "ngram-residual")
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """(verified links between representatives, ``node, component``).
@@ -409,7 +460,7 @@ class NgramJoin:
         rest = self._second_candidates(component)
         if rest.isEmpty():
             return first, component
-        every = first.unionAll(self._verified(rest))
+        every = first.unionByName(self._verified(rest))
         return every, connected_components(self.spark, every)
 
     def memberships(self) -> DataFrame:
@@ -422,6 +473,16 @@ class NgramJoin:
             F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def _may_link():
+    """Whether sets ``l`` and ``r`` can overlap enough, given what each shares with the same third set.
+
+    Their intersection is at most what both share with that set plus what both hold outside it.
+    """
+    inside = F.least("l.shared", "r.shared")
+    outside = F.least(F.col("l.size") - F.col("l.shared"), F.col("r.size") - F.col("r.shared"))
+    return (DEN + NUM) * (inside + outside) >= NUM * (F.col("l.size") + F.col("r.size"))
+
+
 def _least_of_pair():
     return F.least(_least_column("l.size"), _least_column("r.size"))
 

@@ -39,7 +39,7 @@ class Rule:
 RULES = (
     Rule(0, "few_words", "n_words < 50"),
     Rule(1, "repeated_windows", "100 * n_repeat_words > 50 * n_words"),
-    Rule(2, "symbol_heavy", "100 * n_symbols > 50 * n_words"),
+    Rule(2, "symbol_heavy", "100 * n_symbols > 30 * n_words"),
     Rule(3, "word_length", "word_chars < 2 * n_words OR word_chars > 25 * n_words"),
     Rule(4, "duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule(5, "many_words", "n_words > 100000"),

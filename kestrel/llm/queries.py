@@ -149,7 +149,7 @@ m AS (SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_char
              coalesce(n_lines, 0)::BIGINT AS n_lines
       FROM d LEFT JOIN n USING (rid) LEFT JOIN ch USING (rid) LEFT JOIN lw USING (rid)),
 f AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
-             + CASE WHEN 100 * n_symbols > 50 * n_words THEN 4 ELSE 0 END
+             + CASE WHEN 100 * n_symbols > 30 * n_words THEN 4 ELSE 0 END
              + CASE WHEN word_chars < 2 * n_words OR word_chars > 25 * n_words THEN 8 ELSE 0 END
              + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 16 ELSE 0 END
              + CASE WHEN n_words > 100000 THEN 32 ELSE 0 END)::BIGINT AS failures FROM m)

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 # Words are runs of bytes other than space and \t \n \v \f \r.
 _SPACE = np.zeros(256, dtype=bool)

@@ -9,12 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def make_importable(spark: SparkSession) -> None:
-    """Let Python workers import this package when the driver found it beside its own script.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
-    Only names a folder in the workers' search path; on a cluster the package
-    comes with ``--py-files`` or is installed, and the folder is simply absent.
+def make_importable(spark: SparkSession) -> None:
+    """Prepare the session for Python workers on long texts.
+
+    Workers can import this package when the driver found it beside its own
+    script (this only names a folder in their search path; on a cluster the
+    package comes with ``--py-files`` or is installed, and the folder is simply
+    absent).  Arrow batches get 1,000 rows instead of Spark's default 10,000,
+    unless the session sets its own number: texts are large, and both sides of
+    the exchange hold a whole batch.
     """
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "1000")
     env = spark.sparkContext.environment
     known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in known:

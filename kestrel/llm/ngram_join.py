@@ -414,14 +414,16 @@ class NgramJoin:
         return _written(self.spark, mixed.unionAll(common).distinct(), "ngram-residual")
 
     def _common_pairs(self, node: DataFrame) -> DataFrame:
-        """Pairs of sets that share enough common front n-grams, between components that are still apart.
+        """Pairs of sets that may share enough through common front n-grams, between components still apart.
 
         Sharers of a common n-gram are mostly one family of copies, some of them
         changed too much to be linked.  Their overlaps with the n-gram's first
-        sharer are measured, one per (sharer, first sharer).  Jaccard distance is a metric, so two
-        sharers whose distances from it differ by more than a quarter cannot be
-        linked; the join runs on bands of that distance.  Within a band
-        :func:`_may_link` bounds their overlap from the measured ones.
+        sharer are measured, one per (sharer, first sharer), and sharers meet by
+        first sharer, not by n-gram, so a pair comes up once per first sharer.
+        Jaccard distance is a metric, so two sharers whose distances from it
+        differ by more than a quarter cannot be linked; the join runs on bands of
+        that distance.  Within a band :func:`_may_link` bounds their overlap from
+        the measured ones.
         """
         spark, width = self.spark, (DEN - NUM) / DEN
         c = (self._sets.where(F.col("heavy") >= _least_column("size")).join(node, F.col("rep") == F.col("node"), "left")
@@ -430,24 +432,21 @@ class NgramJoin:
         apart = rows.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
         first = self._sets.select(F.col("key").alias("pivot"), F.col("rep").alias("first"), F.col("size").alias("first_size"))
         rows = _written(spark, rows.join(apart.select("gram"), "gram").join(first, "pivot").select(
-            "gram", "rep", "size", "component", "first", "first_size"), "ngram-open")
-        measured = self._verified(rows.where("rep != first").select(F.col("first").alias("u"), F.col("rep").alias("v")).distinct(),
+            "first", "first_size", "rep", "size", "component").distinct(), "ngram-open")
+        measured = self._verified(rows.where("rep != first").select(F.col("first").alias("u"), F.col("rep").alias("v")),
                                   measure=True).withColumnRenamed("u", "first").withColumnRenamed("v", "rep")
         shared = F.when(F.col("rep") == F.col("first"), F.col("size")).otherwise(F.col("shared"))
         far = 1 - F.col("shared") / (F.col("size") + F.col("first_size") - F.col("shared"))
         placed = _written(spark, rows.join(measured, ["first", "rep"], "left").withColumn("shared", shared).select(
-            "gram", "first", "rep", "size", "component", "shared", far.alias("far")), "ngram-placed")
-        self._measured = placed.select("first", "rep", "size", "shared").distinct()
+            "first", "rep", "size", "component", "shared", far.alias("far")), "ngram-placed")
+        self._measured = placed.select("first", "rep", "size", "shared")
         band = F.floor(F.col("far") / (width / 5)).cast("int")
         l = placed.withColumn("band", F.explode(F.sequence(band - 6, band + 6))).alias("l")
         r = placed.withColumn("band", band).alias("r")
-        met = l.join(r, (F.col("l.gram") == F.col("r.gram")) & (F.col("l.band") == F.col("r.band"))
-                     & (F.col("l.rep") < F.col("r.rep")) & (F.col("l.component") != F.col("r.component"))
-                     & _may_link()
-                     & (DEN * F.least("l.size", "r.size") >= NUM * F.greatest("l.size", "r.size")))
-        return met.groupBy(F.col("l.rep").alias("u"), F.col("r.rep").alias("v")).agg(
-            F.count("*").alias("n"), F.first(F.least("l.size", "r.size")).alias("size")).where(
-            F.col("n") >= _least_column("size")).select("u", "v")
+        return l.join(r, (F.col("l.first") == F.col("r.first")) & (F.col("l.band") == F.col("r.band"))
+                      & (F.col("l.rep") < F.col("r.rep")) & (F.col("l.component") != F.col("r.component"))
+                      & _may_link() & (DEN * F.least("l.size", "r.size") >= NUM * F.greatest("l.size", "r.size"))).select(
+            F.col("l.rep").alias("u"), F.col("r.rep").alias("v"))
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """(verified links between representatives, ``node, component``).

@@ -31,10 +31,15 @@ KINDS = BASE_KINDS + ("random",)
 _ASSIGN_HINT = re.compile(r"(?ai:password|passwd|secret|token|api_?key)")
 
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-# Random by construction, yet public: digests by their length, UUIDs, and long decimal numbers.
+# Random by construction, yet public: digests by their length, UUIDs, decimal numbers and compact times.
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
+_TIME = re.compile(r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}T[0-9]{2}-?[0-9]{2}-?[0-9]{2}Z?")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_SEPARATORS = re.compile(r"[+/_=-]+")
+_NAME_PART = re.compile(r"[A-Za-z]+[0-9]{0,4}|[0-9]{1,8}")
+_CASE_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+NAME_RATIO = 2.5                # characters per token that the lower-cased words of a name reach
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -50,24 +55,23 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def is_known_public(s: str) -> bool:
-    """Digests, UUIDs and plain numbers: random-looking but not secret by themselves."""
+    """Digests, UUIDs, times, numbers and rules: not secret by themselves, however many tokens they need."""
     bare = s.strip("_=-/+")
-    if bare.isdigit() or _UUID.fullmatch(bare):
+    digits = _SEPARATORS.sub("", bare)
+    if not digits or digits.isdigit() or _UUID.fullmatch(bare) or _TIME.fullmatch(bare):
         return True
     return len(bare) in DIGEST_LENGTHS and _HEX_ONLY.fullmatch(bare) is not None
 
 
-def is_identifier(s: str) -> bool:
-    """Names and paths: made of short words of letters, with digits only behind a word."""
-    parts = [p for p in re.split(r"[+/_=-]+", s) if p]
-    return all(re.fullmatch(r"[A-Za-z]+[0-9]{0,4}|[0-9]{1,8}", p) for p in parts)
+def is_identifier(s: str, efficiency: TokenEfficiency, min_ratio: float = NAME_RATIO) -> bool:
+    """Names and paths: the words between separators and case changes are words to the vocabulary, whatever their case.
 
-
-def mixes_classes(s: str) -> bool:
-    """Letters and at least two digits, with digits among the letters."""
-    digits = sum(map(str.isdigit, s))
-    letters = sum(map(str.isalpha, s))
-    return digits >= 2 and letters >= 4
+    Digits stand only behind a word or alone.  A string of one word is judged as it is by its own ratio.
+    """
+    if not all(_NAME_PART.fullmatch(p) for p in _SEPARATORS.split(s) if p):
+        return False
+    words = [w.lower() for w in _CASE_WORD.findall(s)]
+    return sum(map(len, words)) >= min_ratio * sum(map(efficiency.tokens, words))
 
 
 class TokenEfficiency:
@@ -85,8 +89,11 @@ class TokenEfficiency:
         self._encoding = tiktoken.Encoding("secrets", pat_str=public_tokenizers.PATTERN,
                                            mergeable_ranks=ranks, special_tokens={})
 
+    def tokens(self, s: str) -> int:
+        return len(self._encoding.encode_ordinary(s))
+
     def __call__(self, s: str) -> float:
-        return len(s) / len(self._encoding.encode_ordinary(s))
+        return len(s) / self.tokens(s)
 
 
 @functools.lru_cache(maxsize=2)
@@ -100,11 +107,9 @@ def random_spans(text: str, efficiency: TokenEfficiency, max_ratio: float,
     out = []
     for m in _CANDIDATE.finditer(text):
         s = m[0]
-        if not mixes_classes(s) or is_known_public(s) or is_identifier(s):
-            continue
-        if any(a < m.end() and m.start() < b for _, a, b in taken):
+        if is_known_public(s) or any(a < m.end() and m.start() < b for _, a, b in taken):
             continue
-        if efficiency(s) < max_ratio:
+        if efficiency(s) < max_ratio and not is_identifier(s, efficiency, max(NAME_RATIO, max_ratio)):
             out.append(("random", m.start(), m.end()))
     return out
 
@@ -141,9 +146,9 @@ def scan_secrets(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", max
 
     Base kinds ``assign``, ``access`` and ``hex`` are leftmost non-overlapping
     matches of their patterns.  Kind ``random`` adds strings of 16 or more
-    characters that mix letters and digits, overlap no base span, are neither a
-    known digest nor an identifier, and give fewer than ``max_ratio`` characters
-    per token of ``vocabulary``.
+    characters that overlap no base span, give fewer than ``max_ratio`` characters
+    per token of ``vocabulary``, and are neither a known digest, number or time
+    nor a name whose words the vocabulary holds.
 
     Columns: ``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random``
     (spans joined as ``kind:start:end`` by start, then kind).  Null or empty text

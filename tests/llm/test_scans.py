@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -56,6 +57,37 @@ def test_token_efficiency_finds_random_strings_and_spares_the_known(spark):
     assert secret_scan.random_spans(f"key {rnd} end", ef, 1.9, taken) == []
 
 
+def found(s):
+    return secret_scan.random_spans(f"a {s} b", secret_scan._efficiency("byte_bpe_50k.tiktoken"), 1.9, []) == [("random", 2, 2 + len(s))]
+
+
+def one_digit(r, n):
+    at = r.randrange(n)
+    return "".join(r.choice(string.digits if i == at else string.ascii_letters) for i in range(n))
+
+
+@pytest.mark.parametrize("least, make", [
+    (0.99, lambda r, n: "".join(r.choices(string.ascii_letters + string.digits, k=n))),
+    (0.99, lambda r, n: "".join(r.choices(string.ascii_letters, k=n))), (0.99, one_digit),
+    (0.95, lambda r, n: "".join(r.choices(string.ascii_uppercase, k=n))),
+    (0.83, lambda r, n: "".join(r.choices(string.ascii_lowercase, k=n)))],
+    ids=["base62", "letters", "one digit", "upper", "lower"])
+@pytest.mark.parametrize("length", [16, 20, 32, 40])
+def test_random_keys_are_found_whatever_their_classes(spark, least, make, length):
+    r = random.Random(length)
+    assert sum(found(make(r, length)) for _ in range(500)) >= least * 500
+
+
+def test_names_numbers_and_rules_are_spared(spark):
+    names = ["getElementsByTagNameFromDocument", "AbstractSingletonProxyFactoryBean", "HTTPSConnectionPoolManager",
+             "org_apache_spark_sql_catalyst", "max_connections_per_host_2", "MAX_RETRY_COUNT_EXCEEDED", "RESPONSE_JOB_RENDER_CHILD",
+             "MESSAGE_LOCAL_COUNT_POOL", "/usr/local/lib/python3/site-packages", "parse-utf8-string-2024"]
+    others = ["2024-01-01_12-30-00", "20240101T123000Z", "0049-89-1234567890", "4111-1111-1111-1111", "-=-=-=-=-=-=-=-=-=",
+              "+--+---+-+----+--+", "================"]
+    assert [s for s in names + others if found(s)] == []
+    assert secret_scan.is_identifier("RESPONSE_JOB_RENDER_CHILD", secret_scan._efficiency("byte_bpe_50k.tiktoken"))
+
+
 def test_secrets_of_odd_rows(odd, empty):
     rows = secret_scan.scan_secrets(odd).collect()
     assert len(rows) == odd.count()

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 import random
 
 import numpy as np
@@ -47,6 +48,14 @@ def test_ids_equal_the_library_and_spans_cover_the_source():
             assert np.array(align)[edges].tolist() == [*begin.tolist(), end[-1]]
 
 
+def test_the_registered_model_has_no_character_map_as_the_readme_says():
+    c = sentencepiece_codec.codec(MODEL)
+    assert c.by_word and not c.normalizer.map
+    with open(os.path.join(os.path.dirname(__file__), "..", "..", "README.md")) as f:
+        row = next(line for line in f if line.startswith("| `op2_sentencepiece` | `sentencepiece_codec.py`"))
+    assert "character map is empty" in row and "arithmetic on blanks" in row
+
+
 @pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf", "identity"])
 @pytest.mark.parametrize("prefix,squeeze", [(False, True), (True, False), (True, True)])
 def test_normaliser_equals_the_library(rule, prefix, squeeze):

@@ -14,6 +14,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -325,8 +326,11 @@ class NgramJoin:
         self.rows = _written(self.spark, self.docs.mapInArrow(
             lambda b: _set_batches(b, n), "doc_id long, size long, digest binary, key long"), "ngram-sets")
         # one class per distinct set; rows without an id take no part in links
-        self.classes = _written(self.spark, self.rows.where("size > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.min("size").alias("size"), F.min("key").alias("key")), "ngram-classes")
+        classes = _written(self.spark, self.rows.where("size > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
+            F.min("doc_id").alias("id"), F.min("size").alias("size"), F.min("key").alias("key")), "ngram-classes")
+        # the smallest id stands for a class, or its key where an id repeats with another text
+        self.repeated = not classes.groupBy("id").count().where("count > 1").isEmpty()
+        self.classes = classes.withColumn("rep", F.col("key" if self.repeated else "id"))
         entries = self.classes.agg(F.sum(F.col("size") * (1 - NUM / DEN + SHARE_SLACK) + 1)).first()[0] or 0
         self.parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), int(entries / (4 * ENTRIES_PER_BUCKET)))
         self.buckets = 4 * self.parts
@@ -376,9 +380,9 @@ class NgramJoin:
         """The linked pairs among the candidates; with ``measure``, every pair with its overlap ``shared``."""
         spark, n = self.spark, self.n
         ids = pairs.select(F.explode(F.array("u", "v")).alias("rep")).distinct().join(self.classes, "rep")
-        ids = _written(spark, ids.select("rep", "digest"), "ngram-wanted")
+        ids = _written(spark, ids.select("rep", "digest", "id"), "ngram-wanted")
         side = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
-        sets = _written(spark, self.docs.join(side, F.col("doc_id") == F.col("rep")).select("rep", "digest", "text")
+        sets = _written(spark, self.docs.join(side, F.col("doc_id") == F.col("id")).select("rep", "digest", "text")
                         .mapInArrow(lambda b: _full_set_batches(b, n), "rep long, grams binary")
                         .dropDuplicates(["rep"]), "ngram-full")
         # a probe with many partners is dealt over several tries
@@ -462,14 +466,25 @@ class NgramJoin:
         every = first.unionByName(self._verified(rest))
         return every, connected_components(self.spark, every)
 
-    def memberships(self) -> DataFrame:
-        """``doc_id, n_shingles, component_id``: one row per input row."""
+    def members(self) -> DataFrame:
+        """``doc_id, n_shingles, component_id, key, node``: one row per input row; ``node`` tells components apart even
+        where their smallest id is the same."""
         _, component = self.links()
         classes = self.classes.join(component, F.col("rep") == F.col("node"), "left").select(
-            "digest", F.coalesce("component", "rep").alias("component_id"))
-        return self.rows.join(classes, "digest", "left").select(
+            "digest", "id", F.coalesce("component", "rep").alias("node"))
+        if self.repeated:
+            classes = _written(self.spark, classes, "ngram-nodes")
+            least = _written(self.spark, classes.groupBy("node").agg(F.min("id").alias("component_id")), "ngram-labels")
+            classes = classes.join(F.broadcast(least) if least.count() <= FEW_IDS else least, "node")
+        else:
+            classes = classes.withColumn("component_id", F.col("node"))
+        return self.rows.join(classes.drop("id"), "digest", "left").select(
             "doc_id", F.col("size").alias("n_shingles"),
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+            F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), "key", "node")
+
+    def memberships(self) -> DataFrame:
+        """``doc_id, n_shingles, component_id``: one row per input row."""
+        return self.members().select("doc_id", "n_shingles", "component_id")
 
 
 def _may_link():
@@ -493,21 +508,47 @@ def _least_column(size: str):
 def keep_one_per_component(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows, all columns as they are, with one document left of each near-duplicate class.
 
-    The document with the smallest id of a class stays; of repeated ids one row
-    stays.  Rows without an id are never judged copies and stay.
+    The document with the smallest id of a class stays.  Of rows that repeat an id
+    with the same n-gram set one stays; an id's different texts are different
+    documents, each judged by itself (of a class that holds two texts of its
+    smallest id, the one with the smaller key stays).  Rows without an id are
+    never judged copies and stay.
     """
     spark = docs.sparkSession
-    members = _written(spark, NgramJoin(docs, n, id_col, text_col).memberships(), "ngram-members")
-    per_id = members.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.count("*").alias("rows"), F.min("component_id").alias("component_id"))
-    gone = per_id.where("component_id != doc_id").select("doc_id")
-    side = F.broadcast(gone) if gone.count() <= FEW_IDS else gone
-    kept = docs.join(side.withColumnRenamed("doc_id", "__gone"),
-                     F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
-    if per_id.where("rows > 1").isEmpty():
-        return kept
-    own = F.col(id_col)
-    return kept.where(own.isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(own.isNull()))
+    members = _written(spark, NgramJoin(docs, n, id_col, text_col).members(), "ngram-members").where("doc_id IS NOT NULL")
+    key = F.coalesce("key", F.lit(0))                              # 0: no words
+    per_id = members.groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id"),
+                                           (F.min(key) != F.max(key)).alias("differ"))
+    differ = _written(spark, per_id.where("differ").select(F.col("doc_id").alias("__id")), "ngram-differ")
+    own, long = F.col(id_col), F.col(id_col).cast("long")
+    if differ.isEmpty():
+        gone = per_id.where("component_id != doc_id").select("doc_id")
+        kept, apart = docs.join(_small(gone.withColumnRenamed("doc_id", "__gone")), long == F.col("__gone"), "left_anti"), None
+    else:
+        first = members.where("key IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("first"))
+        gone = _written(spark, members.join(first, "node").where(F.struct("doc_id", "key") != F.col("first")).select(
+            F.col("doc_id").alias("__gone"), F.col("key").alias("__gone_key")).distinct(), "ngram-gone")
+        some = _small(differ)
+        kept = docs.join(some, long == F.col("__id"), "left_anti").join(
+            _small(gone.select("__gone").distinct()), long == F.col("__gone"), "left_anti")
+        apart = (docs.join(some, long == F.col("__id"), "left_semi").withColumn("__key", _set_key(n)(F.col(text_col).cast("string")))
+                 .join(_small(gone), (long == F.col("__gone")) & (F.col("__key") == F.col("__gone_key")), "left_anti")
+                 .dropDuplicates([id_col, "__key"]).drop("__key"))
+    if not per_id.where("rows > 1 AND NOT differ").isEmpty():
+        kept = kept.where(own.isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(own.isNull()))
+    return kept if apart is None else kept.unionByName(apart)
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+
+
+def _set_key(n: int):
+    """Column function: the key of a text's n-gram set, null without words."""
+    def keys(texts: pd.Series) -> pd.Series:
+        sets = ngram_sets(*text_buffers(pa.array(texts, pa.string())), n)
+        return pd.Series([_key(_digest(s)) if len(s) else None for s in sets], dtype="Int64")
+    return F.pandas_udf(keys, "long")
 
 
 def ngram_components(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -521,7 +562,8 @@ def ngram_components(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_c
 
     Returns ``doc_id, n_shingles, component_id`` (the smallest id reachable by
     links), one row per input row.  Repeated rows fall into one class; a repeated
-    id with another text is judged by that text; a row without an id gets a null
+    id with another text is judged by that text alone (two components may then
+    have the same smallest id); a row without an id gets a null
     component and links nothing.  Other columns are not read.
     """
     return NgramJoin(docs, n, id_col, text_col).memberships()

@@ -150,3 +150,24 @@ def test_one_document_of_each_group_stays(spark, odd, empty):
     assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == [(False, 3), (False, 4), (False, 8), (True, None)]
     assert ngram_join.keep_one_per_component(empty).count() == 0
     assert {r.doc_id for r in ngram_join.keep_one_per_component(odd).collect()} >= {1, 2, 3, 4, 5, 6, 7, None}
+
+
+def test_each_text_of_a_repeated_id_keeps_its_own_links(spark):
+    """Ids 1 and 4 stand for two sets each; 6 and 7 are near copies of one text of id 1 and of id 4."""
+    r = random.Random(3)
+    a, b, c, d = (" ".join(f"{p}{r.randrange(10 ** 6)}" for _ in range(60)) for p in "abcd")
+    rows = [(1, a), (1, b), (5, a + " x"), (6, b + " y"), (4, c), (4, d), (7, c + " z"), (8, d + " z"), (9, None), (9, a + " v"),
+            (10, None), (10, "alone in all of this table")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(m.doc_id, m.n_shingles): m.component_id for m in ngram_join.ngram_components(df).collect() if m.doc_id > 4}
+    assert got == {(5, 57): 1, (6, 57): 1, (7, 57): 4, (8, 57): 4, (9, 0): 9, (9, 57): 1, (10, 0): 10, (10, 2): 10}
+    kept = ngram_join.keep_one_per_component(df)
+    assert kept.columns == df.columns
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [
+        (1, a), (1, b), (4, c), (4, d), (9, None), (10, None), (10, "alone in all of this table")]))
+
+
+def test_two_near_texts_of_one_id_leave_one(spark):
+    same = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(2, same), (2, same + " x"), (2, same), (None, same), (3, same + " y")], "doc_id long, text string")
+    assert sorted(str(k.doc_id) for k in ngram_join.keep_one_per_component(df).collect()) == ["2", "None"]

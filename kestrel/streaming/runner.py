@@ -96,16 +96,23 @@ def run_available_now(stream: DataFrame, fn: Callable[[DataFrame, int], None], c
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(fn)
     if name:
         w = w.queryName(name)
-    q = w.trigger(availableNow=True).start()
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    if dropped := late_rows(q.recentProgress):
+    conf, kept = stream.sparkSession.conf, "spark.sql.streaming.numRecentProgressUpdates"
+    before = conf.get(kept)
+    conf.set(kept, str(2 ** 31 - 1))                               # the reports of all batches, not of the last 100
+    try:
+        q = w.trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+        progress = q.recentProgress
+    finally:
+        conf.set(kept, before)
+    if dropped := late_rows(progress):
         raise RuntimeError(f"{dropped} rows came behind the watermark and were not counted; raise its delay")
 
 
 def late_rows(progress) -> int:
-    """Rows that stateful operators dropped as late, over the query's recent progress reports."""
+    """Rows that stateful operators dropped as late, over the given progress reports."""
     return sum(op["numRowsDroppedByWatermark"] for p in progress for op in (p["stateOperators"] or ()))
 
 

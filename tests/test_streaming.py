@@ -93,3 +93,19 @@ def test_streaming_risk_flags_equal_batch_with_many_batches_and_gaps(spark, sf_d
         got = run_risk_flags(spark, stream, scratch_path(spark, "risk-state"), scratch_path(spark, "risk-ck"), slide, w)
         want = risk_flags(cust, slide, w)
         assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, want.select(key).collect()))
+
+
+def test_rows_dropped_before_the_last_progress_reports_fail_the_run(spark, tmp_path):
+    for i, day in enumerate(["10", "11", "12", "01", "13", "14", "15", "16"]):   # the fourth file comes behind the watermark
+        (spark.sql(f"SELECT TIMESTAMP'2020-01-{day} 00:00:00' AS ts").coalesce(1).write.parquet(f"{tmp_path}/in/chunk={i}"))
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "2")
+    try:
+        counts = (RN.file_stream(spark, f"{tmp_path}/in", "ts timestamp").withWatermark("ts", "1 hour")
+                  .groupBy(F.window("ts", "1 hour")).count())
+        with pytest.raises(RuntimeError, match="behind the watermark"):
+            RN.run_available_now(counts, lambda batch, i: batch.count(), f"{tmp_path}/ckpt", mode="update")
+        assert spark.conf.get(kept) == "2"
+    finally:
+        spark.conf.set(kept, before)

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import ann, chat_format, mixing, ngram_join, pii, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
+from kestrel.llm import ann, chat_format, divergence, mixing, ngram_join, pii, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
 from kestrel.llm.tables import make_importable, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,37 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and near-duplicate component of every document."""
     return ngram_join.ngram_components(read(spark, sf_dir, "documents"), n=5)
+
+
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+_OP11_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+t AS (SELECT rid, lang, source, unnest(regexp_extract_all(text, '{_TERM}')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY ALL HAVING count(DISTINCT rid) >= 30),
+size AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+held AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+total AS (SELECT lang, source, sum(n) AS total FROM held GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v, lang_total
+      FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN total USING (lang, source) LEFT JOIN size USING (lang)),
+p AS (SELECT lang, source, term, coalesce(n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v)::HUGEINT AS p,
+             1 + (1000000000::HUGEINT * (lang_n + 5)) // (lang_total + 5 * v)::HUGEINT AS q
+      FROM g JOIN kept USING (lang) LEFT JOIN held USING (lang, source, term)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM every)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@_query("op11_source_audit", _OP11_SQL)
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from its language's other sources, and the terms it overuses."""
+    return divergence.audit_sources(read(spark, sf_dir, "documents"), least_docs=30, top_terms=50)

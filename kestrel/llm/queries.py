@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import ann, chat_format, divergence, mixing, ngram_join, pii, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
+from kestrel.llm import alignment, ann, chat_format, divergence, mixing, ngram_join, pii, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
 from kestrel.llm.tables import make_importable, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +205,9 @@ SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
 def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of every source from its language's other sources, and the terms it overuses."""
     return divergence.audit_sources(read(spark, sf_dir, "documents"), least_docs=30, top_terms=50)
+
+
+@_query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned tokens of two tokenizers in every document, with corpus-wide counts of the linked id pairs."""
+    return alignment.align_tokenizers(read(spark, sf_dir, "documents"), "byte_bpe_50k.json", "piece_bpe_32k.model")

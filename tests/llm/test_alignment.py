@@ -59,13 +59,17 @@ def plain(texts, libraries):
                 n += len(p)
                 own.append(n)
             ends.append(own)
-        common = [e for e in ends[0] if e in set(ends[1])]
-        links = [(a[ends[0].index(e)], b[ends[1].index(e)]) for e in common]
-        groups, before = [], 0
-        for e in common:
-            groups.append(",".join(str(i) for i, x in zip(a, ends[0]) if before < x <= e) + "|"
-                          + ",".join(str(i) for i, x in zip(b, ends[1]) if before < x <= e))
-            before = e
+        both = set(ends[0]) & set(ends[1])
+        links = list(zip(*([i for i, e in zip(ids, own) if e in both] for ids, own in ((a, ends[0]), (b, ends[1])))))
+        sides = []
+        for ids, own in ((a, ends[0]), (b, ends[1])):
+            groups = [[]]
+            for i, e in zip(ids, own):
+                groups[-1].append(str(i))
+                if e in both:
+                    groups.append([])
+            sides.append([",".join(g) for g in groups[:-1]])
+        groups = ["|".join(g) for g in zip(*sides)]
         out.append((len(a), len(b), groups, links))
     return out
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import alignment, ann, chat_format, divergence, mixing, ngram_join, pii, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
+from kestrel.llm import alignment, ann, ball_tree, chat_format, divergence, mixing, ngram_join, pii, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
 from kestrel.llm.tables import make_importable, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -211,3 +211,19 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Aligned tokens of two tokenizers in every document, with corpus-wide counts of the linked id pairs."""
     return alignment.align_tokenizers(read(spark, sf_dir, "documents"), "byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
+_OP13_SQL = """
+WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+           WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@_query("op13_exact_topk", _OP13_SQL)
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 rows of largest whole-number inner product of every hundredth vector."""
+    return ball_tree.exact_top_k(read(spark, sf_dir, "embeddings"), query_every=100, k=10, scale=1024)

@@ -2,10 +2,13 @@
 
 Every distinct n-gram set is put in one global order (common n-grams last, then
 by hash).  Two sets that are similar enough must share n-grams near the front of
-that order, so only those fronts are exchanged to find candidates.  Candidates
-are verified exactly: the candidate sets of a probe form a trie (a shared front
-is one path), a traversal carries the overlap of the path with the probe, and a
-subtree is left as soon as the lengths that remain cannot reach the threshold.
+that order, so only those fronts are exchanged to find out which sets may meet.
+Sets that may meet form branches; a branch is one task, and a heavy branch is
+split into parts that meet in pairs.  A task puts one side's sets into a trie (a
+shared front is one path) and takes the other side's sets through it many at a
+time: the overlaps of a path with all of them are reused by every set below it,
+and a subtree is left as soon as the lengths that remain cannot reach the
+threshold for any of them.  Only links that connect something leave a task.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.arrow_text import SLICE_BYTES, byte_slices, lower_ascii, mix64, text_buffers, window_hashes, words
+from kestrel.llm.arrow_text import byte_slices, lower_ascii, mix64, text_buffers, window_hashes, words
 from kestrel.llm.components import connected_components
 from kestrel.session import scratch_path
 
@@ -28,10 +31,12 @@ SHARE_SLACK = 0.08              # the front is (1 - threshold + slack) of a set;
 SMALL_RUN = 24                  # sharers of an n-gram that are paired directly
 COUNTED = 0.5                   # share of a set (in hash order) whose n-grams are counted for the order
 HOT_LIMIT = 1 << 21             # size bound of the list of common n-grams (16 MB)
-BUILD_LIMIT = 256               # sets in one trie
+BRANCH_GRAMS = 1 << 19          # n-grams of the sets that meet in one task (4 MB)
+PROBES = 256                    # sets taken through a trie at a time
+STEP = 128                      # n-grams of a path between two looks at the remaining lengths
 ENTRIES_PER_BUCKET = 500_000
 WORK_BYTES = 2 << 20            # text hashed at a time
-FEW_IDS = 500_000               # ids that may be broadcast (at most 16 MB); beyond, a shuffle join
+FEW_IDS = 500_000               # rows of ids or places that may be broadcast (at most 20 MB); beyond, a shuffle join
 
 
 def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -223,86 +228,124 @@ def needed_overlap(p: int, q: int) -> int:
     return -(-NUM * (p + q) // (DEN + NUM))
 
 
-def trie_matches(probe: np.ndarray, sets: list[np.ndarray], step: int = 64) -> list[int]:
-    """Indices of the sets linked with ``probe``; all arrays sorted ascending and distinct.
+def _lexicographic(sets: list[np.ndarray]) -> list[int]:
+    return sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
 
-    The trie is held as the sets in lexicographic order with the depth each
-    shares with its predecessor, so the current path's overlaps are one array
-    that later siblings reuse.  ``dead`` is the depth at which the current
-    subtree was last left and with what overlap; siblings below it are judged by
-    their remaining length alone.
+
+def trie_join(build: list[np.ndarray], probes: list[np.ndarray], step: int = STEP,
+              at_once: int = PROBES) -> Iterator[tuple[int, np.ndarray]]:
+    """For the sets of ``build`` that link with any of ``probes``: their index and those of the linked probes.
+
+    Inside the task n-grams are ordered commonest first, so that near copies share
+    long paths.  The trie is held as the sets in lexicographic order with the depth
+    that each shares with its predecessor: row d of ``path`` has the overlaps of
+    the first d n-grams of the current path with every probe, and later siblings
+    start from there.  n-grams that no probe at hand holds are left out of the
+    paths; they only count in the lengths.
     """
-    order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-    found, path, before = [], np.zeros(1, dtype=np.int64), None
-    for i in order:
-        s = sets[i]
-        need = needed_overlap(len(probe), len(s))
-        shared = 0
-        if before is not None:
-            m = min(len(before), len(s))
+    sizes = np.array([len(s) for s in build])
+    probe_sizes = np.array([len(s) for s in probes])
+    grams, place, holders = np.unique(np.concatenate([*build, *probes]), return_inverse=True, return_counts=True)
+    rank = np.empty(len(grams), dtype=np.uint32)
+    rank[np.argsort(-holders, kind="stable")] = np.arange(len(grams), dtype=np.uint32)
+    ranked = [np.sort(r) for r in np.split(rank[place], np.cumsum([*sizes, *probe_sizes])[:-1])]
+    build, probes = ranked[:len(build)], ranked[len(build):]
+    order, probe_order = _lexicographic(build), _lexicographic(probes)
+    flat = np.concatenate([build[i] for i in order])
+    edges = np.concatenate(([0], np.cumsum(sizes[order])))
+    for k in range(0, len(probes), at_once):
+        chunk = probe_order[k:k + at_once]
+        q = probe_sizes[chunk]
+        present = np.zeros(len(grams), dtype=bool)
+        present[np.concatenate([probes[j] for j in chunk])] = True
+        row = np.cumsum(present) - 1
+        holds = np.zeros((int(present.sum()), len(chunk)), dtype=np.uint8)
+        for j, p in enumerate(chunk):
+            holds[row[probes[p]], j] = 1
+        useful = present[flat]
+        kept = np.concatenate(([0], np.cumsum(useful)))[edges]
+        rows = row[flat[useful]]
+        p = sizes[order]
+        # the least overlap over the probes of a size that fits; sets that hold less never enter the trie
+        fits = np.maximum(q.min(), -(-NUM * p // DEN))
+        enter = np.flatnonzero((fits <= np.minimum(q.max(), DEN * p // NUM)) & (np.diff(kept) >= needed_overlap(p, fits)))
+        path = np.zeros((int(np.diff(kept).max(initial=0)) + 1, len(chunk)), dtype=np.int32)
+        before, known = np.zeros(0, dtype=np.int64), 0
+        for n in enter:
+            s = rows[kept[n]:kept[n + 1]]
+            m = min(len(before), len(s), known)                    # how far the path's overlaps are known
             differ = np.flatnonzero(before[:m] != s[:m])
-            shared = int(differ[0]) if len(differ) else m
-        depth = min(shared, len(path) - 1)                         # how far the path's overlaps are known
-        path, before = path[:depth + 1], s
-        over = int(path[depth])
-        while depth < len(s):
-            left = len(probe) - (int(np.searchsorted(probe, s[depth - 1], side="right")) if depth else 0)
-            if over + min(len(s) - depth, left) < need:            # remaining lengths cannot reach the threshold
-                break
-            piece = s[depth:depth + step]
-            at = np.searchsorted(probe, piece)
-            hit = (at < len(probe)) & (probe[np.minimum(at, len(probe) - 1)] == piece)
-            path = np.concatenate((path, over + np.cumsum(hit)))
-            depth += len(piece)
-            over = int(path[-1])
-        if depth == len(s) and over >= need:
-            found.append(i)
-    return found
-
-
-def shared_grams(a: np.ndarray, b: np.ndarray) -> int:
-    """Size of the intersection of two sorted sets."""
-    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
-    return int((a[at] == b).sum())
-
-
-def _verify_batches(batches: Iterator[pa.RecordBatch], measure: bool) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted by (probe, salt, probe row first); yields the linked (u, v), or every pair with its overlap."""
-    out_u, out_v, out_n = [], [], []
-
-    def linked(u, probe, ids, sets):
-        if probe is None or not sets:
-            return
-        if measure:
-            out_n.extend(shared_grams(probe, s) for s in sets)
-            out_u.extend([u] * len(ids))
-            out_v.extend(ids)
-            return
-        for k in trie_matches(probe, sets):
-            out_u.append(u)
-            out_v.append(ids[k])
-            out_n.append(None)
+            depth = int(differ[0]) if len(differ) else m
+            need = needed_overlap(p[n], q)
+            while depth < len(s):
+                if not (path[depth] + (len(s) - depth) >= need).any():      # remaining lengths cannot reach the threshold
+                    break
+                piece = holds[s[depth:depth + step]]
+                path[depth + 1:depth + 1 + len(piece)] = path[depth] + np.cumsum(piece, axis=0, dtype=np.int32)
+                depth += len(piece)
+            before, known = s, depth
+            if depth == len(s):
+                linked = np.flatnonzero(path[depth] >= need)
+                if len(linked):
+                    yield order[n], np.array(chunk)[linked]
+
+
+class _Joined:
+    """Sets of a task that are known to be connected."""
+
+    def __init__(self):
+        self.root: dict = {}
+
+    def find(self, x):
+        root = self.root
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up] if up in root else up
+        return x
+
+    def join(self, x, y) -> bool:
+        """Whether x and y were apart."""
+        x, y = self.find(x), self.find(y)
+        self.root[max(x, y)] = min(x, y)
+        return x != y
+
+
+BUILD, PROBE, BOTH = 0, 1, 2
+
+
+def _spanning(sides: list[int], reps: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links of one task's branch that connect all that its links connect."""
+    build = [i for i, side in enumerate(sides) if side != PROBE]
+    probes = [i for i, side in enumerate(sides) if side != BUILD]
+    if not build or not probes:
+        return []
+    joined, out = _Joined(), []
+    for i, linked in trie_join([sets[i] for i in build], [sets[i] for i in probes]):
+        u = reps[build[i]]
+        for j in linked:
+            v = reps[probes[j]]
+            if u != v and joined.join(u, v):
+                out.append((min(u, v), max(u, v)))
+    return out
+
+
+def _branch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``task, side, rep, grams`` arrive sorted by task; one task's sets are held at a time."""
+    now, sides, reps, sets, out = None, [], [], [], []
 
     def rows():
-        return pa.RecordBatch.from_arrays([pa.array(out_u, pa.int64()), pa.array(out_v, pa.int64()),
-                                           pa.array(out_n, pa.int64())], ["u", "v", "shared"])
-    now, probe, ids, sets = None, None, [], []
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["u", "v"])
     for batch in batches:
-        for u, salt, role, v, blob in zip(*(batch.column(c) for c in ("u", "salt", "role", "v", "grams"))):
-            group = (u.as_py(), salt.as_py())
-            if group != now:
-                linked(now and now[0], probe, ids, sets)
-                now, probe, ids, sets = group, None, [], []
-            s = np.frombuffer(blob.as_buffer(), dtype=np.uint64)
-            if role.as_py() == 0:
-                probe = s
-            else:
-                ids.append(v.as_py())
-                sets.append(s)
-        if len(out_u) > 50_000:
+        for task, side, rep, blob in zip(*(batch.column(c) for c in ("task", "side", "rep", "grams"))):
+            if (task := task.as_py()) != now:
+                out.extend(_spanning(sides, reps, sets))
+                now, sides, reps, sets = task, [], [], []
+            sides.append(side.as_py())
+            reps.append(rep.as_py())
+            sets.append(np.frombuffer(blob.as_buffer(), dtype=np.uint64))
+        if len(out) > 50_000:
             yield rows()
-            out_u, out_v, out_n = [], [], []
-    linked(now and now[0], probe, ids, sets)
+            out = []
+    out.extend(_spanning(sides, reps, sets))
     yield rows()
 
 
@@ -331,6 +374,7 @@ class NgramJoin:
         # the smallest id stands for a class, or its key where an id repeats with another text
         self.repeated = not classes.groupBy("id").count().where("count > 1").isEmpty()
         self.classes = classes.withColumn("rep", F.col("key" if self.repeated else "id"))
+        self.same_rows = not self.rows.where("size > 0").groupBy("doc_id").count().where("count > 1").isEmpty()
         entries = self.classes.agg(F.sum(F.col("size") * (1 - NUM / DEN + SHARE_SLACK) + 1)).first()[0] or 0
         self.parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), int(entries / (4 * ENTRIES_PER_BUCKET)))
         self.buckets = 4 * self.parts
@@ -352,14 +396,14 @@ class NgramJoin:
         top = counted.orderBy(F.col("count").desc(), "gram").limit(HOT_LIMIT).select("gram").toPandas()
         return np.sort(top["gram"].to_numpy(dtype=np.int64).astype(np.uint64))
 
-    def _pairs(self, shared: DataFrame, least) -> DataFrame:
+    def _pairs(self, shared: DataFrame, least, *more) -> DataFrame:
         """Pairs ``u < v`` of representatives whose sizes allow a link and that share at least ``least`` front n-grams."""
         c = self._sets
         return (shared.groupBy("a", "b").agg(F.sum("count").alias("n"))
                 .join(c.alias("l"), F.col("a") == F.col("l.key")).join(c.alias("r"), F.col("b") == F.col("r.key"))
                 .where((DEN * F.least("l.size", "r.size") >= NUM * F.greatest("l.size", "r.size")) & least
                        & (F.col("l.rep") != F.col("r.rep")))
-                .select(F.least("l.rep", "r.rep").alias("u"), F.greatest("l.rep", "r.rep").alias("v")).distinct())
+                .select(F.least("l.rep", "r.rep").alias("u"), F.greatest("l.rep", "r.rep").alias("v"), *more).distinct())
 
     def _first_candidates(self) -> DataFrame:
         """Pairs that share enough rare n-grams, and stars of common ones; keeps what the second round needs."""
@@ -376,81 +420,92 @@ class NgramJoin:
             self._pairs(found.where("kind = 1"), F.col("n") >= _least_of_pair()))
         return _written(self.spark, pairs.distinct(), "ngram-pairs")
 
-    def _verified(self, pairs: DataFrame, measure: bool = False) -> DataFrame:
-        """The linked pairs among the candidates; with ``measure``, every pair with its overlap ``shared``."""
+    def _branches_of_pairs(self, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(``task, side, rep`` of sets that meet because of the pairs, ``node, branch, parts``).
+
+        A branch is what the pairs connect.  All sets of a branch that is light
+        enough meet in one task; of a heavier one, those parts meet that have a pair
+        between them, each with its sets that are in such a pair.
+        """
+        spark = self.spark
+        branch = connected_components(spark, pairs).select("node", F.col("component").alias("branch"))
+        weight = branch.join(self.classes, F.col("node") == F.col("rep")).groupBy("branch").agg(
+            F.ceil(2 * F.sum("size") / BRANCH_GRAMS).cast("int").alias("halves"))
+        branch = branch.join(weight, "branch").select(
+            "node", "branch", F.when(F.col("halves") <= 2, 1).otherwise(F.col("halves")).alias("parts"))
+        branch = _written(spark, branch, "ngram-branches")
+        ends = pairs.join(branch.withColumnRenamed("node", "u"), "u")
+        part = {e: F.pmod(F.xxhash64(e), F.col("parts")).cast("int") for e in ("u", "v")}
+        low, high = F.least(part["u"], part["v"]), F.greatest(part["u"], part["v"])
+        task = F.xxhash64(F.lit("pairs"), "branch", low, high)
+        placed = ends.select(task.alias("task"), (low == high).alias("one"), low.alias("low"), F.explode(F.array(
+            F.struct(F.col("u").alias("rep"), part["u"].alias("part")),
+            F.struct(F.col("v").alias("rep"), part["v"].alias("part")))).alias("end"))
+        side = F.when(F.col("one"), BOTH).when(F.col("end.part") == F.col("low"), BUILD).otherwise(PROBE)
+        return placed.select("task", side.alias("side"), "end.rep").distinct(), branch
+
+    def _links_of(self, placed: DataFrame) -> DataFrame:
+        """Spanning links ``u, v`` of the tasks in ``placed``; every set is read once and goes to each of its tasks."""
         spark, n = self.spark, self.n
-        ids = pairs.select(F.explode(F.array("u", "v")).alias("rep")).distinct().join(self.classes, "rep")
-        ids = _written(spark, ids.select("rep", "digest", "id"), "ngram-wanted")
-        side = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
-        sets = _written(spark, self.docs.join(side, F.col("doc_id") == F.col("id")).select("rep", "digest", "text")
-                        .mapInArrow(lambda b: _full_set_batches(b, n), "rep long, grams binary")
-                        .dropDuplicates(["rep"]), "ngram-full")
-        # a probe with many partners is dealt over several tries
-        degree = pairs.groupBy("u").agg(F.ceil(F.count("*") / BUILD_LIMIT).cast("int").alias("tries"))
-        dealt = pairs.join(degree, "u").withColumn("salt", F.pmod(F.xxhash64("v"), F.col("tries")).cast("int"))
-        build = dealt.join(sets, F.col("v") == F.col("rep")).select(
-            "u", "salt", F.lit(1).alias("role"), "v", "grams")
-        probe = dealt.select("u", "salt").distinct().join(sets, F.col("u") == F.col("rep")).select(
-            "u", "salt", F.lit(0).alias("role"), F.col("u").alias("v"), "grams")
-        rows = probe.unionAll(build).repartition("u", "salt").sortWithinPartitions("u", "salt", "role")
-        return _written(spark, rows.mapInArrow(
-            lambda b: _verify_batches(b, measure), "u long, v long, shared long"), "ngram-overlaps" if measure else "ngram-links")
-
-    def _second_candidates(self, component: DataFrame) -> DataFrame:
-        """What the first round left open, between components that are still apart.
+        placed = _written(spark, placed, "ngram-placed")
+        ids = placed.select("rep").distinct().join(self.classes, "rep").select("rep", "digest", "id")
+        ids = _small(_written(spark, ids, "ngram-wanted"))
+        sets = self.docs.join(ids, F.col("doc_id") == F.col("id")).select("rep", "digest", "text").mapInArrow(
+            lambda b: _full_set_batches(b, n), "rep long, grams binary")
+        if self.same_rows:
+            sets = sets.dropDuplicates(["rep"])
+        rows = sets.join(_small(placed), "rep").select("task", "side", "rep", "grams")
+        rows = rows.repartition("task").sortWithinPartitions("task")
+        return _written(spark, rows.mapInArrow(_branch_batches, "u long, v long"), "ngram-links")
+
+    def _second_branches(self, label: DataFrame) -> DataFrame:
+        """``task, side, rep`` of what the first round left open; sets of one label are done with each other.
 
         A linked pair shares ``least`` front n-grams.  Either some of them are
         rare, and the common ones of both sets make up for the rest; or all are
         common, and both sets hold that many.
         """
-        node = component.select("node", "component")
+        spark = self.spark
+        sets = _written(spark, self._sets.where("heavy > 0").join(label, F.col("rep") == F.col("node"), "left").select(
+            "key", "rep", "size", "heavy", F.coalesce("label", "rep").alias("label")), "ngram-labels")
+        held = self._members.groupBy("key", "pivot").agg(F.count("*").alias("n"))
+        held = _written(spark, held.join(sets, "key").select("pivot", "rep", "n", "size", "heavy", "label"), "ngram-held")
+        # pairs of some rare n-grams: common ones are shared under the same pivot, or not at all
         least = _least_of_pair()
-        mixed = self._pairs(self._few, (F.col("n") < least) & (F.col("n") + F.least("l.heavy", "r.heavy") >= least))
-        for end in ("u", "v"):
-            mixed = mixed.join(node.select(F.col("node").alias(end), F.col("component").alias("c" + end)), end, "left")
-        mixed = mixed.where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
-        common = self._common_pairs(node)
-        m = self._measured
-        apart = (mixed.join(m.select(F.col("rep").alias("u"), "first", F.struct("size", "shared").alias("l")), "u")
-                 .join(m.select(F.col("rep").alias("v"), "first", F.struct("size", "shared").alias("r")), ["v", "first"])
-                 .where(~_may_link()).select("u", "v").distinct())
-        mixed = mixed.join(apart, ["u", "v"], "left_anti")
-        return _written(self.spark, mixed.unionAll(common).distinct(), "ngram-residual")
-
-    def _common_pairs(self, node: DataFrame) -> DataFrame:
-        """Pairs of sets that may share enough through common front n-grams, between components still apart.
-
-        Sharers of a common n-gram are mostly one family of copies, some of them
-        changed too much to be linked.  Their overlaps with the n-gram's first
-        sharer are measured, one per (sharer, first sharer), and sharers meet by
-        first sharer, not by n-gram, so a pair comes up once per first sharer.
-        Jaccard distance is a metric, so two sharers whose distances from it
-        differ by more than a quarter cannot be linked; the join runs on bands of
-        that distance.  Within a band :func:`_may_link` bounds their overlap from
-        the measured ones.
-        """
-        spark, width = self.spark, (DEN - NUM) / DEN
-        c = (self._sets.where(F.col("heavy") >= _least_column("size")).join(node, F.col("rep") == F.col("node"), "left")
-             .select("key", "rep", "size", F.coalesce("component", "rep").alias("component")))
-        rows = self._members.join(c, "key")
-        apart = rows.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-        first = self._sets.select(F.col("key").alias("pivot"), F.col("rep").alias("first"), F.col("size").alias("first_size"))
-        rows = _written(spark, rows.join(apart.select("gram"), "gram").join(first, "pivot").select(
-            "first", "first_size", "rep", "size", "component").distinct(), "ngram-open")
-        measured = self._verified(rows.where("rep != first").select(F.col("first").alias("u"), F.col("rep").alias("v")),
-                                  measure=True).withColumnRenamed("u", "first").withColumnRenamed("v", "rep")
-        shared = F.when(F.col("rep") == F.col("first"), F.col("size")).otherwise(F.col("shared"))
-        far = 1 - F.col("shared") / (F.col("size") + F.col("first_size") - F.col("shared"))
-        placed = _written(spark, rows.join(measured, ["first", "rep"], "left").withColumn("shared", shared).select(
-            "first", "rep", "size", "component", "shared", far.alias("far")), "ngram-placed")
-        self._measured = placed.select("first", "rep", "size", "shared")
-        band = F.floor(F.col("far") / (width / 5)).cast("int")
-        l = placed.withColumn("band", F.explode(F.sequence(band - 6, band + 6))).alias("l")
-        r = placed.withColumn("band", band).alias("r")
-        return l.join(r, (F.col("l.first") == F.col("r.first")) & (F.col("l.band") == F.col("r.band"))
-                      & (F.col("l.rep") < F.col("r.rep")) & (F.col("l.component") != F.col("r.component"))
-                      & _may_link() & (DEN * F.least("l.size", "r.size") >= NUM * F.greatest("l.size", "r.size"))).select(
-            F.col("l.rep").alias("u"), F.col("r.rep").alias("v"))
+        mixed = self._pairs(self._few, (F.col("n") < least) & (F.col("n") + F.least("l.heavy", "r.heavy") >= least),
+                            F.col("n").alias("rare"), least.alias("least"))
+        l, r = (held.select(F.col("rep").alias(e), "pivot", F.col("n").alias("n" + e), F.col("label").alias("label" + e))
+                for e in ("u", "v"))
+        mixed = (mixed.join(l, "u").join(r, ["v", "pivot"]).where("labelu != labelv").groupBy("u", "v")
+                 .agg(F.sum(F.least("nu", "nv")).alias("common"), F.max("rare").alias("rare"), F.min("least").alias("least"))
+                 .where("rare + common >= least").select("u", "v"))
+        mixed = _written(spark, mixed, "ngram-mixed")
+        # sets of enough common n-grams meet under the pivots of those n-grams
+        many = held.where(F.col("heavy") >= _least_column("size"))
+        weights = many.groupBy("pivot", "label").agg(F.sum("size").alias("weight"))
+        most = weights.groupBy("pivot").agg(
+            F.max_by("label", F.struct("weight", "label")).alias("main"), F.max("weight").alias("main_weight"),
+            F.sum("weight").alias("all"), F.count("*").alias("labels")).where("labels > 1")
+        half = BRANCH_GRAMS / 2
+        light = F.col("all") <= BRANCH_GRAMS
+        most = most.select("pivot", "main", F.when(light, 1).otherwise(
+            F.ceil((F.col("all") - F.col("main_weight")) / half)).cast("int").alias("rest_parts"),
+            F.when(light, 0).otherwise(F.ceil(F.col("main_weight") / half)).cast("int").alias("main_parts"))
+        rows = many.join(most, "pivot")
+        # a heavy branch: sets of the commonest label, which are done with each other, meet the rest's parts only
+        in_main = (F.col("main_parts") > 0) & (F.col("label") == F.col("main"))
+        dealt = F.xxhash64("rep")
+        rows = rows.withColumn("part", F.when(in_main, F.col("rest_parts") + F.pmod(dealt, F.greatest("main_parts", F.lit(1))))
+                               .otherwise(F.pmod(dealt, F.col("rest_parts"))).cast("int"))
+        meets = F.when(in_main, F.sequence(F.lit(0), F.col("rest_parts") - 1)).otherwise(
+            F.sequence(F.lit(0), F.col("rest_parts") + F.col("main_parts") - 1))
+        rows = rows.select("pivot", "rep", "part", F.explode(meets).alias("other"))
+        low, high = F.least("part", "other"), F.greatest("part", "other")
+        common = rows.select(F.xxhash64(F.lit("common"), "pivot", low, high).alias("task"),
+                             F.when(low == high, BOTH).when(F.col("part") == low, BUILD).otherwise(PROBE).alias("side"), "rep")
+        if mixed.isEmpty():
+            return common
+        return common.unionAll(self._branches_of_pairs(mixed)[0])
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """(verified links between representatives, ``node, component``).
@@ -458,12 +513,16 @@ class NgramJoin:
         The links connect exactly the documents that the join links; a pair whose
         documents are already connected by other links may be left unlisted.
         """
-        first = self._verified(self._first_candidates())
+        placed, branch = self._branches_of_pairs(self._first_candidates())
+        first = self._links_of(placed)
         component = connected_components(self.spark, first)
-        rest = self._second_candidates(component)
+        # all sets of a branch in one part have met; else those of a component need not meet again
+        label = branch.join(component, "node", "left").select(
+            "node", F.when(F.col("parts") == 1, F.col("branch")).otherwise(F.coalesce("component", "node")).alias("label"))
+        rest = _written(self.spark, self._second_branches(label), "ngram-open")
         if rest.isEmpty():
             return first, component
-        every = first.unionByName(self._verified(rest))
+        every = first.unionByName(self._links_of(rest))
         return every, connected_components(self.spark, every)
 
     def members(self) -> DataFrame:
@@ -487,16 +546,6 @@ class NgramJoin:
         return self.members().select("doc_id", "n_shingles", "component_id")
 
 
-def _may_link():
-    """Whether sets ``l`` and ``r`` can overlap enough, given what each shares with the same third set.
-
-    Their intersection is at most what both share with that set plus what both hold outside it.
-    """
-    inside = F.least("l.shared", "r.shared")
-    outside = F.least(F.col("l.size") - F.col("l.shared"), F.col("r.size") - F.col("r.shared"))
-    return (DEN + NUM) * (inside + outside) >= NUM * (F.col("l.size") + F.col("r.size"))
-
-
 def _least_of_pair():
     return F.least(_least_column("l.size"), _least_column("r.size"))
 

@@ -83,7 +83,7 @@ def test_groups_around_the_threshold(spark, seed):
 def test_large_group_of_chained_copies_goes_through_the_residual(spark, monkeypatch):
     """Copies drift along a chain: ends are far apart, neighbours are linked, n-grams have many sharers."""
     monkeypatch.setattr(ngram_join, "SMALL_RUN", 3)
-    monkeypatch.setattr(ngram_join, "BUILD_LIMIT", 7)
+    monkeypatch.setattr(ngram_join, "BRANCH_GRAMS", 700)
     r = random.Random(4)
     words = [f"c{i}" for i in range(60)]
     texts = {}
@@ -97,18 +97,56 @@ def test_large_group_of_chained_copies_goes_through_the_residual(spark, monkeypa
     check(ngram_join.ngram_components(df.repartition(4)).collect(), texts)
 
 
-def test_trie_equals_plain_intersections():
+def linked(a, b):
+    return 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
+
+
+def test_trie_join_equals_plain_intersections():
     rng = np.random.default_rng(0)
     for _ in range(60):
-        base = np.unique(rng.integers(0, 400, 120, dtype=np.uint64))
+        base = np.unique(rng.integers(0, 400, rng.choice([3, 120]), dtype=np.uint64))
         sets = []
-        for _ in range(12):
+        for _ in range(24):
             s = base[rng.random(len(base)) > rng.choice([0.02, 0.1, 0.3])]
-            sets.append(np.unique(np.concatenate((s, rng.integers(0, 400, rng.integers(0, 12), dtype=np.uint64)))))
-        probe, rest = sets[0], sets[1:]
-        want = [i for i, s in enumerate(rest) if 100 * len(np.intersect1d(probe, s)) >= 75 * len(np.union1d(probe, s))]
-        for step in (1, 5, 64):
-            assert sorted(ngram_join.trie_matches(probe, rest, step)) == want
+            sets.append(np.unique(np.concatenate((s, rng.integers(0, 400, rng.integers(1, 12), dtype=np.uint64)))))
+        build, probes = sets[:14], sets[9:]
+        want = {(i, j) for i, a in enumerate(build) for j, b in enumerate(probes) if linked(a, b)}
+        for step, at_once in ((1, 3), (5, 100), (128, 256)):
+            found = ngram_join.trie_join(build, probes, step, at_once)
+            assert {(i, int(j)) for i, js in found for j in js} == want
+
+
+def test_a_task_emits_a_spanning_forest_of_its_links():
+    rng = np.random.default_rng(7)
+    base = np.arange(200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[rng.random(200) > 0.12], np.array([1000 + k], np.uint64)))) for k in range(60)]
+    sides = [int(x) for x in rng.integers(0, 3, 60)]
+    reps = list(range(100, 160))
+    out = ngram_join._spanning(sides, reps, sets)
+    full = [(a, b) for a in range(60) for b in range(60) if a != b and sides[a] != 1 and sides[b] != 0 and linked(sets[a], sets[b])]
+
+    def groups(edges):
+        j = ngram_join._Joined()
+        joined = [j.join(*e) for e in edges]
+        return {r: j.find(r) for r in reps}, joined
+    assert groups(out)[0] == groups([(reps[a], reps[b]) for a, b in full])[0]
+    assert all(groups(out)[1])                                     # no link is spare
+    assert ngram_join._spanning([0, 0], [1, 2], sets[:2]) == []
+
+
+@pytest.mark.parametrize("grams", [1 << 19, 4000])
+def test_thousands_of_near_copies_that_are_not_linked(spark, monkeypatch, grams):
+    """All share a half of their words, few pairs are linked; rows that leave the tasks stay few."""
+    monkeypatch.setattr(ngram_join, "BRANCH_GRAMS", grams)
+    r = random.Random(9)
+    n = 2500 if grams > 4000 else 300
+    core = [f"c{i}" for i in range(40)]
+    texts = {d: " ".join(core + [f"t{r.randrange(10 ** 9)}" for _ in range(30)]) for d in range(n)}
+    texts |= {10_000 + k: texts[7 * k] + " more" for k in range(20)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(6)
+    join = ngram_join.NgramJoin(df)
+    got = {m.doc_id: m.component_id for m in join.memberships().collect()}
+    assert got == {d: 7 * (d - 10_000) if d >= 10_000 else d for d in texts}
 
 
 def test_fronts_of_linked_sets_share_enough():

@@ -24,7 +24,8 @@ from kestrel.session import scratch_path
 
 SCALE = 1_000_000_000           # probabilities are whole billionths
 SMOOTHING = 5                   # added to every count
-HELD_TERMS = 400_000            # (group, term) counts a task holds before it hands them on
+HELD_TERMS = 600_000            # (group, term) counts a task holds before it hands them on
+ROW_TERMS = 20_000              # terms of one row that leaves the task
 BLOCK_TERMS = 32_768            # about the term ids of one block, which bounds the arrays of a pair task
 GALLOP = 64                     # ids that gallop together
 
@@ -47,18 +48,19 @@ def _terms(text: bytes, slice_bytes: int):
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch], slice_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents of the terms of every (lang, source); a null term stands for the group itself."""
-    held: dict = defaultdict(lambda: (Counter(), Counter()))
+    """Rows ``lang, source, terms, counts``: occurrences of terms in a group, or, with a null source, their documents.
+
+    Every group has a row, with or without terms.
+    """
+    held, docs = defaultdict(Counter), defaultdict(Counter)
 
     def rows():
-        out = []
-        for (lang, source), (n, docs) in held.items():
-            out.append((lang, source, None, 0, 0))
-            out.extend((lang, source, t.decode(), n[t], docs[t]) for t in n)
-        cols = list(zip(*out))
-        return pa.RecordBatch.from_arrays(
-            [*(pa.array(c, pa.string()) for c in cols[:3]), *(pa.array(c, pa.int64()) for c in cols[3:])],
-            ["lang", "source", "term", "n", "docs"])
+        for (lang, source), found in [*held.items(), *(((lang, None), d) for lang, d in docs.items())]:
+            terms, counts = pa.array(list(found), pa.binary()).cast(pa.string()), np.fromiter(found.values(), np.int64, len(found))
+            for k in range(0, max(len(counts), 1), ROW_TERMS):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang], pa.string()), pa.array([source], pa.string()), _as_list(terms[k:k + ROW_TERMS]),
+                     _as_list(pa.array(counts[k:k + ROW_TERMS]))], ["lang", "source", "terms", "counts"])
 
     for part in byte_slices(batches, "text", slice_bytes):
         offsets, raw = text_buffers(part.column("text"))
@@ -68,22 +70,32 @@ def _count_batches(batches: Iterator[pa.RecordBatch], slice_bytes: int) -> Itera
                                       offsets[:-1], offsets[1:]):
             found[lang, source].append(_terms(raw[a:b].tobytes(), slice_bytes))
         for group, texts in found.items():
-            n, docs = held[group]
-            for t in texts:
-                if isinstance(t, Counter):
-                    n.update(t)
-            n.update(Counter(chain.from_iterable(t for t in texts if isinstance(t, list))))
-            docs.update(Counter(chain.from_iterable(map(set, texts))))
-        if sum(len(n) for n, _ in held.values()) > HELD_TERMS:
-            yield rows()
+            count(held[group], texts)
+        for lang in {lang for lang, _ in found}:
+            docs[lang].update(chain.from_iterable(map(set, chain.from_iterable(t for g, t in found.items() if g[0] == lang))))
+        if sum(map(len, held.values())) > HELD_TERMS:
+            yield from rows()
             held.clear()
+            docs.clear()
     if held:
-        yield rows()
+        yield from rows()
+
+
+def count(total: Counter, texts: list) -> None:
+    """Add the terms of texts, each a list of terms or a counter."""
+    total.update(chain.from_iterable(t for t in texts if isinstance(t, list)))
+    for t in texts:
+        if isinstance(t, Counter):
+            total.update(t)
+
+
+def _as_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
                 slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """``lang, source, term, n, docs``: occurrences and documents of every term in every group.
+    """``lang, source, term, n``: occurrences of every term in every group; of rows with a null source, its documents.
 
     A term is a run of letters A-Z, a-z or of characters beyond ASCII, with only
     A-Z lower-cased.  Every occurring group has one row with a null term.
@@ -91,8 +103,11 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
     rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name)
                          for c, name in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))))
     counted = rows.mapInArrow(lambda b: _count_batches(b, slice_bytes),
-                              "lang string, source string, term string, n long, docs long")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+                              "lang string, source string, terms array<string>, counts array<long>")
+    # one empty entry a row for the group itself
+    entries = F.arrays_zip(F.concat(F.array(F.lit(None).cast("string")), "terms").alias("term"),
+                           F.concat(F.array(F.lit(0).cast("long")), "counts").alias("n"))
+    return counted.select("lang", "source", F.inline(entries)).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
 
 
 # ---------------------------------------------------------------- pricing
@@ -163,9 +178,12 @@ class SourceAudit:
 
     def __init__(self, docs: DataFrame, least_docs: int = 30, block_terms: int = BLOCK_TERMS, **columns: str):
         counts = _written(term_counts(docs, **columns), "audit-counts")
+        n = F.col("n")
         kept = counts.where("term IS NOT NULL").groupBy("lang", "term").agg(
-            F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
+            F.sum(F.when(F.col("source").isNotNull(), n)).alias("lang_n"),
+            F.sum(F.when(F.col("source").isNull(), n)).alias("docs")).where(F.col("docs") >= least_docs)
         kept = _written(kept.drop("docs"), "audit-kept")
+        counts = counts.where("source IS NOT NULL")
         sizes = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
         blocks = -(-(sizes.agg(F.max("kept")).first()[0] or 0) // block_terms) or 1     # one number for all languages
         block = F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int")

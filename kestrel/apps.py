@@ -29,7 +29,9 @@ from kestrel.sources import tweets as TW
 from kestrel.sources.gunzip import gunzip
 from kestrel.sources.tables import CUSTOMER_DELIM, CUSTOMER_FIELDS
 from kestrel.streaming import jobs as J
+from kestrel.ml.store import ModelStore
 from kestrel.streaming import runner as RN
+from kestrel.streaming.refresh import refreshed_model
 from kestrel.streaming.risk import risk_flag_batch_fn
 
 
@@ -305,6 +307,45 @@ def churn_app(spark: SparkSession, source: DataFrame, table_path: str, checkpoin
                     processing_time=processing_time)
 
 
-__all__ = ["mileage_job", "als_tuning_job", "implicit_job", "rating_stream_app", "risk_app", "risk_batch",
+def rating_refresh_app(spark: SparkSession, source: DataFrame, root: str, checkpoint: str,
+                       processing_time: str | None = None, over: str = "history"):
+    """Score every rating with the model of the batches before its own, then refit with its batch.
+
+    ``root/history`` keeps the ratings per batch, ``root/scores`` the scored ones
+    with the version that scored them, ``root/model`` the versions.
+    """
+    from pyspark.ml.recommendation import ALSModel
+
+    def fit(rows: DataFrame):
+        rows = rows.dropna(subset=["user", "item", "rating"])
+        return None if rows.isEmpty() else RC.als().fit(rows)
+
+    def score(model, batch: DataFrame) -> DataFrame:
+        scored = model.transform(batch.dropna(subset=["user", "item"])).withColumn("prediction", F.round("prediction", 1))
+        return scored.withColumn("absError", F.abs(F.col("prediction") - F.col("rating")))
+    step = refreshed_model(ModelStore(spark, f"{root}/model", ALSModel.load), f"{root}/history", fit, score,
+                           f"{root}/scores", over)
+    return RN.start(J.parse_rating_messages(source), step, checkpoint, processing_time=processing_time)
+
+
+def churn_refresh_app(spark: SparkSession, source: DataFrame, root: str, checkpoint: str,
+                      processing_time: str | None = None, over: str = "history", classifier=None):
+    """Score every churn record with the classifier of the batches before its own, then refit with its batch.
+
+    Layout as in :func:`rating_refresh_app`; ``kestrel.ml.classify.auc_by`` over
+    ``root/scores`` gives the AUC of every batch on records that its model had not seen.
+    """
+    from pyspark.ml import PipelineModel
+
+    from kestrel.ml import classify as CL
+
+    def fit(rows: DataFrame):
+        return CL.fit_classifier(rows.where("churned IS NOT NULL"), classifier or CL.decision_tree())
+    step = refreshed_model(ModelStore(spark, f"{root}/model", PipelineModel.load), f"{root}/history", fit, CL.churn_scores,
+                           f"{root}/scores", over)
+    return RN.start(parse_churn_messages(source), step, checkpoint, processing_time=processing_time)
+
+
+__all__ = ["rating_refresh_app", "churn_refresh_app", "mileage_job", "als_tuning_job", "implicit_job", "rating_stream_app", "risk_app", "risk_batch",
            "wordcount_app", "rail_feed_app", "rail_current_graph", "tweets_job", "churn_app",
            "parse_customer_messages", "parse_churn_messages", "churn_train_job", "listening_job"]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from kestrel.operators.stats import hash_split
 
@@ -32,6 +34,34 @@ def fit_and_score(spark: SparkSession, data: DataFrame, classifier, split=(0.7,
     return spark.createDataFrame([(type(classifier).__name__, float(auc))], "model string, auc double")
 
 
+def fit_classifier(data: DataFrame, classifier):
+    """The fitted pipeline, or None while the data hold fewer than two classes (nothing can be learned yet)."""
+    if data.select("churned").where("churned IS NOT NULL").distinct().limit(2).count() < 2:
+        return None
+    return pipeline(classifier).fit(data)
+
+
+def churn_scores(model: PipelineModel, data: DataFrame) -> DataFrame:
+    """``data`` with ``score`` (probability of the label that sorts last) and ``predicted``; labels are not read."""
+    known = PipelineModel([s for s in model.stages if s.hasParam("outputCol") is False or s.getOutputCol() != "label"])
+    labels = next(s.labels for s in model.stages if s.hasParam("outputCol") and s.getOutputCol() == "label")
+    scored = known.transform(data)
+    return scored.select(*data.columns, vector_to_array("probability")[1].alias("score"),
+                         F.element_at(F.array(*map(F.lit, labels)), F.col("prediction").cast("int") + 1).alias("predicted"))
+
+
+def auc_by(scored: DataFrame, by: str, positive) -> DataFrame:
+    """``<by>, auc``: area under the ROC curve of ``score`` per group, ties counted half; null without both classes.
+
+    Rows are reduced to their distinct scores with class counts first.
+    """
+    counts = scored.groupBy(by, "score").agg(F.count_if(positive).alias("p"), F.count_if(~positive).alias("n"))
+    below = Window.partitionBy(by).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    wins = F.col("p") * (F.coalesce(F.sum("n").over(below), F.lit(0)) + F.col("n") / 2)
+    return counts.withColumn("wins", wins).groupBy(by).agg(
+        F.try_divide(F.sum("wins"), F.sum("p") * F.sum("n")).alias("auc"))
+
+
 def decision_tree() -> DecisionTreeClassifier:
     return DecisionTreeClassifier(labelCol="label", featuresCol="features", seed=SEED)
 

@@ -22,6 +22,7 @@ PLAN_MODULES = (
     "kestrel.plans.streams",
     "kestrel.plans.recommend",
     "kestrel.plans.churn",
+    "kestrel.plans.refresh",
 )
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.operators.bins import log_bin
 from kestrel.operators.topk import value_at_rank
 
 # Category labels of the two flags (fixed by the original index documents).
@@ -30,27 +31,23 @@ def slot_of(ts: str, slide_seconds: int) -> Column:
     return F.floor(F.unix_timestamp(F.col(ts)) / slide_seconds).cast("long")
 
 
-def window_thresholds(costs: DataFrame, slide_seconds: int, w: int, lo=None, hi=None, bins: int = 256) -> DataFrame:
+def window_thresholds(costs: DataFrame, slide_seconds: int, w: int, lo=None, hi=None) -> DataFrame:
     """``risk_category, end_slot, n, k, kth`` for every window holding data (``k = floor(n/10)``).
 
-    Rows are first reduced to counts per (category, slot, bin of cost), combined
-    before the shuffle; only those counts are spread over the ``w`` windows that
-    hold a slot.  They give every window's size and the bin of its rank ``k``.
-    Then the values of that bin alone, with counts per slot, are summed per
-    window and ranked.  ``lo``/``hi`` restrict the windows.
+    Every slot has a mergeable histogram of its costs (:mod:`kestrel.operators.bins`),
+    combined before the shuffle.  A window merges the histograms of its ``w``
+    slots, which gives its size and the bin of its rank ``k``, and costs its slots
+    and not its values.  Then the values of that bin alone, with counts per slot,
+    are summed per window and ranked exactly.  ``lo``/``hi`` restrict the windows.
     """
     s = costs.select("risk_category", F.col("cost"), slot_of("tstamp", slide_seconds).alias("slot"))
-    return slot_thresholds(s, w, lo, hi, bins)
+    return slot_thresholds(s, w, lo, hi)
 
 
-def slot_thresholds(s: DataFrame, w: int, lo=None, hi=None, bins: int = 256) -> DataFrame:
+def slot_thresholds(s: DataFrame, w: int, lo=None, hi=None) -> DataFrame:
     """:func:`window_thresholds` of rows ``risk_category, cost, slot``."""
     cat, win = ["risk_category"], ["risk_category", "end_slot"]
-    probs = [i / bins for i in range(1, bins)]
-    splits = s.groupBy(*cat).agg(F.array_distinct(F.percentile_approx("cost", probs, 4 * bins)).alias("_splits"))
-    bin_of = F.size(F.filter("_splits", lambda x: x < F.col("cost")))
-    valued = s.join(splits, cat).select(*cat, "slot", bin_of.alias("_bin"), "cost").groupBy(
-        *cat, "slot", "_bin", "cost").agg(F.count("*").alias("_rows"))
+    valued = s.groupBy(*cat, "slot", "cost").agg(F.count("*").alias("_rows")).withColumn("_bin", F.coalesce(log_bin("cost"), F.lit(0)))
     slots = valued.groupBy(*cat, "slot", "_bin").agg(F.sum(F.when(F.col("cost").isNotNull(), F.col("_rows"))).alias("_n"))
     ends = F.explode(F.sequence("slot", F.col("slot") + (w - 1))).alias("end_slot")
     per_bin = slots.select(*cat, "_bin", F.coalesce("_n", F.lit(0)).alias("_n"), ends)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.operators.bins import coarse_bin, fine_bin
+
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
                     rank_name: str = "rank") -> DataFrame:
@@ -28,42 +30,32 @@ def value_at_rank(counted: DataFrame, group: Sequence[str], value: str, count: s
     return upto.where(hit).select(*group, F.col(value).alias("kth"))
 
 
-def kth_largest(df: DataFrame, group: Sequence[str], value: str, k: Column | None = None,
-                bins: int = 32, accuracy: int = 1000, levels: int = 2) -> DataFrame:
+def kth_largest(df: DataFrame, group: Sequence[str], value: str, k: Column | None = None) -> DataFrame:
     """Exact k-th largest ``value`` per group (duplicates count), ``k = floor(n/10)`` by default.
 
     Returns ``group..., n, k, kth`` with ``kth`` NULL when ``k`` is 0 or exceeds ``n``.
 
-    Each level bins the candidate rows at approximate quantile split points of
-    the group (``percentile_approx``), counts every bin exactly, and keeps only
-    the bin that holds rank ``k`` (``k`` becomes the rank inside it).  After
-    ``levels`` levels the surviving bin is reduced to its distinct values with
-    counts (combined before the shuffle), and a running count finds rank ``k``:
-    a value that repeats any number of times is one row.
+    Rows are reduced to distinct values with counts (combined before the
+    shuffle).  Counts per bin of the value (:mod:`kestrel.operators.bins`) give
+    the bin that holds rank ``k``, counts per fine bin inside it the fine bin, and
+    a running count over that fine bin's values the value: no task sees more of a
+    group than its bins and one fine bin.
     """
     group = list(group)
-    probs = [i / bins for i in range(1, bins)]
-    cand = df.select(*group, value)
-    sketch = F.array_distinct(F.percentile_approx(value, probs, accuracy)).alias("_splits")
-    first = cand.groupBy(*group).agg(F.count(value).alias("n"), sketch)     # count and level-1 sketch, one pass
+    fine = fine_bin(value)
+    cand = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n")).withColumn("_fine", fine)
+    stats = df.groupBy(*group).agg(F.count(value).alias("n"))
     kcol = k if k is not None else F.floor(F.col("n") / 10)
-    first = first.withColumn("k", kcol.cast("long"))
-    stats = first.select(*group, "n", "k")
-    want = stats.select(*group, "k")                  # rank sought among the candidates
-    for level in range(levels):
-        splits = first.select(*group, "_splits") if level == 0 else cand.groupBy(*group).agg(sketch)
-        binned = (cand.join(splits, group)
-                  .withColumn("_bin", F.size(F.filter("_splits", lambda s: s < F.col(value))))
-                  .drop("_splits"))
-        counts = binned.groupBy(*group, "_bin").agg(F.count(value).alias("_c"))
-        wdesc = Window.partitionBy(*group).orderBy(F.desc("_bin"))
-        counts = counts.withColumn("_above", F.coalesce(F.sum("_c").over(
-            wdesc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        target = (counts.join(want.select(*group, "k"), group)
-                  .where((F.col("k") > F.col("_above")) & (F.col("k") <= F.col("_above") + F.col("_c")))
-                  .select(*group, "_bin", (F.col("k") - F.col("_above")).alias("k")))
-        cand = binned.join(target.select(*group, "_bin"), group + ["_bin"]).select(*group, value)
+    stats = stats.withColumn("k", kcol.cast("long"))
+    want = stats.select(*group, "k")                               # rank sought among the candidates
+    for bin_ in (coarse_bin("_fine"), F.col("_fine")):
+        cand = cand.withColumn("_bin", bin_)
+        counts = cand.groupBy(*group, "_bin").agg(F.sum("_n").alias("_c"))
+        upto = F.sum("_c").over(Window.partitionBy(*group).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, 0))
+        target = counts.withColumn("_above", upto - F.col("_c")).join(want, group).where(
+            (F.col("k") > F.col("_above")) & (F.col("k") <= F.col("_above") + F.col("_c"))).select(
+                *group, "_bin", (F.col("k") - F.col("_above")).alias("k"))
+        cand = cand.join(target.select(*group, "_bin"), group + ["_bin"]).select(*group, value, "_n", "_fine")
         want = target.select(*group, "k")
-    # distinct values with counts, however often a value repeats
-    counted = cand.groupBy(*group, value).agg(F.count("*").alias("_n")).join(want.select(*group, "k"), group)
+    counted = cand.join(want, group)
     return stats.join(value_at_rank(counted, group, value, "_n"), group, "left").select(*group, "n", "k", "kth")

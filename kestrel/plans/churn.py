@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kestrel.ml import classify as CL
 from kestrel.operators.quantiles import exact_quantiles
+from kestrel.operators.ranges import range_quantiles
 from kestrel.plans.registry import query
 from kestrel.sources import tables as TB
 
@@ -51,6 +52,17 @@ def grouped_quartiles(spark, sf_dir):
     return q.select("churned", "n", "min", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3")], "max")
 
 
+@query("quartiles_by_range", TB.with_views("""
+    SELECT churned, count(*) AS n, min(total_day_charge) AS "min",
+           round(quantile_cont(total_day_charge, 0.25), 4) AS q1, round(quantile_cont(total_day_charge, 0.5), 4) AS median,
+           round(quantile_cont(total_day_charge, 0.75), 4) AS q3, max(total_day_charge) AS "max"
+    FROM churn GROUP BY churned""", "churn"))
+def quartiles_by_range(spark, sf_dir):
+    """Exact quartiles of a column of (nearly) distinct doubles: no task holds a class's values."""
+    q = range_quantiles(TB.churn(spark, sf_dir), ["churned"], "total_day_charge", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    return q.select("churned", "n", "min", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3")], "max")
+
+
 @query("churn_tree_auc")
 def churn_tree_auc(spark, sf_dir):
     return CL.fit_and_score(spark, TB.churn(spark, sf_dir), CL.decision_tree())

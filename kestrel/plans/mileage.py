@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.geo import haversine_sql, speed_sql, vincenty_sql
 from kestrel.operators import mileage as M
+from kestrel.operators.ranges import global_index
 from kestrel.operators.sequence import row_index
 from kestrel.plans.registry import query
 from kestrel.sources import tables as T
@@ -181,6 +182,17 @@ def row_index_q(spark, sf_dir):
     return r.select("vehicle_number", "ts", F.col("index").cast("long").alias("index"))
 
 
+@query("row_index_global", T.with_views(
+    "WITH " + _PIPE + """
+    SELECT vehicle_number, ts, lat, lon, row_number() OVER (ORDER BY vehicle_number, ts, lon, lat) - 1 AS "index"
+    FROM dd""", *V))
+def row_index_global(spark, sf_dir):
+    """Position of every ping in the whole table sorted by vehicle and time."""
+    fd = M.fleet_dimension(T.vehicles(spark, sf_dir), T.fleets(spark, sf_dir))
+    d = M.dedupe_min_latitude(M.clean_pings(T.pings(spark, sf_dir), fd))
+    return global_index(d.select("vehicle_number", "ts", "lat", "lon"), ["vehicle_number", "ts", "lon", "lat"])
+
+
 @query("filter_day", T.with_views("""
     SELECT vehicle, ts, lat, lon FROM pings
     WHERE CAST(make_timestamp(CAST(round((epoch_us(ts) // 1000000) / 60.0) * 60 AS BIGINT) * 1000000) AS DATE)

@@ -16,6 +16,8 @@ from kestrel.operators import risk as RK
 from kestrel.operators.quantiles import exact_quantiles
 from kestrel.operators.replay import drop_repeat_timestamps, replay_schedule
 from kestrel.operators.sequence import next_in_sequence
+from kestrel.operators.bins import fine_bin, log_bin
+from kestrel.operators.ranges import global_index, range_quantiles, range_sorted
 from kestrel.operators.topk import kth_largest, top_k_per_group
 
 T0 = dt.datetime(2024, 1, 1)
@@ -74,7 +76,7 @@ def test_kth_largest_matches_brute_force_with_duplicates_and_small_groups(spark)
     rng = random.Random(3)
     rows = [(g, float(rng.randint(0, 40))) for g in range(6) for _ in range(rng.choice([3, 9, 10, 57, 400]))]
     df = spark.createDataFrame(rows, "g int, v double")
-    got = {r.g: (r.k, r.kth) for r in kth_largest(df, ["g"], "v", bins=8).collect()}
+    got = {r.g: (r.k, r.kth) for r in kth_largest(df, ["g"], "v").collect()}
     for g in range(6):
         vals = sorted((v for gg, v in rows if gg == g), reverse=True)
         k = len(vals) // 10
@@ -170,9 +172,65 @@ def test_kth_largest_multi_level_and_duplicate_mass(spark):
     rows += [("wide", rng.random() * 1e6) for _ in range(1500)]
     rows += [("tiny", 1.0), ("tiny", 2.0)]                                       # k = 0
     df = spark.createDataFrame(rows, "g string, v double")
-    for levels, bins in [(1, 4), (3, 4), (2, 32)]:
-        got = {r.g: (r.k, r.kth) for r in kth_largest(df, ["g"], "v", bins=bins, levels=levels).collect()}
-        for g in ("dup", "mix", "wide", "tiny"):
-            vals = sorted((v for gg, v in rows if gg == g), reverse=True)
-            k = len(vals) // 10
-            assert got[g] == (k, vals[k - 1] if k else None), (levels, bins, g)
+    got = {r.g: (r.k, r.kth) for r in kth_largest(df, ["g"], "v").collect()}
+    for g in ("dup", "mix", "wide", "tiny"):
+        vals = sorted((v for gg, v in rows if gg == g), reverse=True)
+        k = len(vals) // 10
+        assert got[g] == (k, vals[k - 1] if k else None), g
+
+
+def test_bins_never_fall_as_values_rise(spark):
+    rng = random.Random(2)
+    ends = [0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, -1.7976931348623157e308, math.inf, -math.inf, 1.0, -1.0]
+    values = ends + [rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300) for _ in range(3000)] + [rng.uniform(-2, 2) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", fine_bin("v").alias("fine"), log_bin("v").alias("bin"))
+    got = sorted((r.v, r.bin, r.fine) for r in df.collect())
+    assert all(a[1] <= b[1] and a[2] <= b[2] for a, b in zip(got, got[1:]))
+    within = [(a, b) for a, b in zip(got, got[1:]) if a[1] == b[1] and 0 < a[0] and b[0] < math.inf]
+    assert within and all(b[0] / a[0] <= 1.0051 for a, b in within if a[0] > 1e-300)
+    odd = spark.createDataFrame([(math.nan,), (None,)], "v double").select(log_bin("v").alias("bin")).collect()
+    assert odd[1].bin is None and odd[0].bin > max(b for _, b, _ in got)
+
+
+def test_kth_largest_of_negative_tiny_and_special_values(spark):
+    rng = random.Random(4)
+    rows = [("neg", -rng.random() * 1e-5) for _ in range(300)] + [("cross", rng.uniform(-1, 1)) for _ in range(300)]
+    rows += [("inf", math.inf)] * 20 + [("inf", -math.inf)] * 20 + [("inf", float(i)) for i in range(60)] + [("inf", None)] * 7
+    got = {r.g: (r.n, r.k, r.kth) for r in kth_largest(spark.createDataFrame(rows, "g string, v double"), ["g"], "v",
+                                                       k=F.lit(25)).collect()}
+    for g in ("neg", "cross", "inf"):
+        vals = sorted((v for gg, v in rows if gg == g and v is not None), reverse=True)
+        assert got[g] == (len(vals), 25, vals[24])
+
+
+def test_global_index_numbers_the_whole_table(spark):
+    rng = random.Random(6)
+    rows = [(0 if rng.random() < 0.6 else rng.randint(1, 9), i) for i in range(5000)] + [(None, 1)]
+    df = spark.createDataFrame(rows, "k int, t int").repartition(7)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    got = global_index(df, ["k", "t"]).collect()
+    assert [(r.k, r.t) for r in sorted(got, key=lambda r: r["index"])] == want
+    assert sorted(r["index"] for r in got) == list(range(len(rows)))
+    assert global_index(df.where("false"), ["k", "t"]).count() == 0
+
+
+def test_range_quantiles_match_numpy_and_split_a_hot_group(spark):
+    rng = random.Random(12)
+    rows = [("hot", rng.random()) for _ in range(6000)] + [("b", float(rng.randint(0, 9))) for _ in range(500)]
+    rows += [("one", 3.5), (None, 1.0), (None, 2.0), ("b", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = {"lo": 0.0, "q1": 0.25, "median": 0.5, "p99": 0.99, "hi": 1.0}
+    got = {r.g: r for r in range_quantiles(df, ["g"], "v", probs).collect()}
+    assert set(got) == {"hot", "b", "one", None}
+    for g, r in got.items():
+        vals = np.array([v for gg, v in rows if gg == g and v is not None])
+        assert (r.n, r.min, r.max) == (len(vals), vals.min(), vals.max())
+        assert all(math.isclose(r[name], np.quantile(vals, p)) for name, p in probs.items())
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"        # ranges this small are merged otherwise
+    spark.conf.set(merge, "false")
+    try:
+        assert {r.g: r.median for r in range_quantiles(df, ["g"], "v", probs).collect()} == {g: r.median for g, r in got.items()}
+        sizes = range_sorted(df.where("g = 'hot'").distinct(), ["g", "v"]).groupBy("_range").count().collect()
+    finally:
+        spark.conf.set(merge, "true")
+    assert len(sizes) > 1 and max(s["count"] for s in sizes) < 4000

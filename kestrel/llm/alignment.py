@@ -16,7 +16,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from kestrel.llm.tables import tokenizer_file
 from kestrel.session import scratch_path
 
 MARK = "▁"                       # the visible blank of pieces
-MEMO_BYTES = 96 << 20            # text and results of stretches a Python worker remembers
+MEMO_BYTES = 128 << 20           # text and results of stretches a Python worker remembers
 ENTRY_BYTES = 400                # what one remembered stretch costs besides
 HELD_PAIRS = 1 << 20             # distinct id pairs a counting task holds before it hands them on
 
@@ -44,6 +44,14 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def common_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """The byte ends that both token lists have, in order, and how many tokens of each list lie up to them."""
+    index_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))         # of tokens without bytes the last one counts
+    index_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
+    ends = sorted(index_a.keys() & index_b.keys())
+    return ends, [index_a[e] for e in ends], [index_b[e] for e in ends]
+
+
 def align(ids_a: list[int], sizes_a: list[int], ids_b: list[int], sizes_b: list[int]):
     """(groups, links) of two token lists over the same bytes.
 
@@ -52,21 +60,19 @@ def align(ids_a: list[int], sizes_a: list[int], ids_b: list[int], sizes_b: list[
     same byte.
     """
     ends_a, ends_b = list(accumulate(sizes_a)), list(accumulate(sizes_b))
-    index_a = {end: i for i, end in enumerate(ends_a, 1)}          # of tokens without bytes the last one counts
-    index_b = {end: i for i, end in enumerate(ends_b, 1)}
     groups, links, from_a, from_b = [], [], 0, 0
-    for end in sorted(index_a.keys() & index_b.keys()):
-        to_a, to_b = index_a[end], index_b[end]
+    for end, to_a, to_b in zip(*common_ends(ends_a, ends_b)):
         groups.append((ids_a[from_a:to_a], ids_b[from_b:to_b]))
-        last_a = [ids_a[i] for i in range(to_a - 1, from_a - 1, -1) if ends_a[i] == end] if sizes_a[to_a - 1] == 0 \
-            else [ids_a[to_a - 1]]
-        last_b = [ids_b[i] for i in range(to_b - 1, from_b - 1, -1) if ends_b[i] == end] if sizes_b[to_b - 1] == 0 \
-            else [ids_b[to_b - 1]]
-        links.extend((a, b) for a in last_a for b in last_b)
+        links.extend((ids_a[i], ids_b[j]) for i in range(from_a, to_a) if ends_a[i] == end
+                     for j in range(from_b, to_b) if ends_b[j] == end)
         from_a, from_b = to_a, to_b
     return groups, links
 
 
+def written(groups) -> str:
+    return ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
+
+
 class Aligner:
     """A byte-level tokenizer file (A) and a SentencePiece model (B) that puts a blank before the text."""
 
@@ -91,6 +97,9 @@ class Aligner:
         kinds = schema.ModelProto.SentencePiece
         self.bytes_b = [bytes([int(p.piece[3:5], 16)]) if p.type == kinds.BYTE else p.piece.replace(MARK, " ").encode()
                         for p in model.pieces]
+        self.sizes_a, self.sizes_b = (np.array([len(p) for p in v], dtype=np.int64) for v in (self.bytes_a, self.bytes_b))
+        # ids as written inside and at the end of a group's tokens of a (4 i, 4 i + 1) and of b (4 i + 2, 4 i + 3)
+        self._shown = [f"{i}{end}" for i in range(max(len(self.bytes_a), len(self.bytes_b))) for end in ",|,;"]
         self.code = np.dtype("<u4" if len(self.bytes_a) * len(self.bytes_b) < 1 << 32 else "<u8")
         spec, config = model.normalizer_spec, json.loads(self.a.to_str())
         before = config["pre_tokenizer"] or {}
@@ -109,17 +118,50 @@ class Aligner:
     def _align(self, stretches: list[str]) -> Iterator[tuple]:
         """Per stretch: (tokens of a, tokens of b, groups, written groups, packed links), or None where bytes differ."""
         spaced = [" " + s for s in stretches]
-        for text, a, ids_b in zip(spaced, self.a.encode_batch_fast(spaced, add_special_tokens=False),
-                                  self.b.encode(stretches, num_threads=1)):
-            raw, ids_a = text.encode(), a.ids
-            parts_a, parts_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-            if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
-                yield None
-                continue
-            groups, links = align(ids_a, list(map(len, parts_a)), ids_b, list(map(len, parts_b)))
-            written = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-            packed = np.array([x * len(self.bytes_b) + y for x, y in links], dtype=self.code).tobytes()
-            yield len(ids_a), len(ids_b), len(groups), written, packed
+        ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        ids_b = self.b.encode(stretches, num_threads=1)
+        raw = [s.encode() for s in spaced]
+        same = [b"".join(map(self.bytes_a.__getitem__, a)) == r == b"".join(map(self.bytes_b.__getitem__, b))
+                for a, b, r in zip(ids_a, ids_b, raw)]
+        found = iter(self._align_all([a for a, ok in zip(ids_a, same) if ok], [b for b, ok in zip(ids_b, same) if ok],
+                                     [len(r) for r, ok in zip(raw, same) if ok]))
+        return (next(found) if ok else None for ok in same)
+
+    def _align_all(self, lists_a: list[list[int]], lists_b: list[list[int]], lengths: list[int]) -> list[tuple]:
+        """The same for stretches of equal bytes, aligned as one text: the end of a stretch is common to both."""
+        if not lengths:
+            return []
+        a, b = np.fromiter(chain.from_iterable(lists_a), np.int64), np.fromiter(chain.from_iterable(lists_b), np.int64)
+        size_a, size_b = self.sizes_a[a], self.sizes_b[b]
+        if not (size_a.all() and size_b.all()):                    # tokens without bytes: one stretch at a time
+            out = []
+            for x, y in zip(lists_a, lists_b):
+                groups, links = align(x, self.sizes_a[x].tolist(), y, self.sizes_b[y].tolist())
+                packed = np.array([i * len(self.bytes_b) + j for i, j in links], dtype=self.code).tobytes()
+                out.append((len(x), len(y), len(groups), written(groups), packed))
+            return out
+        ends, to_a, to_b = (np.array(x) for x in common_ends(np.cumsum(size_a).tolist(), np.cumsum(size_b).tolist()))
+        # the tokens of both in the order they are written: group by group, those of a before those of b
+        group_a = np.searchsorted(to_a, np.arange(len(a)), side="right")
+        group_b = np.searchsorted(to_b, np.arange(len(b)), side="right")
+        place_a, place_b = np.arange(len(a)), np.arange(len(b)) + to_a[group_b]
+        place_a += np.concatenate(([0], to_b))[group_a]
+        last_a, last_b = np.zeros(len(a), dtype=np.int64), np.zeros(len(b), dtype=np.int64)
+        last_a[to_a - 1] = last_b[to_b - 1] = 1
+        shown = np.empty(len(a) + len(b), dtype=np.int64)
+        shown[place_a] = a * 4 + last_a
+        shown[place_b] = b * 4 + 2 + last_b
+        shown = list(map(self._shown.__getitem__, shown.tolist()))
+        links = (a[to_a - 1] * len(self.bytes_b) + b[to_b - 1]).astype(self.code).tobytes()
+        groups = np.searchsorted(ends, np.cumsum(lengths), side="right")
+        counts = np.diff(groups, prepend=0).tolist()
+        done_a, done_b = to_a[groups - 1], to_b[groups - 1]
+        width, out, from_shown, from_link = self.code.itemsize, [], 0, 0
+        for n_a, n_b, n, to_shown, to_link in zip(np.diff(done_a, prepend=0).tolist(), np.diff(done_b, prepend=0).tolist(), counts,
+                                                  (done_a + done_b).tolist(), (groups * width).tolist()):
+            out.append((n_a, n_b, n, "".join(shown[from_shown:to_shown])[:-1], links[from_link:to_link]))
+            from_shown, from_link = to_shown, to_link
+        return out
 
     def lookup(self, wanted: set[str]) -> dict:
         """Results of the stretches; beyond ``MEMO_BYTES`` only those asked for now are kept."""
@@ -142,8 +184,8 @@ class Aligner:
             if not found or None in found:
                 yield 0, 0, 0, "", b""
             else:
-                a, b, groups, written, packed = zip(*found)
-                yield sum(a), sum(b), sum(groups), ";".join(written), b"".join(packed)
+                a, b, groups, shown, packed = zip(*found)
+                yield sum(a), sum(b), sum(groups), ";".join(shown), b"".join(packed)
 
 
 def possible_pairs(bytes_a: list[bytes], bytes_b: list[bytes]) -> int:

@@ -8,7 +8,7 @@ split into parts that meet in pairs.  A task puts one side's sets into a trie (a
 shared front is one path) and takes the other side's sets through it many at a
 time: the overlaps of a path with all of them are reused by every set below it,
 and a subtree is left as soon as the lengths that remain cannot reach the
-threshold for any of them.  Only links that connect something leave a task.
+threshold for any of them.  Of a task's links, only what they connect leaves it.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.arrow_text import byte_slices, lower_ascii, mix64, text_buffers, window_hashes, words
 from kestrel.llm.components import connected_components
+from kestrel.llm.tables import fresh_names, named
 from kestrel.session import scratch_path
 
 NUM, DEN = 75, 100              # two sets link when DEN * intersection >= NUM * union
@@ -302,30 +303,25 @@ class _Joined:
             root[x] = x = root[up] if up in root else up
         return x
 
-    def join(self, x, y) -> bool:
-        """Whether x and y were apart."""
+    def join(self, x, y) -> None:
         x, y = self.find(x), self.find(y)
         self.root[max(x, y)] = min(x, y)
-        return x != y
 
 
 BUILD, PROBE, BOTH = 0, 1, 2
 
 
-def _spanning(sides: list[int], reps: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links of one task's branch that connect all that its links connect."""
+def _connected(sides: list[int], reps: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """``(u, v)``: every set v that the task's links connect with others, and the smallest set u of those."""
     build = [i for i, side in enumerate(sides) if side != PROBE]
     probes = [i for i, side in enumerate(sides) if side != BUILD]
     if not build or not probes:
         return []
-    joined, out = _Joined(), []
+    joined = _Joined()
     for i, linked in trie_join([sets[i] for i in build], [sets[i] for i in probes]):
-        u = reps[build[i]]
         for j in linked:
-            v = reps[probes[j]]
-            if u != v and joined.join(u, v):
-                out.append((min(u, v), max(u, v)))
-    return out
+            joined.join(reps[build[i]], reps[probes[j]])
+    return [(u, v) for v in list(joined.root) if (u := joined.find(v)) != v]
 
 
 def _branch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +333,7 @@ def _branch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         for task, side, rep, blob in zip(*(batch.column(c) for c in ("task", "side", "rep", "grams"))):
             if (task := task.as_py()) != now:
-                out.extend(_spanning(sides, reps, sets))
+                out.extend(_connected(sides, reps, sets))
                 now, sides, reps, sets = task, [], [], []
             sides.append(side.as_py())
             reps.append(rep.as_py())
@@ -345,7 +341,7 @@ def _branch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         if len(out) > 50_000:
             yield rows()
             out = []
-    out.extend(_spanning(sides, reps, sets))
+    out.extend(_connected(sides, reps, sets))
     yield rows()
 
 
@@ -365,7 +361,7 @@ class NgramJoin:
     def __init__(self, docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str = "text"):
         self.spark: SparkSession = docs.sparkSession
         self.n = n
-        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        self.docs = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).cast("string").alias("text"))
         self.rows = _written(self.spark, self.docs.mapInArrow(
             lambda b: _set_batches(b, n), "doc_id long, size long, digest binary, key long"), "ngram-sets")
         # one class per distinct set; rows without an id take no part in links
@@ -396,14 +392,17 @@ class NgramJoin:
         top = counted.orderBy(F.col("count").desc(), "gram").limit(HOT_LIMIT).select("gram").toPandas()
         return np.sort(top["gram"].to_numpy(dtype=np.int64).astype(np.uint64))
 
-    def _pairs(self, shared: DataFrame, least, *more) -> DataFrame:
-        """Pairs ``u < v`` of representatives whose sizes allow a link and that share at least ``least`` front n-grams."""
+    def _pairs(self, shared: DataFrame) -> DataFrame:
+        """``u < v, rare, least, common``: pairs of representatives whose sizes allow a link, with the front n-grams that
+        they share, must share, and the common ones that both hold at most."""
         c = self._sets
-        return (shared.groupBy("a", "b").agg(F.sum("count").alias("n"))
+        return (shared.groupBy("a", "b").agg(F.sum("count").alias("rare"))
                 .join(c.alias("l"), F.col("a") == F.col("l.key")).join(c.alias("r"), F.col("b") == F.col("r.key"))
-                .where((DEN * F.least("l.size", "r.size") >= NUM * F.greatest("l.size", "r.size")) & least
+                .where((DEN * F.least("l.size", "r.size") >= NUM * F.greatest("l.size", "r.size"))
                        & (F.col("l.rep") != F.col("r.rep")))
-                .select(F.least("l.rep", "r.rep").alias("u"), F.greatest("l.rep", "r.rep").alias("v"), *more).distinct())
+                .select(F.least("l.rep", "r.rep").alias("u"), F.greatest("l.rep", "r.rep").alias("v"), "rare",
+                        F.least(_least_column("l.size"), _least_column("r.size")).alias("least"),
+                        F.least("l.heavy", "r.heavy").alias("common")))
 
     def _first_candidates(self) -> DataFrame:
         """Pairs that share enough rare n-grams, and stars of common ones; keeps what the second round needs."""
@@ -415,34 +414,41 @@ class NgramJoin:
         heavy = self._members.groupBy("key").agg(F.count("*").alias("heavy"))
         self._sets = _written(self.spark, self.classes.join(heavy, "key", "left").select(
             "key", "rep", "size", F.coalesce("heavy", F.lit(0)).alias("heavy")), "ngram-heavy")
-        self._few = found.where("kind = 0")
-        pairs = self._pairs(self._few, F.col("n") >= _least_of_pair()).unionAll(
-            self._pairs(found.where("kind = 1"), F.col("n") >= _least_of_pair()))
-        return _written(self.spark, pairs.distinct(), "ngram-pairs")
+        few = self._pairs(found.where("kind = 0")).where("rare + common >= least")
+        self._few = _written(self.spark, few, "ngram-few")
+        stars = self._pairs(found.where("kind = 1")).where("rare >= least")
+        return _written(self.spark, self._few.where("rare >= least").unionAll(stars).select("u", "v").distinct(), "ngram-pairs")
 
     def _branches_of_pairs(self, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(``task, side, rep`` of sets that meet because of the pairs, ``node, branch, parts``).
 
-        A branch is what the pairs connect.  All sets of a branch that is light
-        enough meet in one task; of a heavier one, those parts meet that have a pair
-        between them, each with its sets that are in such a pair.
+        A set belongs to the branch of the smallest set within two pairs of it, and
+        a branch too heavy for a task is dealt into parts.  All sets of a branch (or
+        part) meet in one task; besides, two branches (or parts) meet with those of
+        their sets that have a pair across.
         """
         spark = self.spark
-        branch = connected_components(spark, pairs).select("node", F.col("component").alias("branch"))
-        weight = branch.join(self.classes, F.col("node") == F.col("rep")).groupBy("branch").agg(
-            F.ceil(2 * F.sum("size") / BRANCH_GRAMS).cast("int").alias("halves"))
-        branch = branch.join(weight, "branch").select(
-            "node", "branch", F.when(F.col("halves") <= 2, 1).otherwise(F.col("halves")).alias("parts"))
+        both = pairs.select("u", "v").unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        near = _written(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least")), "ngram-near")
+        there = near.select(F.col("u").alias("v"), F.col("least").alias("there"))
+        branch = both.join(there, "v").groupBy("u").agg(F.min("there").alias("there")).join(near, "u").select(
+            F.col("u").alias("node"), F.least("there", "least").alias("start"))
+        branch = _written(spark, branch.join(self.classes.select(F.col("rep").alias("node"), "size"), "node"), "ngram-starts")
+        weight = branch.groupBy("start").agg(F.ceil(2 * F.sum("size") / BRANCH_GRAMS).cast("int").alias("halves"))
+        parts = F.when(F.col("halves") <= 2, 1).otherwise(F.col("halves"))
+        branch = branch.join(weight, "start").withColumn("parts", parts).select(
+            "node", F.xxhash64(F.lit("branch"), "start", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("branch"), "parts")
         branch = _written(spark, branch, "ngram-branches")
-        ends = pairs.join(branch.withColumnRenamed("node", "u"), "u")
-        part = {e: F.pmod(F.xxhash64(e), F.col("parts")).cast("int") for e in ("u", "v")}
-        low, high = F.least(part["u"], part["v"]), F.greatest(part["u"], part["v"])
-        task = F.xxhash64(F.lit("pairs"), "branch", low, high)
-        placed = ends.select(task.alias("task"), (low == high).alias("one"), low.alias("low"), F.explode(F.array(
-            F.struct(F.col("u").alias("rep"), part["u"].alias("part")),
-            F.struct(F.col("v").alias("rep"), part["v"].alias("part")))).alias("end"))
-        side = F.when(F.col("one"), BOTH).when(F.col("end.part") == F.col("low"), BUILD).otherwise(PROBE)
-        return placed.select("task", side.alias("side"), "end.rep").distinct(), branch
+        own = branch.select(F.xxhash64("branch", "branch").alias("task"), F.lit(BOTH).alias("side"), F.col("node").alias("rep"))
+        l, r = (branch.select(F.col("node").alias(e), F.col("branch").alias("branch" + e)) for e in ("u", "v"))
+        across = pairs.select("u", "v").join(l, "u").join(r, "v").where("branchu != branchv")
+        ends = across.select(
+            F.xxhash64(F.least("branchu", "branchv"), F.greatest("branchu", "branchv")).alias("task"),
+            F.explode(F.array(
+                F.struct(F.when(F.col("branchu") < F.col("branchv"), BUILD).otherwise(PROBE).alias("side"), F.col("u").alias("rep")),
+                F.struct(F.when(F.col("branchv") < F.col("branchu"), BUILD).otherwise(PROBE).alias("side"), F.col("v").alias("rep")),
+            )).alias("end"))
+        return own.unionAll(ends.select("task", "end.side", "end.rep").distinct()), branch
 
     def _links_of(self, placed: DataFrame) -> DataFrame:
         """Spanning links ``u, v`` of the tasks in ``placed``; every set is read once and goes to each of its tasks."""
@@ -471,13 +477,10 @@ class NgramJoin:
         held = self._members.groupBy("key", "pivot").agg(F.count("*").alias("n"))
         held = _written(spark, held.join(sets, "key").select("pivot", "rep", "n", "size", "heavy", "label"), "ngram-held")
         # pairs of some rare n-grams: common ones are shared under the same pivot, or not at all
-        least = _least_of_pair()
-        mixed = self._pairs(self._few, (F.col("n") < least) & (F.col("n") + F.least("l.heavy", "r.heavy") >= least),
-                            F.col("n").alias("rare"), least.alias("least"))
         l, r = (held.select(F.col("rep").alias(e), "pivot", F.col("n").alias("n" + e), F.col("label").alias("label" + e))
                 for e in ("u", "v"))
-        mixed = (mixed.join(l, "u").join(r, ["v", "pivot"]).where("labelu != labelv").groupBy("u", "v")
-                 .agg(F.sum(F.least("nu", "nv")).alias("common"), F.max("rare").alias("rare"), F.min("least").alias("least"))
+        mixed = (self._few.where("rare < least").join(l, "u").join(r, ["v", "pivot"]).where("labelu != labelv")
+                 .groupBy("u", "v", "rare", "least").agg(F.sum(F.least("nu", "nv")).alias("common"))
                  .where("rare + common >= least").select("u", "v"))
         mixed = _written(spark, mixed, "ngram-mixed")
         # sets of enough common n-grams meet under the pivots of those n-grams
@@ -508,21 +511,21 @@ class NgramJoin:
         return common.unionAll(self._branches_of_pairs(mixed)[0])
 
     def links(self) -> tuple[DataFrame, DataFrame]:
-        """(verified links between representatives, ``node, component``).
+        """(``u, v`` of representatives that verified links connect, ``node, component``).
 
-        The links connect exactly the documents that the join links; a pair whose
-        documents are already connected by other links may be left unlisted.
+        They connect exactly the documents that the join links; what a task's links
+        connect is listed as a star around its smallest set.
         """
         placed, branch = self._branches_of_pairs(self._first_candidates())
         first = self._links_of(placed)
-        component = connected_components(self.spark, first)
-        # all sets of a branch in one part have met; else those of a component need not meet again
-        label = branch.join(component, "node", "left").select(
-            "node", F.when(F.col("parts") == 1, F.col("branch")).otherwise(F.coalesce("component", "node")).alias("label"))
+        # the sets of a branch have met; those of a divided one need not meet again where they are connected
+        label = branch.select("node", F.col("branch").alias("label"))
+        if not branch.where("parts > 1").isEmpty():
+            component = connected_components(self.spark, first)
+            label = branch.join(component, "node", "left").select("node", F.when(
+                F.col("parts") > 1, F.coalesce("component", "branch")).otherwise(F.col("branch")).alias("label"))
         rest = _written(self.spark, self._second_branches(label), "ngram-open")
-        if rest.isEmpty():
-            return first, component
-        every = first.unionByName(self._links_of(rest))
+        every = first if rest.isEmpty() else first.unionByName(self._links_of(rest))
         return every, connected_components(self.spark, every)
 
     def members(self) -> DataFrame:
@@ -546,10 +549,6 @@ class NgramJoin:
         return self.members().select("doc_id", "n_shingles", "component_id")
 
 
-def _least_of_pair():
-    return F.least(_least_column("l.size"), _least_column("r.size"))
-
-
 def _least_column(size: str):
     return F.greatest(F.lit(1), F.floor(F.col(size) * SHARE_SLACK).cast("long"))
 
@@ -568,21 +567,24 @@ def keep_one_per_component(docs: DataFrame, n: int = 5, id_col: str = "doc_id",
     key = F.coalesce("key", F.lit(0))                              # 0: no words
     per_id = members.groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id"),
                                            (F.min(key) != F.max(key)).alias("differ"))
-    differ = _written(spark, per_id.where("differ").select(F.col("doc_id").alias("__id")), "ngram-differ")
-    own, long = F.col(id_col), F.col(id_col).cast("long")
+    # helper columns get names that no input column has
+    new = fresh_names(docs.columns, "id", "gone", "gone_key", "key")
+    differ = _written(spark, per_id.where("differ").select(F.col("doc_id").alias(new["id"])), "ngram-differ")
+    own, long = named(id_col), named(id_col).cast("long")
     if differ.isEmpty():
-        gone = per_id.where("component_id != doc_id").select("doc_id")
-        kept, apart = docs.join(_small(gone.withColumnRenamed("doc_id", "__gone")), long == F.col("__gone"), "left_anti"), None
+        gone = per_id.where("component_id != doc_id").select(F.col("doc_id").alias(new["gone"]))
+        kept, apart = docs.join(_small(gone), long == F.col(new["gone"]), "left_anti"), None
     else:
         first = members.where("key IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("first"))
         gone = _written(spark, members.join(first, "node").where(F.struct("doc_id", "key") != F.col("first")).select(
-            F.col("doc_id").alias("__gone"), F.col("key").alias("__gone_key")).distinct(), "ngram-gone")
+            F.col("doc_id").alias(new["gone"]), F.col("key").alias(new["gone_key"])).distinct(), "ngram-gone")
         some = _small(differ)
-        kept = docs.join(some, long == F.col("__id"), "left_anti").join(
-            _small(gone.select("__gone").distinct()), long == F.col("__gone"), "left_anti")
-        apart = (docs.join(some, long == F.col("__id"), "left_semi").withColumn("__key", _set_key(n)(F.col(text_col).cast("string")))
-                 .join(_small(gone), (long == F.col("__gone")) & (F.col("__key") == F.col("__gone_key")), "left_anti")
-                 .dropDuplicates([id_col, "__key"]).drop("__key"))
+        kept = docs.join(some, long == F.col(new["id"]), "left_anti").join(
+            _small(gone.select(new["gone"]).distinct()), long == F.col(new["gone"]), "left_anti")
+        apart = (docs.join(some, long == F.col(new["id"]), "left_semi")
+                 .withColumn(new["key"], _set_key(n)(named(text_col).cast("string")))
+                 .join(_small(gone), (long == F.col(new["gone"])) & (F.col(new["key"]) == F.col(new["gone_key"])), "left_anti")
+                 .dropDuplicates([id_col, new["key"]]).drop(new["key"]))
     if not per_id.where("rows > 1 AND NOT differ").isEmpty():
         kept = kept.where(own.isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(own.isNull()))
     return kept if apart is None else kept.unionByName(apart)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -30,6 +31,23 @@ def make_importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*known, _ROOT])
 
 
+def named(column: str) -> Column:
+    """A column by its very name, dots and blanks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def fresh_names(columns: list[str], *wanted: str) -> dict[str, str]:
+    """A name per wanted helper column that no given column has in upper or lower case."""
+    taken, out = {c.lower() for c in columns}, {}
+    for name in wanted:
+        fresh = f"__{name.lower()}"
+        while fresh in taken:
+            fresh += "_"
+        taken.add(fresh)
+        out[name] = fresh
+    return out
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table through Spark's reader (any file system)."""
     make_importable(spark)

@@ -1,7 +1,8 @@
 """Personal data by fixed shapes and by bootstrapped contextual extraction, in DataFrame expressions only.
 
 Base kinds are patterns with a check.  On top of them, seed entities (the base
-matches) induce lexical patterns: the word that stands before an identifier.
+matches) induce lexical patterns: the word, or the two words, that stand before
+an identifier.
 Patterns and the identifier tokens they introduce form a bipartite graph whose
 scores are refined in rounds; tokens that no base kind found, but that
 high-confidence patterns introduce, become spans of kind ``context``.
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.llm.tables import fresh_names, named
 from kestrel.session import scratch_path
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -44,19 +46,19 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _running(a: Column, start: Column) -> Column:
+def _running(a: Column, start: Column, step) -> Column:
     empty = F.array().cast("array<bigint>")
     return F.aggregate(
         a, F.struct(start.alias("total"), empty.alias("out")),
-        lambda acc, x: F.struct((acc["total"] + x).alias("total"),
-                                F.concat(acc["out"], F.array(acc["total"] + x)).alias("out")),
+        lambda acc, x: F.struct(step(acc["total"], x).alias("total"),
+                                F.concat(acc["out"], F.array(step(acc["total"], x))).alias("out")),
         lambda acc: acc["out"])
 
 
-def prefix_sums(values: Column, block: int = 128) -> Column:
-    """Running totals of an array of longs.
+def prefix_fold(values: Column, step, block: int = 128) -> Column:
+    """Running totals of an array of longs of 0 or more under an associative ``step`` that 0 does not change.
 
-    Arrays grow by copying, so long ones are summed in blocks: the cost per value
+    Arrays grow by copying, so long ones are folded in blocks: the cost per value
     is that of a block, not of the whole array.
     """
     zero = F.lit(0).cast("long")
@@ -65,16 +67,26 @@ def prefix_sums(values: Column, block: int = 128) -> Column:
         blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / block).cast("int")),
                              lambda b: F.slice(v, b * block + 1, block))
         return let(blocks, lambda bs: let(
-            _running(F.transform(bs, lambda b: F.aggregate(b, zero, lambda t, x: t + x)), zero),
+            _running(F.transform(bs, lambda b: F.aggregate(b, zero, step)), zero, step),
             lambda totals: F.flatten(F.transform(bs, lambda b, i: _running(
-                b, F.when(i > 0, F.get(totals, i - 1)).otherwise(zero))))))
-    return let(values, lambda v: F.when(F.size(v) <= block, _running(v, zero)).otherwise(blocked(v)))
+                b, F.when(i > 0, F.get(totals, i - 1)).otherwise(zero), step)))))
+    return let(values, lambda v: F.when(F.size(v) <= block, _running(v, zero, step)).otherwise(blocked(v)))
+
+
+def prefix_sums(values: Column, block: int = 128) -> Column:
+    """Running sums of an array of longs."""
+    return prefix_fold(values, lambda a, b: a + b, block)
+
+
+def prefix_max(values: Column, block: int = 128) -> Column:
+    """Running maxima of an array of longs of 0 or more."""
+    return prefix_fold(values, lambda a, b: F.greatest(a, b), block)
 
 
 def match_spans(text: Column, shape: str, with_before: bool = False) -> Column:
     """Leftmost non-overlapping matches as ``array<struct<s, e, m>>`` in code points, end exclusive.
 
-    ``with_before`` adds ``b``, the last 64 characters between the previous match and this one.
+    ``with_before`` adds ``b``, the text between the previous match and this one.
     """
     found = F.regexp_extract_all(text, F.lit(shape), F.lit(0))
     between = F.split(text, shape, -1)                             # one more piece than matches
@@ -87,7 +99,7 @@ def match_spans(text: Column, shape: str, with_before: bool = False) -> Column:
             def one(m, i):
                 fields = [starts[i].alias("s"), (starts[i] + F.char_length(m)).alias("e"), m.alias("m")]
                 if with_before:
-                    fields.append(F.right(v["between"][i], F.lit(64)).alias("b"))
+                    fields.append(v["between"][i].alias("b"))
                 return F.struct(*fields)
             return F.transform(v["found"], one)
         return let(prefix_sums(steps), spans)
@@ -141,22 +153,59 @@ class Bootstrap:
     min_length: int = 4
 
 
-def _tokens(text: Column, seeds: Column) -> Column:
-    """Identifier tokens as ``array<struct<token, s, e, before, seed>>``.
+# The last two words ahead of a token; a word starts behind white space or at the start.
+_AHEAD = r"(?<!\S)(?:(\S++)\s++)?(\S++)\s++$"
+
 
-    A token is trimmed of punctuation at its ends; one that touches a base span
-    is a seed and stands for that whole entity; ``before`` is the lower-case word
-    ahead of it, if it holds a letter and no digit.
+def _tokens(text: Column) -> Column:
+    """Identifier tokens as ``array<struct<token, s, e, one, two>>``, in order.
+
+    A token is trimmed of punctuation at its ends; ``one`` is the lower-case word
+    ahead of it, if it holds a letter, ``two`` that word with the one ahead of it.
     """
-    def one(x: Column, own: Column) -> Column:
+    def one(x: Column) -> Column:
         lead = F.char_length(F.regexp_extract(x["m"], r"^([\p{Punct}&&[^+@]]*)", 1))
         bare = F.regexp_replace(F.regexp_replace(x["m"], r"^[\p{Punct}&&[^+@]]+", ""), r"(?<!\p{Punct})\p{Punct}++$", "")
-        word = F.lower(F.regexp_extract(x["b"], r"([^\s0-9]*\p{L}[^\s0-9]*)\s+$", 1))
         start = x["s"] + lead
-        entity = F.get(F.filter(own, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])), F.lit(0))["m"]
-        return F.struct(F.coalesce(entity, bare).alias("token"), start.alias("s"), (start + F.char_length(bare)).alias("e"),
-                        F.when(F.char_length(word).between(1, 40), word).alias("before"), entity.isNotNull().alias("seed"))
-    return let(seeds, lambda own: F.transform(match_spans(text, _TOKEN, with_before=True), lambda x: one(x, own)))
+        first, last = (F.lower(F.regexp_extract(x["b"], _AHEAD, i)) for i in (1, 2))
+        last = F.when(last.rlike(r"\p{L}"), last)
+        return F.struct(bare.alias("token"), start.alias("s"), (start + F.char_length(bare)).alias("e"), last.alias("one"),
+                        F.when(first != "", F.concat(first, F.lit(" "), last)).alias("two"),
+                        x["s"].alias("from"), x["e"].alias("to"))
+    return F.transform(match_spans(text, _TOKEN, with_before=True), one)
+
+
+_INDEX = 1 << 31                 # an end and an index share a long
+
+
+def _with_seeds(tokens: Column, seeds: Column) -> Column:
+    """``array<struct<token, s, e, one, two, seed>>``: a token that touches a base span is a seed and stands for that entity.
+
+    Both lists run by their starts, so one merge by start places them: what may
+    touch a token is the seed that reaches furthest of those that start before it
+    (a running maximum) and the first one that starts later.
+    """
+    def merged(v: Column) -> Column:
+        events = F.array_sort(F.concat(
+            F.transform(v["seeds"], lambda x, i: F.struct(x["s"].alias("at"), F.lit(0).alias("k"),
+                                                          (x["e"] * _INDEX + i).alias("reach"), i.cast("int").alias("i"))),
+            F.transform(v["tokens"], lambda x, i: F.struct(x["from"].alias("at"), F.lit(1).alias("k"),
+                                                           F.lit(0).cast("long").alias("reach"), i.cast("int").alias("i")))))
+
+        def placed(ev: Column) -> Column:
+            def joined(w: Column) -> Column:
+                def of(x: Column, n: Column) -> Column:
+                    token = v["tokens"][x["i"]]
+                    before, after = w["reach"][n], F.get(v["seeds"], n - x["i"])       # n - i seeds start before the token
+                    entity = F.when(F.floor(before / _INDEX) > token["from"], F.get(v["seeds"], (before % _INDEX).cast("int"))["m"]) \
+                        .when(after["s"] < token["to"], after["m"])
+                    return F.when(x["k"] == 1, F.struct(
+                        F.coalesce(entity, token["token"]).alias("token"), token["s"].alias("s"), token["e"].alias("e"),
+                        token["one"].alias("one"), token["two"].alias("two"), entity.isNotNull().alias("seed")))
+                return F.filter(F.transform(w["ev"], of), lambda x: x.isNotNull())
+            return let(F.struct(ev.alias("ev"), prefix_max(F.transform(ev, lambda x: x["reach"])).alias("reach")), joined)
+        return let(events, placed)
+    return let(F.struct(tokens.alias("tokens"), F.array_sort(seeds).alias("seeds")), merged)
 
 
 def survey(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,27 +213,27 @@ def survey(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     Written to shared storage, so texts are matched once.
     """
-    t = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(t).alias("h"), t.alias("t"),
+    t = named(text_col).cast("string")
+    rows = docs.select(named(id_col).cast("long").alias("id"), F.xxhash64(t).alias("h"), t.alias("t"),
                        *[base_spans(_text(t), k).alias(k) for k in BASE_KINDS])
     seeds = F.flatten(F.array(*[F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
                                 for k in BASE_KINDS]))
-    tokens = F.when(F.col("t").rlike("[0-9@]"), _tokens(F.col("t"), seeds))
+    tokens = F.when(F.col("t").rlike("[0-9@]"), _with_seeds(_tokens(F.col("t")), seeds))
     slim = [F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in BASE_KINDS]
     path = scratch_path(docs.sparkSession, "pii-survey")
     rows.select("id", "h", *slim, tokens.alias("tokens")).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
-def score_graph(spark: SparkSession, found: DataFrame, context_words: DataFrame, b: Bootstrap) -> tuple[DataFrame, DataFrame]:
+def score_graph(spark: SparkSession, found: DataFrame, occurring: DataFrame, b: Bootstrap) -> tuple[DataFrame, DataFrame]:
     """Confident patterns ``before, confidence`` and the instances they introduce, ``token, score``.
 
-    ``found`` holds the pattern-instance edges (with repeats), ``context_words``
-    how often each word occurs at all (``before, n``).  A pattern's confidence is
-    the summed score of its distinct instances' occurrences over all occurrences
-    of its word; an instance's score is 1 for a seed, else the noisy-or of the
-    confidences of its patterns.  Every round is two partial aggregations on the
-    edge table, written to shared storage.
+    ``found`` holds the pattern-instance edges (with repeats), ``occurring`` a row
+    ``before`` for every place where a pattern's words stand at all.  A pattern's
+    confidence is the summed score of its distinct instances' occurrences over all
+    occurrences of its words; an instance's score is 1 for a seed, else the
+    noisy-or of the confidences of its patterns.  Every round is two partial
+    aggregations on the edge table, written to shared storage.
     """
     edges = found.where("before IS NOT NULL").groupBy("before", "token").agg(
         F.count("*").alias("n"), F.max(F.col("seed").cast("int")).alias("is_seed"))
@@ -192,7 +241,9 @@ def score_graph(spark: SparkSession, found: DataFrame, context_words: DataFrame,
     edges.write.parquet(path)
     edges = spark.read.parquet(path)
     seeded = edges.where("is_seed = 1").groupBy("before").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= b.min_seeds)
-    totals = seeded.join(context_words, "before").select("before", F.col("n").alias("total"))
+    path = scratch_path(spark, "pii-seeded")
+    seeded.select("before").write.parquet(path)
+    totals = occurring.join(spark.read.parquet(path), "before").groupBy("before").agg(F.count("*").alias("total"))
     path = scratch_path(spark, "pii-totals")
     totals.write.parquet(path)
     totals = spark.read.parquet(path)
@@ -215,11 +266,14 @@ def score_graph(spark: SparkSession, found: DataFrame, context_words: DataFrame,
 def context_spans(docs: DataFrame, surveyed: DataFrame, b: Bootstrap = Bootstrap(), text_col: str = "text") -> DataFrame:
     """``id, h, context``: the spans that confident patterns add, per distinct (id, text hash), sorted by start."""
     spark = docs.sparkSession
-    found = surveyed.where("tokens IS NOT NULL").select("id", "h", F.explode("tokens").alias("x")).select("id", "h", "x.*")
-    # how often a context word occurs at all, in the texts that hold identifiers
-    words = (docs.select(F.col(text_col).cast("string").alias("t")).where(F.col("t").rlike("[0-9@]"))
-             .select(F.explode(F.split(F.lower("t"), r"\s+")).alias("before")).groupBy("before").agg(F.count("*").alias("n")))
-    patterns, score = score_graph(spark, found, words, b)
+    found = surveyed.where("tokens IS NOT NULL").select("id", "h", F.explode("tokens").alias("x")).select(
+        "id", "h", "x.token", "x.s", "x.e", "x.seed", F.explode(F.array("x.one", "x.two")).alias("before"))
+    # where words and pairs of words stand at all, in the texts that hold identifiers
+    words = F.split(F.lower("t"), r"\s+")
+    pairs = F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.concat(F.col("w")[i], F.lit(" "), F.col("w")[i + 1]))
+    occurring = (docs.select(named(text_col).cast("string").alias("t")).where(F.col("t").rlike("[0-9@]"))
+                 .select(words.alias("w")).select(F.explode(F.when(F.size("w") > 1, F.concat("w", pairs)).otherwise(F.col("w"))).alias("before")))
+    patterns, score = score_graph(spark, found, occurring, b)
     new = (found.where(~F.col("seed") & (F.char_length("token") >= b.min_length)).join(patterns.select("before"), "before")
            .join(score.where(F.col("score") >= b.min_score), "token"))
     path = scratch_path(spark, "pii-context")
@@ -241,7 +295,7 @@ def find_pii(docs: DataFrame, bootstrap: Bootstrap = Bootstrap(), id_col: str =
     text has no spans; ids may be null or repeat; other columns are not read; an
     empty table gives an empty result.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    own = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).cast("string").alias("text"))
     rows = survey(own)
     more = context_spans(own, rows, bootstrap)
     rows = rows.drop("tokens").alias("l").join(
@@ -254,34 +308,56 @@ def find_pii(docs: DataFrame, bootstrap: Bootstrap = Bootstrap(), id_col: str =
         F.concat_ws(",", F.flatten(F.array(*listed, context))).alias("spans"), F.size(context).cast("long").alias("n_context"))
 
 
+_PIECE = 4096                   # characters of the pieces that a text is cut from
+
+
 def redact(docs: DataFrame, bootstrap: Bootstrap = Bootstrap(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows with every span replaced by ``<KIND>``; other columns as they are, null text stays null.
 
     Overlapping spans are replaced once, by the kind that starts first (listed
     order on ties) and up to the furthest end.
     """
-    t = F.col("l." + text_col).cast("string")
-    more = context_spans(docs, survey(docs, id_col, text_col), bootstrap, text_col)
-    based = docs.alias("l").join(more.alias("r"), F.col("l." + id_col).cast("long").eqNullSafe(F.col("r.id"))
-                                 & (F.xxhash64(t) == F.col("r.h")), "left")
+    new = fresh_names(docs.columns, "id", "h", "context")
+    t = named(text_col).cast("string")
+    more = context_spans(docs, survey(docs, id_col, text_col), bootstrap, text_col).select(
+        F.col("id").alias(new["id"]), F.col("h").alias(new["h"]), F.col("context").alias(new["context"]))
+    based = docs.join(more, named(id_col).cast("long").eqNullSafe(F.col(new["id"])) & (F.xxhash64(t) == F.col(new["h"])), "left")
     kinds = [base_spans(_text(t), k) for k in BASE_KINDS] + [
-        F.coalesce(F.col("r.context"), F.array().cast("array<struct<s:bigint,e:bigint>>"))]
+        F.coalesce(F.col(new["context"]), F.array().cast("array<struct<s:bigint,e:bigint>>"))]
 
     def of_kind(i: int, spans: Column) -> Column:
         return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), F.lit(i).alias("k"), x["e"].alias("e")))
     tagged = F.array_sort(F.flatten(F.array(*[of_kind(i, spans) for i, spans in enumerate(kinds)])))
+    text = F.when(t.rlike("[0-9@]"), let(tagged, lambda spans: F.when(F.size(spans) > 0, _replaced(t, spans)).otherwise(t))).otherwise(t)
+    return based.select(*[text.alias(c) if c == text_col else named(c) for c in docs.columns])
+
+
+def _replaced(t: Column, spans: Column) -> Column:
+    """The text with the sorted spans ``s, k, e`` replaced by their kinds' names, overlapping ones as one."""
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def cut(spans: Column) -> Column:
-        return F.aggregate(
-            spans, start,
-            lambda acc, x: F.when(x["s"] >= acc["at"], F.struct(
-                x["e"].alias("at"),
-                F.concat(acc["out"], F.array(F.substring(t, (acc["at"] + 1).cast("int"), (x["s"] - acc["at"]).cast("int")),
-                                             names[x["k"]])).alias("out")))
-            .otherwise(F.struct(F.greatest(acc["at"], x["e"]).alias("at"), acc["out"].alias("out"))),
-            lambda acc: F.concat(F.array_join(acc["out"], ""),
-                                 F.substring(t, (acc["at"] + 1).cast("int"), F.char_length(t))))
-    new = F.when(t.rlike("[0-9@]"), let(tagged, lambda spans: F.when(F.size(spans) > 0, cut(spans)).otherwise(t))).otherwise(t)
-    return based.select(*[new.alias(c) if c == text_col else F.col(f"l.`{c}`").alias(c) for c in docs.columns])
+    pieces = F.transform(F.sequence(F.lit(0), F.floor(F.char_length(t) / _PIECE).cast("int")),
+                         lambda b: F.substring(t, b * _PIECE + 1, F.lit(_PIECE)))
+
+    def between(p: Column, a: Column, b: Column) -> Column:
+        """Characters a to b: a substring of the few pieces that hold them."""
+        first = F.floor(a / _PIECE).cast("int")
+        held = F.array_join(F.slice(p, first + 1, F.floor(b / _PIECE).cast("int") - first + 1), "")
+        return F.substring(held, (a - first * _PIECE + 1).cast("int"), (b - a).cast("int"))
+
+    def regions(v: Column) -> Column:
+        # a span that starts before the furthest end so far belongs to the region before it
+        opens = F.filter(F.transform(v["spans"], lambda x, i: F.struct(
+            x["s"].alias("s"), x["k"].alias("k"), i.cast("int").alias("i"),
+            ((i == 0) | (x["s"] >= F.get(v["reach"], i - 1))).alias("new"))), lambda x: x["new"])
+        return let(opens, lambda o: F.transform(o, lambda x, j: F.struct(
+            x["s"].alias("s"), x["k"].alias("k"),
+            F.get(v["reach"], F.coalesce(F.get(o, j + 1)["i"], F.size(v["spans"])) - 1).alias("e"))))
+
+    def cut(v: Column) -> Column:
+        zero = F.lit(0).cast("long")
+        parts = F.transform(v["r"], lambda x, j: F.concat(
+            between(v["p"], F.coalesce(F.get(v["r"], j - 1)["e"], zero), x["s"]), names[x["k"]]))
+        return F.concat(F.array_join(parts, ""), between(v["p"], F.element_at(v["r"], -1)["e"], F.char_length(t).cast("long")))
+    reach = prefix_max(F.transform(spans, lambda x: x["e"]))
+    return let(let(F.struct(spans.alias("spans"), reach.alias("reach")), regions),
+               lambda r: let(F.struct(r.alias("r"), pieces.alias("p")), cut))

@@ -166,6 +166,102 @@ def test_redaction_merges_overlaps_and_keeps_the_rest(spark):
     assert ("<" in got[1]) == bool(spans)
 
 
+def plain_tokens(t):
+    """(token, start, end, words ahead, is a seed) of a text, by plain string work."""
+    base = sorted((a, b, t[a:b]) for _, a, b in brute_pii(t))
+    out = []
+    for m in re.finditer(r"\S+", t):
+        if not re.search("[0-9@]", m[0]):
+            continue
+        ahead = t[:m.start()].lower().split()
+        # words behind the token before this one
+        before = [w for w in re.split(r"\s+", t[:m.start()].lower()) if w]
+        free = []
+        for w in reversed(before):
+            if re.search("[0-9@]", w):
+                break
+            free.insert(0, w)
+        del ahead
+        one = free[-1] if free and re.search(r"[^\W\d_]", free[-1]) else None
+        two = f"{free[-2]} {free[-1]}" if one and len(free) > 1 else None
+        punct = r"!\"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~"
+        lead = len(re.match(f"[{punct}]*", re.sub("[+@]", "x", m[0]))[0])
+        bare = re.sub(f"[{punct}]+$", "", m[0][lead:]) if re.search(f"[^{punct}]", m[0][lead:]) else m[0][lead:]
+        touching = [x for x in base if x[0] < m.end() and m.start() < x[1]]
+        out.append((touching[0][2] if touching else bare, m.start() + lead, m.start() + lead + len(bare), one, two, bool(touching)))
+    return out
+
+
+def plain_context(texts, b=pii.Bootstrap()):
+    """Context spans per text, by a bootstrap over plain dictionaries."""
+    found = {d: plain_tokens(t) for d, t in texts.items()}
+    edges, seed_of = Counter(), {}
+    for rows in found.values():
+        for token, _, _, one, two, seed in rows:
+            for p in (one, two):
+                if p:
+                    edges[p, token] += 1
+                    seed_of[p, token] = seed_of.get((p, token), False) or seed
+    seeded = {p for p, n in Counter(p for (p, _), s in seed_of.items() if s).items() if n >= b.min_seeds}
+    total = Counter()
+    for t in texts.values():
+        if re.search("[0-9@]", t):
+            w = re.split(r"\s+", t.lower())
+            total.update(x for x in [*w, *(f"{x} {y}" for x, y in zip(w, w[1:]))] if x in seeded)
+    score, sure = {}, {}
+    for _ in range(b.rounds):
+        good = Counter()
+        for (p, token), n in edges.items():
+            if p in seeded:
+                good[p] += n * (1.0 if seed_of[p, token] else score.get(token, 0.0))
+        sure = {p: c for p in seeded if (c := min(1.0, good[p] / total[p])) >= b.min_confidence}
+        score = {}
+        for (p, token) in edges:
+            if p in sure and not seed_of[p, token]:
+                score[token] = 1 - (1 - score.get(token, 0.0)) * max(1e-9, 1 - sure[p])
+    return {d: sorted({(s, e) for token, s, e, one, two, seed in rows if not seed and len(token) >= b.min_length
+                       and score.get(token, 0) >= b.min_score and (one in sure or two in sure)}) for d, rows in found.items()}
+
+
+def test_context_spans_equal_a_plain_bootstrap(spark):
+    r = random.Random(8)
+    mail, ring = (lambda k: f"user{k}@mail.org"), (lambda k: f"+1 (555) 01{k % 10}-{1000 + k}")
+    texts = {}
+    for k in range(120):
+        kind = k % 6
+        texts[k] = ["contact {} soon", "our desk line {} today", "case {} closed", "reach me via mail {}, thanks", "line {} of code",
+                    "the\t\n  desk   line {} rings"][kind].format(
+            [mail(k), ring(k), str(1000 + k), mail(k), str(k), r.choice([ring(k), f"ext-{4000 + k}"])][kind])
+    texts |= {200: "contact bob#77345 soon", 201: "a desk line 555-0199 is free", 202: "line 88123 of code",
+              203: "via mail joe(at)host9, and contact x1x2x3 " + " " * 200 + "contact" + " " * 90 + "far#99001",
+              204: "contact a@b.co;10.20.30.40 desk line +44 20 7946 0958 9", 205: "w" * 70 + " 12345", 206: ""}
+    got = {x.doc_id: x for x in pii.find_pii(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    want = plain_context(texts)
+    assert {d: [s for s in x.spans.split(",") if s.startswith("context")] for d, x in got.items()} == {
+        d: [f"context:{a}:{b}" for a, b in spans] for d, spans in want.items()}
+    assert want[200] and want[201] and len(want[203]) >= 2 and not want[205]
+
+
+def test_a_megabyte_of_identifiers_ends_in_seconds(spark):
+    import time
+    r = random.Random(1)
+    text = " ".join(r.choice(["mail a{0}@b.org", "ip 10.0.{1}.{2}", "id {0}", "x{0}"]).format(k, k % 256, k % 99) for k in range(60_000))
+    df = spark.createDataFrame([(0, text), (1, "mail none"), (2, "y" * 1_000_000)], "doc_id long, text string")
+    assert len(text) > 700_000
+    start = time.time()
+    rows = {x.doc_id: x for x in pii.find_pii(df).collect()}
+    assert rows[0].n_email + rows[0].n_ip > 20_000 and rows[2].spans == ""
+    clean = {x.doc_id: x.text for x in pii.redact(df).collect()}
+    assert time.time() - start < 120
+    spans, out, at = sorted((a, b, k) for k, a, b in brute_pii(text)), [], 0
+    context = [tuple(map(int, s.split(":")[1:])) for s in rows[0].spans.split(",") if s.startswith("context")]
+    for a, b, k in sorted([*spans, *((a, b, "context") for a, b in context)]):
+        if a >= at:
+            out += [text[at:a], f"<{k.upper()}>"]
+        at = max(at, b)
+    assert clean[0] == "".join(out) + text[at:] and clean[2] == "y" * 1_000_000
+
+
 def test_pii_of_odd_rows(odd, empty):
     rows = pii.find_pii(odd).collect()
     assert len(rows) == odd.count() and {r.spans for r in rows} == {""}

@@ -40,7 +40,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the target weights of their sources, in a global shuffle."""
-    return mixing.mix(docs, MIX_WEIGHTS, seed=MIX_SEED).select(*docs.columns)
+    return mixing.repeat_documents(docs, MIX_WEIGHTS, seed=MIX_SEED)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,6 +31,7 @@ from kestrel.sources.tables import CUSTOMER_DELIM, CUSTOMER_FIELDS
 from kestrel.streaming import jobs as J
 from kestrel.ml.store import ModelStore
 from kestrel.streaming import runner as RN
+from kestrel.streaming.railstate import RailGraph, rail_batch_fn
 from kestrel.streaming.refresh import refreshed_model
 from kestrel.streaming.risk import risk_flag_batch_fn
 
@@ -252,6 +253,13 @@ def rail_current_graph(spark: SparkSession, out_root: str) -> tuple[DataFrame, D
     return RL.latest_vertices(events), RL.latest_edges(forecasts, events), RL.latest_edges(schedules, events)
 
 
+def rail_graph_app(spark: SparkSession, source: DataFrame, root: str, checkpoint: str, processing_time: str | None = None,
+                   gzipped: bool = False, every: int = 10):
+    """Keep the live rail graph under ``root`` up to date; read it with ``RailGraph(spark, root)`` at any time."""
+    step = rail_batch_fn(RailGraph(spark, root, every))
+    return RN.start(gunzip(source) if gzipped else source, step, checkpoint, processing_time=processing_time)
+
+
 def churn_train_job(spark: SparkSession, table_path: str) -> DataFrame:
     """Train the tree and the forest on the table that ``churn_app`` appends to; ``model, auc`` on the holdout."""
     from kestrel.ml import classify as CL
@@ -346,6 +354,6 @@ def churn_refresh_app(spark: SparkSession, source: DataFrame, root: str, checkpo
     return RN.start(parse_churn_messages(source), step, checkpoint, processing_time=processing_time)
 
 
-__all__ = ["rating_refresh_app", "churn_refresh_app", "mileage_job", "als_tuning_job", "implicit_job", "rating_stream_app", "risk_app", "risk_batch",
+__all__ = ["rail_graph_app", "rating_refresh_app", "churn_refresh_app", "mileage_job", "als_tuning_job", "implicit_job", "rating_stream_app", "risk_app", "risk_batch",
            "wordcount_app", "rail_feed_app", "rail_current_graph", "tweets_job", "churn_app",
            "parse_customer_messages", "parse_churn_messages", "churn_train_job", "listening_job"]

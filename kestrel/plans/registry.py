@@ -23,6 +23,7 @@ PLAN_MODULES = (
     "kestrel.plans.recommend",
     "kestrel.plans.churn",
     "kestrel.plans.refresh",
+    "kestrel.plans.state",
 )
 
 

@@ -34,6 +34,12 @@ def fit_and_score(spark: SparkSession, data: DataFrame, classifier, split=(0.7,
     return spark.createDataFrame([(type(classifier).__name__, float(auc))], "model string, auc double")
 
 
+def holdout_scores(data: DataFrame, classifier, keys: list[str], split=(0.7, 0.3)) -> tuple[DataFrame, DataFrame]:
+    """(training rows, scored holdout rows) of a split by MD5 of ``keys``."""
+    train, test = hash_split(data, keys, list(split), seed=SEED, portable=True)
+    return train, churn_scores(pipeline(classifier).fit(train), test)
+
+
 def fit_classifier(data: DataFrame, classifier):
     """The fitted pipeline, or None while the data hold fewer than two classes (nothing can be learned yet)."""
     if data.select("churned").where("churned IS NOT NULL").distinct().limit(2).count() < 2:

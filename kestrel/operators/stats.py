@@ -60,14 +60,19 @@ def rmse(preds: DataFrame, data: DataFrame) -> DataFrame:
     return agg.select(F.sqrt(F.col("sse") / F.col("n_input")).alias("rmse"), "n_joined", "n_input")
 
 
-def hash_split(df: DataFrame, keys: list[str], weights: list[float], seed: int = 42) -> list[DataFrame]:
+def hash_split(df: DataFrame, keys: list[str], weights: list[float], seed: int = 42, portable: bool = False) -> list[DataFrame]:
     """Deterministic split by a hash of ``keys`` (a repeatable ``randomSplit``).
 
     A row's part depends only on its key values, never on partitioning or
     order, so a recomputation after an executor loss yields the same rows.
+    ``portable`` hashes by MD5 of ``seed:key:key...``, which other engines have too.
     """
     total = float(sum(weights))
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(10000)) / 10000.0
+    if portable:
+        text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+        bucket = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(1 << 52)
+    else:
+        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(10000)) / 10000.0
     edges, acc = [], 0.0
     for w in weights:
         edges.append((acc / total, (acc + w) / total))

@@ -73,10 +73,23 @@ def churn_forest_auc(spark, sf_dir):
     return CL.fit_and_score(spark, TB.churn(spark, sf_dir), CL.random_forest())
 
 
-@query("churn_checks", """SELECT 'DecisionTreeClassifier' AS model, true AS useful
-    UNION ALL SELECT 'RandomForestClassifier', true""")
+@query("churn_checks", TB.with_views("""
+    WITH u AS (SELECT *, ('0x' || substr(md5('42:' || customer), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u FROM churn),
+    n AS (SELECT count(*) FILTER (u < 0.7) AS n_train, count(*) FILTER (u < 0.7 AND churned = 'True') AS churned_train,
+                 count(*) FILTER (u >= 0.7) AS n_test, count(*) FILTER (u >= 0.7 AND churned = 'True') AS churned_test,
+                 round(sum(total_day_charge) FILTER (u >= 0.7), 2) AS charge_test FROM u)
+    SELECT model, n.*, true AS useful FROM n, (VALUES ('DecisionTreeClassifier'), ('RandomForestClassifier')) m(model)""", "churn"))
 def churn_checks(spark, sf_dir):
-    """Both classifiers rank held-out customers better than chance."""
-    data = TB.churn(spark, sf_dir)
-    scored = CL.fit_and_score(spark, data, CL.decision_tree()).unionAll(CL.fit_and_score(spark, data, CL.random_forest()))
-    return scored.select("model", ((F.col("auc") > 0.5) & (F.col("auc") <= 1.0)).alias("useful"))
+    """Who trains and who is scored by each classifier, per class, and that both rank the scored ones better than chance."""
+    data, out = TB.churn(spark, sf_dir), None
+    yes = F.col("churned") == "True"
+    for classifier in (CL.decision_tree(), CL.random_forest()):
+        train, scored = CL.holdout_scores(data, classifier, ["customer"])
+        name = F.lit(type(classifier).__name__).alias("model")
+        auc = CL.auc_by(scored.withColumn("model", name), "model", yes)
+        sizes = train.agg(F.count("*").alias("n_train"), F.count_if(yes).alias("churned_train")).join(
+            scored.agg(F.count("*").alias("n_test"), F.count_if(yes).alias("churned_test"),
+                       F.round(F.sum("total_day_charge"), 2).alias("charge_test")))
+        row = sizes.join(auc).select("model", *sizes.columns, ((F.col("auc") > 0.5) & (F.col("auc") <= 1.0)).alias("useful"))
+        out = row if out is None else out.unionAll(row)
+    return out

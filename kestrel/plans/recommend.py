@@ -170,26 +170,20 @@ def als_checks(spark, sf_dir):
     return rows[0].unionAll(rows[1]).unionAll(rows[2])
 
 
-@query("split_checks", TB.with_views("""
-    SELECT 'rows' AS "check", count(*) AS n FROM ratings UNION ALL SELECT 'rows_in_two_parts', 0
-    UNION ALL SELECT 'parts_off_by_more_than_a_tenth', 0 UNION ALL SELECT 'sample_rows_not_in_table', 0
-    UNION ALL SELECT 'sample_share_off', 0""", "ratings"))
+@query("split_checks", """
+    WITH u AS (SELECT event_id AS id, ('0x' || substr(md5('42:' || event_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u FROM events),
+    p AS (SELECT *, CASE WHEN u < 0.8 THEN 0 WHEN u < 0.9 THEN 1 ELSE 2 END AS part FROM u)
+    SELECT 'part ' || part AS "check", count(*) AS n, sum(id)::BIGINT AS ids FROM p GROUP BY part
+    UNION ALL SELECT 'rows in one part exactly', count(*), sum(id)::BIGINT FROM p
+    UNION ALL SELECT 'half', count(*), sum(id)::BIGINT FROM u WHERE u < 0.5""")
 def split_checks(spark, sf_dir):
-    """Repeatable parts cover every row once, near their weights; the Bernoulli sample is a subset of about half."""
+    """Sizes and id sums of the parts of a repeatable split, of the rows that are in one part, and of a half."""
     r = TB.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
-    parts = S.hash_split(r, ["id"], [0.8, 0.1, 0.1], seed=RC.SEED)
-    tagged = [p.select("id", F.lit(i).alias("part"), F.lit(w).alias("weight")) for i, (p, w) in enumerate(zip(parts, (0.8, 0.1, 0.1)))]
+    weights = [0.8, 0.1, 0.1]
+    total = weights[0] + weights[1] + weights[2]
+    parts = S.hash_split(r, ["id"], [w / total for w in weights], seed=RC.SEED, portable=True)
+    tagged = [p.select("id", F.lit(f"part {i}").alias("check")) for i, p in enumerate(parts)]
     every = tagged[0].unionAll(tagged[1]).unionAll(tagged[2])
-    n = r.agg(F.count("*")).scalar()
-    per_id = every.groupBy("id").count()
-    off = every.groupBy("part", "weight").agg(F.count("*").alias("c")).where(
-        F.abs(F.col("c") - n * F.col("weight")) > 0.1 * n * F.col("weight") + 30)
-    half = r.sample(False, 0.5, 83)
-    share = half.agg(F.count("*").alias("c")).where(F.abs(F.col("c") - 0.5 * n) > 0.1 * n + 30)
-    out = None
-    for name, df in (("rows", per_id), ("rows_in_two_parts", per_id.where("count > 1")),
-                     ("parts_off_by_more_than_a_tenth", off),
-                     ("sample_rows_not_in_table", half.join(r, "id", "left_anti")), ("sample_share_off", share)):
-        row = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), "n")
-        out = row if out is None else out.unionAll(row)
-    return out
+    once = every.groupBy("id").count().where("count = 1").select("id", F.lit("rows in one part exactly").alias("check"))
+    half = S.hash_split(r, ["id"], [0.5, 0.5], seed=RC.SEED, portable=True)[0].select("id", F.lit("half").alias("check"))
+    return every.unionAll(once).unionAll(half).groupBy("check").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))

@@ -131,6 +131,17 @@ def anti_join_candidates(spark, sf_dir):
     return T.catalog(spark, sf_dir).join(_personal(spark, sf_dir).select("item"), "item", "left_anti")
 
 
+@query("right_outer_join", T.with_views("""
+    SELECT c.item, c.title, count(r.rating) AS n_ratings
+    FROM (SELECT * FROM ratings WHERE rating >= 5) r RIGHT OUTER JOIN catalog c ON r.item = c.item
+    GROUP BY c.item, c.title""", "ratings", "catalog"))
+def right_outer_join(spark, sf_dir):
+    """Every catalogue item with the number of its top ratings, also those without any."""
+    top, c = T.ratings(spark, sf_dir).where("rating >= 5"), T.catalog(spark, sf_dir)
+    joined = top.join(c, top["item"] == c["item"], "right_outer").select(c["item"], "title", "rating")
+    return joined.groupBy("item", "title").agg(F.count("rating").alias("n_ratings"))
+
+
 @query("user_candidate_pairs", T.with_views(f"""
     SELECT CAST({PERSONAL_USER} AS INTEGER) AS "user", item FROM catalog WHERE item NOT IN
       (SELECT item FROM ratings WHERE "user" = {PERSONAL_USER} AND rating > 0)""", "ratings", "catalog"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.session import scratch_path
+from kestrel.streaming.lateness import LateGuard
 
 
 def stream_source(spark: SparkSession, kind: str, **opts) -> DataFrame:
@@ -92,41 +93,31 @@ def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", ma
 
 def run_available_now(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
                       mode: str = "append", name: str | None = None) -> None:
-    """Process everything available now through ``fn`` (``foreachBatch``), then stop."""
+    """Process everything available now through ``fn`` (``foreachBatch``), then stop; dropped late rows are an error."""
+    guard = LateGuard(stream.sparkSession)
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(fn)
     if name:
         w = w.queryName(name)
-    conf, kept = stream.sparkSession.conf, "spark.sql.streaming.numRecentProgressUpdates"
-    before = conf.get(kept)
-    conf.set(kept, str(2 ** 31 - 1))                               # the reports of all batches, not of the last 100
-    try:
-        q = w.trigger(availableNow=True).start()
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
-        progress = q.recentProgress
-    finally:
-        conf.set(kept, before)
-    if dropped := late_rows(progress):
-        raise RuntimeError(f"{dropped} rows came behind the watermark and were not counted; raise its delay")
-
-
-def late_rows(progress) -> int:
-    """Rows that stateful operators dropped as late, over the given progress reports."""
-    return sum(op["numRowsDroppedByWatermark"] for p in progress for op in (p["stateOperators"] or ()))
+    q = guard.watch(w.trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    guard.finish()
 
 
 def start(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
           processing_time: str | None = None, name: str | None = None):
     """Start a long-running query (``processing_time`` e.g. ``"1 second"``); returns the handle.
 
-    Without ``processing_time`` it processes what is available and stops.
+    Without ``processing_time`` it processes what is available and stops.  Once
+    an operator has dropped late rows, the next batch fails the query.
     """
-    w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(fn)
+    guard = LateGuard(stream.sparkSession)
+    w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(guard.guarded(fn))
     if name:
         w = w.queryName(name)
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
-    return w.start()
+    return guard.watch(w.start())
 
 
 def batch_partition_writer(path: str, guard_empty: bool = True) -> Callable[[DataFrame, int], None]:
@@ -184,4 +175,4 @@ def ntz(col) -> Column:
 
 __all__ = ["stream_source", "stage_files", "file_stream", "run_available_now", "batch_partition_writer",
            "read_changelog", "run_update_aggregate", "run_append", "materialize", "start", "event_time", "ntz",
-           "Staged", "late_rows"]
+           "Staged"]

@@ -109,3 +109,27 @@ def test_rows_dropped_before_the_last_progress_reports_fail_the_run(spark, tmp_p
         assert spark.conf.get(kept) == "2"
     finally:
         spark.conf.set(kept, before)
+
+
+def test_a_long_running_query_fails_once_rows_were_dropped(spark, tmp_path):
+    import time
+
+    from pyspark.errors import StreamingQueryException
+
+    def publish(i, day):
+        spark.sql(f"SELECT TIMESTAMP'2020-01-{day} 00:00:00' AS ts").coalesce(1).write.parquet(f"{tmp_path}/in/chunk={i}")
+    publish(0, "10")
+    counts = (RN.file_stream(spark, f"{tmp_path}/in", "ts timestamp").withWatermark("ts", "1 hour")
+              .groupBy(F.window("ts", "1 hour")).count())
+    q = RN.start(counts, lambda batch, i: batch.count(), f"{tmp_path}/ckpt", mode="update", processing_time="200 milliseconds")
+    try:
+        for i, day in enumerate(["11", "12", "01", "13", "14", "15", "16", "17"], 1):
+            publish(i, day)
+            if not q.isActive:
+                break
+            time.sleep(1)
+        with pytest.raises(StreamingQueryException, match="behind the watermark"):
+            q.awaitTermination(60)
+            raise AssertionError("the query goes on")
+    finally:
+        q.stop()

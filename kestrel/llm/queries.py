@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from kestrel.llm import alignment, ann, ball_tree, chat_format, divergence, mixing, ngram_join, pii, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
 from kestrel.llm.tables import make_importable, read
+from kestrel.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -167,6 +168,28 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *quality_rules.MEASURES, "failures", (~F.col("base_ok")).alias("base_failed"), "kept")
 
 
+_ABLATION_RULES = ", ".join(
+    f"('{policy}', {quality_rules.policy_mask(policy)}, '{r.name}', {1 << r.bit})"
+    for policy, names in quality_rules.POLICIES.items() for r in quality_rules.RULES if r.name in names)
+
+_ABLATION_SQL = _OP9_SQL[:_OP9_SQL.rindex("SELECT doc_id")] + f""", p(policy, mask, rule, bit) AS (VALUES {_ABLATION_RULES})
+SELECT policy, rule, count(*) FILTER (failures & bit <> 0) AS rejected, count(*) FILTER (failures & mask = bit) AS rejected_alone,
+       count(*) FILTER (failures & mask & ~bit = 0) AS kept_without FROM f, p GROUP BY policy, rule
+"""
+
+
+@_query("quality_ablation", _ABLATION_SQL)
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule does in each policy: documents it rejects, rejects alone, and documents kept without it."""
+    path = scratch_path(spark, "quality-ledger")
+    quality_rules.ledger(read(spark, sf_dir, "documents")).select("failures").write.parquet(path)
+    rows, out = spark.read.parquet(path), None
+    for policy in quality_rules.POLICIES:
+        own = quality_rules.ablation(rows, policy).select(F.lit(policy).alias("policy"), "rule", "rejected", "rejected_alone", "kept_without")
+        out = own if out is None else out.unionAll(own)
+    return out
+
+
 @_query("op10_ngram_join")
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and near-duplicate component of every document."""

@@ -318,6 +318,14 @@ def test_policies_and_ablation_agree_with_recounting(documents):
             assert a.kept_without == sum(f & ~bit == 0 for f in own)
 
 
+def test_ablation_query_matches_its_sql(spark, sf_dir, con):
+    df = QUERIES["quality_ablation"](spark, sf_dir)
+    r = con.execute(ORACLES["quality_ablation"])
+    names = [d[0] for d in r.description]
+    want = sorted(r.fetchall())
+    assert sorted(map(tuple, df.select(*names).collect())) == want and len(want) == 13
+
+
 def test_quality_of_odd_rows(odd, empty):
     rows = quality_rules.ledger(odd).collect()
     assert len(rows) == odd.count() and all(r.failures & 1 for r in rows if r.n_words == 0)

@@ -23,19 +23,19 @@ def rows(log):
 
 
 def test_changelog_reads_keys_and_not_history(spark):
-    log = changelog(spark, scratch_path(spark, "log"), "k string, v long", ["k"], every=3)
+    log = changelog(spark, scratch_path(spark, "log"), "k string, v long", ["k"], every=2)
     write, r, want = changelog_writer(log), random.Random(1), {}
     assert rows(log) == set() and log.mark() == (-1, None)
-    for b in range(11):
+    for b in range(7):
         new = {r.choice("abcdef"): b * 10 + i for i in range(3)}
         want |= new
         write(spark.createDataFrame(list(new.items()), "k string, v long"), b)
         assert rows(log) == set(want.items())
         assert len(parts(spark, log, "log")) <= 2 * log.every + 1       # of those, at most every + 1 are behind the snapshot
     upto, folder = log.mark()
-    assert upto >= 11 - log.every - 1 and spark.read.parquet(folder).count() <= 6
+    assert upto >= 7 - log.every - 1 and spark.read.parquet(folder).count() <= 6
     assert len(parts(spark, log, "marks")) <= 2 and len(parts(spark, log, "snapshots")) <= 2
-    write(spark.createDataFrame([], "k string, v long"), 11)
+    write(spark.createDataFrame([], "k string, v long"), 7)
     assert rows(log) == set(want.items())
 
 

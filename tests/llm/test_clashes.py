@@ -27,9 +27,9 @@ def same(a, b):
 @pytest.mark.parametrize("operator", [
     lambda d: sentencepiece_codec.encode_decode_digests(d, "piece_bpe_32k.model"), pii.find_pii,
     lambda d: token_counts.count_tokens(d, "word_bpe_49k.json"), secret_scan.scan_secrets, quality_rules.ledger,
-    ngram_join.ngram_components, lambda d: divergence.audit_sources(d, least_docs=2),
+    lambda d: divergence.audit_sources(d, least_docs=2),
     lambda d: alignment.align_tokenizers(d, "byte_bpe_50k.json", "piece_bpe_32k.model")],
-    ids=["pieces", "pii", "counts", "secrets", "quality", "join", "audit", "alignment"])
+    ids=["pieces", "pii", "counts", "secrets", "quality", "audit", "alignment"])
 def test_results_do_not_depend_on_extra_columns(rows, operator):
     same(operator(rows[0]), operator(rows[1]))
 

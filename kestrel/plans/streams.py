@@ -41,7 +41,7 @@ def _staged(spark, df, order, name):
     """(stream over the staged files, what staging tells about their order)."""
     src = scratch_path(spark, name)
     staged = RN.stage_files(df, src, order, N_FILES)
-    return RN.file_stream(spark, src, df.schema), staged
+    return RN.file_stream(spark, src, df.schema, max_files=staged.files), staged
 
 
 _MODEL_SQL = """sp AS (SELECT *, CASE WHEN (epoch_us(ts) // 1000000) % 10 < 6 THEN 'train'

@@ -78,3 +78,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def count_files(spark: SparkSession, pattern: str) -> int:
+    """How many files match a glob pattern on its own file system; storage errors are raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return len(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or ())

@@ -2,7 +2,9 @@
 
 Production sources are Kafka or a socket; tests and the registered queries
 replay files staged from the driver tables (a file source with
-``maxFilesPerTrigger`` gives deterministic micro-batches in file order).
+``maxFilesPerTrigger`` gives deterministic micro-batches in file order; a
+staged chunk's number of files makes it a micro-batch, so their number does not
+grow with the tables).
 Results are written by ``foreachBatch`` into ``batch_id`` partitions of a
 table in shared storage, overwriting the batch's own partition, so a batch
 replayed after a failure replaces its output instead of duplicating it.
@@ -10,13 +12,15 @@ replayed after a failure replaces its output instead of duplicating it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.session import scratch_path
+from kestrel.session import count_files, scratch_path
 from kestrel.streaming.lateness import LateGuard
 
 
@@ -40,10 +44,12 @@ def stream_source(spark: SparkSession, kind: str, **opts) -> DataFrame:
 
 
 class Staged(NamedTuple):
-    """Chunk folders in order, and how far ``order`` reaches within one chunk (seconds for times)."""
+    """Chunk folders in order, how far ``order`` reaches within one chunk (seconds for times), and the most files that a
+    chunk has: streamed by so many per micro-batch, the batches are no more than the chunks, however many tasks wrote them."""
 
     paths: list[str]
     span: int
+    files: int
 
     def lateness(self, slack: int = 3600) -> str:
         """A watermark delay that no staged row can miss: files of one chunk come in any order."""
@@ -82,7 +88,12 @@ def _stage(df: DataFrame, path: str, order: str, n_files: int, fmt: str, text_co
             part.write.mode("overwrite").format(fmt).save(p)
         paths.append(p)
     per_second = 1_000_000 if dict(df.dtypes)[order].startswith("timestamp") else 1
-    return Staged(paths, int((span + 1) / n_files / per_second) + 1)
+    return Staged(paths, int((span + 1) / n_files / per_second) + 1, most_files(df.sparkSession, paths))
+
+
+def most_files(spark: SparkSession, folders: Sequence[str]) -> int:
+    """The largest number of data files in one of ``folders`` (1 at least)."""
+    return max(1, *(count_files(spark, f"{p}/part-*") for p in folders))
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int = 1) -> DataFrame:
@@ -120,12 +131,23 @@ def start(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: s
     return guard.watch(w.start())
 
 
+@contextmanager
+def computed_once(batch: DataFrame) -> Iterator[DataFrame]:
+    """The batch for several actions, held on disk: each action on a batch itself runs its stateful operators anew."""
+    held = batch.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def batch_partition_writer(path: str, guard_empty: bool = True) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: overwrite ``path/batch_id=<id>`` with the batch (idempotent)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if guard_empty and batch.isEmpty():   # nothing arrived: write nothing
-            return
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        with computed_once(batch) as rows:
+            if guard_empty and rows.isEmpty():   # nothing arrived: write nothing
+                return
+            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return write
 
 
@@ -133,8 +155,8 @@ def read_changelog(spark: SparkSession, path: str, keys: Sequence[str]) -> DataF
     """Compact an update-mode changelog: the row of the latest batch per key."""
     log = spark.read.parquet(path)
     cols = [c for c in log.columns if c not in set(keys) | {"batch_id"}]
-    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_r"))
-    return latest.select(*keys, "_r.*")
+    # a max_by per column: numbers and times are then aggregated by hashing, a struct of them only by sorting
+    return log.groupBy(*keys).agg(*[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in cols])
 
 
 def run_update_aggregate(spark: SparkSession, agg: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -175,4 +197,4 @@ def ntz(col) -> Column:
 
 __all__ = ["stream_source", "stage_files", "file_stream", "run_available_now", "batch_partition_writer",
            "read_changelog", "run_update_aggregate", "run_append", "materialize", "start", "event_time", "ntz",
-           "Staged"]
+           "Staged", "most_files"]

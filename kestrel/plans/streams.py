@@ -201,7 +201,7 @@ def stream_foreach_batch(spark, sf_dir):
     lines = TB.customer_lines(spark, sf_dir).withColumn(
         "ts", F.timestamp_seconds(F.try_element_at(split_literal("line", "@|"), F.lit(1)).cast("long")))
     src = scratch_path(spark, "customer-feed")
-    RN.stage_files(lines, src, "ts", N_FILES, fmt="text", text_col="line")
+    staged = RN.stage_files(lines, src, "ts", N_FILES, fmt="text", text_col="line")
     root = scratch_path(spark, "customer-index")
 
     def per_batch(batch, batch_id):
@@ -211,7 +211,8 @@ def stream_foreach_batch(spark, sf_dir):
                                           TB.CUSTOMER_FIELDS))
         write_index(recs, root, "customers/customer", batch_id)
 
-    RN.run_available_now(RN.stream_source(spark, "files", path=f"{src}/*"), per_batch, scratch_path(spark, "cust-ckpt"))
+    stream = RN.stream_source(spark, "files", path=f"{src}/*", max_files=staged.files)
+    RN.run_available_now(stream, per_batch, scratch_path(spark, "cust-ckpt"))
     return read_index(spark, root, "customers/customer").drop("batch_id")
 
 

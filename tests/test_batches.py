@@ -75,3 +75,9 @@ def test_a_stateful_batch_is_computed_once(spark, tmp_path):
     assert 0 < ran.value <= partitions              # a block of rows per partition with rows, each seen once
     assert {(r.text, r["count"]) for r in RN.read_changelog(spark, f"{tmp_path}/out", ["text"]).collect()} == {
         (str(i), 5) for i in range(4)}
+
+
+def test_the_customer_index_takes_a_batch_per_chunk(spark, tables, monkeypatch):
+    rows, runs = _batches(monkeypatch, spark, tables, "stream_foreach_batch")
+    assert len(runs) == 1 and runs[0] <= 5
+    assert len(rows) == 240 and len({r.tstamp for r in rows}) == 240

@@ -48,8 +48,9 @@ def stream_compacted_wordcount(spark, sf_dir):
     """Running word counts whose changelog is compacted into snapshots on the way."""
     root = scratch_path(spark, "compacted-wc")
     lines = TB.timed_lines(spark, sf_dir)
-    RN.stage_files(lines, f"{root}/feed", "ts", BATCHES + 1)
+    staged = RN.stage_files(lines, f"{root}/feed", "ts", BATCHES + 1)
     log = changelog(spark, f"{root}/counts", "word string, count long", ["word"], EVERY)
-    counts = J.running_word_count(RN.file_stream(spark, f"{root}/feed", lines.schema), ",")
+    stream = RN.file_stream(spark, f"{root}/feed", lines.schema, max_files=staged.files)
+    counts = J.running_word_count(stream, ",")
     RN.run_available_now(counts, changelog_writer(log), f"{root}/checkpoint", mode="update")
     return log.read().select("word", "count")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.session import path_exists
+from kestrel.streaming.runner import computed_once
 
 
 class CompactedLog:
@@ -98,14 +99,15 @@ def changelog(spark: SparkSession, root: str, schema: str, keys: Sequence[str],
     values = [c for c in T.StructType.fromDDL(schema).names if c not in keys]
 
     def merge(rows: DataFrame) -> DataFrame:
-        newest = rows.groupBy(*keys).agg(F.max("_batch").alias("_batch"), F.max_by(F.struct(*values), F.col("_batch")).alias("_row"))
-        return newest.select(*keys, "_row.*", "_batch")
+        newest = [F.max_by(F.col(v), F.col("_batch")).alias(v) for v in values]
+        return rows.groupBy(*keys).agg(*newest, F.max("_batch").alias("_batch"))
     return CompactedLog(spark, root, f"{schema}, _batch long", merge, every)
 
 
 def changelog_writer(log: CompactedLog) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: append the batch's changed rows to the log."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            log.append(batch.withColumn("_batch", F.lit(batch_id).cast("long")), batch_id)
+        with computed_once(batch) as rows:
+            if not rows.isEmpty():
+                log.append(rows.withColumn("_batch", F.lit(batch_id).cast("long")), batch_id)
     return write

@@ -54,7 +54,8 @@ def _words(spark, tables, sep):
     return sorted(w for x in text for w in x.split(sep))
 
 
-@pytest.mark.parametrize("name, sep", [("stream_window_wordcount", " "), ("stream_running_wordcount", ",")])
+@pytest.mark.parametrize("name, sep", [("stream_window_wordcount", " "), ("stream_running_wordcount", ","),
+                                       ("stream_compacted_wordcount", ",")])
 def test_a_word_count_takes_a_batch_per_chunk(spark, tables, monkeypatch, name, sep):
     rows, runs = _batches(monkeypatch, spark, tables, name)
     assert len(runs) == 1 and runs[0] <= 5 + 1      # and one in which the watermark closes the last windows

@@ -181,7 +181,8 @@ def stream_restart_wordcount(spark, sf_dir):
     src, out, ckpt = scratch_path(spark, "restart-src"), scratch_path(spark, "restart-out"), scratch_path(spark, "restart-ckpt")
 
     def run():
-        s = RN.file_stream(spark, src, lines.schema)
+        parts = [f"{src}/part={i:05d}" for i in range(len(chunks))]
+        s = RN.file_stream(spark, src, lines.schema, max_files=RN.most_files(spark, parts))
         RN.run_available_now(J.running_word_count(s, ","), RN.batch_partition_writer(out), ckpt, mode="update")
 
     for i, c in enumerate(chunks):          # the input grows; the query restarts from its checkpoint

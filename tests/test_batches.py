@@ -82,3 +82,14 @@ def test_the_customer_index_takes_a_batch_per_chunk(spark, tables, monkeypatch):
     rows, runs = _batches(monkeypatch, spark, tables, "stream_foreach_batch")
     assert len(runs) == 1 and runs[0] <= 5
     assert len(rows) == 240 and len({r.tstamp for r in rows}) == 240
+
+
+def test_a_restarted_count_takes_a_batch_per_chunk(spark, tables, monkeypatch):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")       # the copies of a chunk have several files too
+    try:
+        rows, runs = _batches(monkeypatch, spark, tables, "stream_restart_wordcount")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(runs) == 2 and runs[0] <= 3 and runs[1] <= 2
+    assert sorted(w for r in rows for w in [r.word] * r["count"]) == _words(spark, tables, ",")

@@ -84,8 +84,8 @@ def _saved_model(spark, sf_dir):
 def stream_als_score(spark, sf_dir):
     model = ALSModel.load(_saved_model(spark, sf_dir))
     src = scratch_path(spark, "rating-feed")
-    RN.stage_files(TB.rating_messages(spark, sf_dir), src, "ts", 5, fmt="text", text_col="value")
-    stream = J.parse_rating_messages(RN.stream_source(spark, "files", path=f"{src}/*"))
+    staged = RN.stage_files(TB.rating_messages(spark, sf_dir), src, "ts", 5, fmt="text", text_col="value")
+    stream = J.parse_rating_messages(RN.stream_source(spark, "files", path=f"{src}/*", max_files=staged.files))
     out = scratch_path(spark, "als-scores")
 
     def per_batch(batch, batch_id):
@@ -104,8 +104,8 @@ def recommendation_docs(spark, sf_dir):
     model = ALSModel.load(_saved_model(spark, sf_dir))
     catalog = TB.catalog(spark, sf_dir)
     src = scratch_path(spark, "rating-feed")
-    RN.stage_files(TB.rating_messages(spark, sf_dir), src, "ts", 5, fmt="text", text_col="value")
-    stream = J.parse_rating_messages(RN.stream_source(spark, "files", path=f"{src}/*"))
+    staged = RN.stage_files(TB.rating_messages(spark, sf_dir), src, "ts", 5, fmt="text", text_col="value")
+    stream = J.parse_rating_messages(RN.stream_source(spark, "files", path=f"{src}/*", max_files=staged.files))
     out = scratch_path(spark, "rec-docs")
 
     def per_batch(batch, batch_id):

@@ -24,7 +24,7 @@ def _rating_feed(spark, sf_dir):
     """(rating messages replayed as text lines and parsed, the feed's lateness)."""
     src = scratch_path(spark, "rating-feed")
     staged = RN.stage_files(TB.rating_messages(spark, sf_dir), src, "ts", N_FILES, fmt="text", text_col="value")
-    return J.parse_rating_messages(RN.stream_source(spark, "files", path=f"{src}/*")), staged
+    return J.parse_rating_messages(RN.stream_source(spark, "files", path=f"{src}/*", max_files=staged.files)), staged
 
 
 def _rating_stream(spark, sf_dir):

@@ -93,3 +93,13 @@ def test_a_restarted_count_takes_a_batch_per_chunk(spark, tables, monkeypatch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(runs) == 2 and runs[0] <= 3 and runs[1] <= 2
     assert sorted(w for r in rows for w in [r.word] * r["count"]) == _words(spark, tables, ",")
+
+
+@pytest.mark.parametrize("name", ["stream_static_join", "rating_error_docs", "batch_rmse_baseline", "recommendation_docs"])
+def test_a_rating_stream_takes_a_batch_per_chunk(spark, tables, monkeypatch, name):
+    rows, runs = _batches(monkeypatch, spark, tables, name)
+    assert len(runs) == 1 and runs[0] <= 5 + 1
+    if name == "batch_rmse_baseline":
+        assert 0 < sum(r.n for r in rows) <= 240
+    elif name != "recommendation_docs":
+        assert 0 < len(rows) <= 240

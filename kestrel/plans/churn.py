@@ -11,6 +11,7 @@ from kestrel.operators.quantiles import exact_quantiles
 from kestrel.operators.ranges import range_quantiles
 from kestrel.plans.registry import query
 from kestrel.sources import tables as TB
+from kestrel.streaming import runner as RN
 
 _NUM = TB.CHURN_NUMERIC
 _PAIRS = list(combinations_with_replacement(range(len(_NUM)), 2))
@@ -63,14 +64,19 @@ def quartiles_by_range(spark, sf_dir):
     return q.select("churned", "n", "min", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3")], "max")
 
 
+def _churn_once(spark, sf_dir):
+    """The feature table, joined and aggregated once: indexers, classifiers and counts each read it anew."""
+    return RN.materialize(spark, TB.churn(spark, sf_dir), "churn")
+
+
 @query("churn_tree_auc")
 def churn_tree_auc(spark, sf_dir):
-    return CL.fit_and_score(spark, TB.churn(spark, sf_dir), CL.decision_tree())
+    return CL.fit_and_score(spark, _churn_once(spark, sf_dir), CL.decision_tree())
 
 
 @query("churn_forest_auc")
 def churn_forest_auc(spark, sf_dir):
-    return CL.fit_and_score(spark, TB.churn(spark, sf_dir), CL.random_forest())
+    return CL.fit_and_score(spark, _churn_once(spark, sf_dir), CL.random_forest())
 
 
 @query("churn_checks", TB.with_views("""
@@ -81,7 +87,7 @@ def churn_forest_auc(spark, sf_dir):
     SELECT model, n.*, true AS useful FROM n, (VALUES ('DecisionTreeClassifier'), ('RandomForestClassifier')) m(model)""", "churn"))
 def churn_checks(spark, sf_dir):
     """Who trains and who is scored by each classifier, per class, and that both rank the scored ones better than chance."""
-    data, out = TB.churn(spark, sf_dir), None
+    data, out = _churn_once(spark, sf_dir), None
     yes = F.col("churned") == "True"
     for classifier in (CL.decision_tree(), CL.random_forest()):
         train, scored = CL.holdout_scores(data, classifier, ["customer"])

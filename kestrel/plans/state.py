@@ -21,13 +21,14 @@ EVERY = 2                        # batches between snapshots
 
 def replay_rail(spark, sf_dir: str, root: str, after_batch=None) -> RailGraph:
     """Publish the rail messages in ``BATCHES`` parts, in no order of time, and run the app once after each."""
-    messages, feed = rail_xml(spark, sf_dir), f"{root}/feed"
-    for i in range(BATCHES):
-        messages.where(F.pmod(F.xxhash64("value"), F.lit(BATCHES)) == i).write.mode("append").text(feed)
-        A.rail_graph_app(spark, RN.stream_source(spark, "files", path=feed, max_files=1_000_000), f"{root}/graph",
-                         f"{root}/checkpoint", every=EVERY).awaitTermination()
-        if after_batch is not None:
-            after_batch(i, spark.read.text(feed))
+    feed = f"{root}/feed"
+    with RN.computed_once(rail_xml(spark, sf_dir)) as messages:
+        for i in range(BATCHES):
+            messages.where(F.pmod(F.xxhash64("value"), F.lit(BATCHES)) == i).write.mode("append").text(feed)
+            A.rail_graph_app(spark, RN.stream_source(spark, "files", path=feed, max_files=1_000_000), f"{root}/graph",
+                             f"{root}/checkpoint", every=EVERY).awaitTermination()
+            if after_batch is not None:
+                after_batch(i, spark.read.text(feed))
     return RailGraph(spark, f"{root}/graph", EVERY)
 
 

@@ -103,3 +103,35 @@ def test_a_rating_stream_takes_a_batch_per_chunk(spark, tables, monkeypatch, nam
         assert 0 < sum(r.n for r in rows) <= 240
     elif name != "recommendation_docs":
         assert 0 < len(rows) <= 240
+
+
+def _counting(spark, df):
+    """(``df`` in one partition, a count of how often it was computed)."""
+    ran = spark.sparkContext.accumulator(0)
+
+    def note(blocks):
+        ran.add(1)
+        yield from blocks
+    return df.coalesce(1).mapInPandas(note, df.schema), ran
+
+
+def test_churn_features_are_computed_once(spark, monkeypatch):
+    from kestrel.sources import tables as TB
+    load_all()
+    number = [((F.col("id") * (i + 3)) % 17).cast("double").alias(c) for i, c in enumerate(TB.CHURN_NUMERIC)]
+    rows, ran = _counting(spark, spark.range(300).select(
+        F.col("id").alias("customer"), F.lit("s").alias("state"), *number, F.lit(1.0).alias("number_customer_service_calls"),
+        F.expr("IF(id % 3 = 0, 'yes', 'no')").alias("intl_plan"), F.expr("IF(id * 3 % 17 < 6, 'True', 'False')").alias("churned")))
+    monkeypatch.setattr(TB, "churn", lambda spark, sf_dir: rows)
+    out = QUERIES["churn_checks"](spark, "").collect()
+    assert ran.value == 1
+    assert len(out) == 2 and all(r.n_train + r.n_test == 300 for r in out)
+
+
+def test_rail_messages_are_written_from_one_computation(spark, tables, monkeypatch):
+    from kestrel.plans import state
+    messages, ran = _counting(spark, state.rail_xml(spark, tables))
+    monkeypatch.setattr(state, "rail_xml", lambda spark, sf_dir: messages)
+    seen = []
+    state.replay_rail(spark, tables, state.scratch_path(spark, "rail-once"), lambda i, feed: seen.append(feed.count()))
+    assert ran.value == 1 and seen[-1] == 240

@@ -158,8 +158,9 @@ def stream_sliding_count(spark, sf_dir):
     FROM (SELECT ts, unnest(string_split(text, ' ')) AS word FROM timed_lines) x GROUP BY 1, 2""", "timed_lines"))
 def stream_window_wordcount(spark, sf_dir):
     s, staged = _staged(spark, TB.timed_lines(spark, sf_dir), "ts", "lines-feed")
+    # the open windows hold about as many keys as two chunks have different words a day
     return RN.run_update_aggregate(spark, J.tumbling_word_count(s, "1 day", staged.lateness()), ["window_start", "word"],
-                                   "window-wc")
+                                   "window-wc", disk_state=True)
 
 
 @query("stream_running_wordcount", TB.with_views("""

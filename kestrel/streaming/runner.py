@@ -13,7 +13,7 @@ replayed after a failure replaces its output instead of duplicating it.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from typing import NamedTuple
 
 from pyspark import StorageLevel
@@ -141,6 +141,33 @@ def computed_once(batch: DataFrame) -> Iterator[DataFrame]:
         held.unpersist()
 
 
+# Keyed state in RocksDB: its files are on the executors' disks, all partitions of an executor share one bound on memory
+# (outside the heap), and a commit stores the batch's changes.  Counting all rows would add a read to each new key.
+_ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
+DISK_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_ROCKSDB}.changelogCheckpointing.enabled": "true",
+    f"{_ROCKSDB}.boundedMemoryUsage": "true",
+    f"{_ROCKSDB}.maxMemoryUsageMB": "400",
+    f"{_ROCKSDB}.trackTotalNumberOfRows": "false",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """New stream runs started here keep their state on disk: for keys that grow with the input, which the default store
+    holds in the executors' heap, two versions at a time."""
+    before = {k: spark.conf.get(k, None) for k in DISK_STATE}
+    try:
+        for k, v in DISK_STATE.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def batch_partition_writer(path: str, guard_empty: bool = True) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: overwrite ``path/batch_id=<id>`` with the batch (idempotent)."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -159,10 +186,12 @@ def read_changelog(spark: SparkSession, path: str, keys: Sequence[str]) -> DataF
     return log.groupBy(*keys).agg(*[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in cols])
 
 
-def run_update_aggregate(spark: SparkSession, agg: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def run_update_aggregate(spark: SparkSession, agg: DataFrame, keys: Sequence[str], name: str,
+                         disk_state: bool = False) -> DataFrame:
     """Run a streaming aggregate in update mode to completion; return its final table."""
     out = scratch_path(spark, f"{name}-out")
-    run_available_now(agg, batch_partition_writer(out), scratch_path(spark, f"{name}-ckpt"), mode="update")
+    with state_on_disk(spark) if disk_state else nullcontext():
+        run_available_now(agg, batch_partition_writer(out), scratch_path(spark, f"{name}-ckpt"), mode="update")
     return read_changelog(spark, out, keys)
 
 
@@ -197,4 +226,4 @@ def ntz(col) -> Column:
 
 __all__ = ["stream_source", "stage_files", "file_stream", "run_available_now", "batch_partition_writer",
            "read_changelog", "run_update_aggregate", "run_append", "materialize", "start", "event_time", "ntz",
-           "Staged", "most_files"]
+           "Staged", "most_files", "state_on_disk"]

@@ -1,10 +1,15 @@
 """Staged replays: the micro-batches follow from the chunks, not from how many tasks wrote them."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
 from kestrel.plans.registry import QUERIES, load_all
+from kestrel.session import shared_dir
+from kestrel.streaming import jobs as J
 from kestrel.streaming import runner as RN
+from kestrel.streaming.lateness import LateRowsError
 
 PARTS = 6                        # files per table, so that a chunk has several
 
@@ -135,3 +140,43 @@ def test_rail_messages_are_written_from_one_computation(spark, tables, monkeypat
     seen = []
     state.replay_rail(spark, tables, state.scratch_path(spark, "rail-once"), lambda i, feed: seen.append(feed.count()))
     assert ran.value == 1 and seen[-1] == 240
+
+
+def test_the_windows_words_are_kept_on_disk(spark, tables, monkeypatch):
+    """The keys grow with the input: RocksDB commits its changes as .changelog files, the store in the heap as .delta."""
+    runs = f"{shared_dir(spark).removeprefix('file:')}/kestrel/window-wc-ckpt-*"
+    earlier = set(glob.glob(runs))
+    rows, _ = _batches(monkeypatch, spark, tables, "stream_window_wordcount")
+    assert sorted(w for r in rows for w in [r.word] * r["count"]) == _words(spark, tables, " ")
+    assert len({(r.window_start, r.word) for r in rows}) == len(rows)
+    run, = set(glob.glob(runs)) - earlier
+    assert glob.glob(f"{run}/state/0/*/*.changelog") and not glob.glob(f"{run}/state/**/*.delta", recursive=True)
+
+
+def _settings(spark):
+    return {k: spark.conf.get(k, None) for k in RN.DISK_STATE}
+
+
+def test_a_run_leaves_the_sessions_store(spark):
+    before = _settings(spark)
+    with RN.state_on_disk(spark):
+        assert _settings(spark) == RN.DISK_STATE
+    assert _settings(spark) == before
+    with pytest.raises(ZeroDivisionError), RN.state_on_disk(spark):
+        assert _settings(spark) == RN.DISK_STATE
+        raise ZeroDivisionError
+    assert _settings(spark) == before
+
+
+def test_late_rows_fail_a_run_with_its_state_on_disk(spark, tmp_path):
+    """A row behind the watermark is an error with either store; nothing is dropped unseen."""
+    for i, at in enumerate(("2024-01-01", "2024-01-08", "2024-01-09", "2024-01-02")):
+        spark.sql(f"SELECT TIMESTAMP_NTZ'{at}' AS ts, 'a b' AS text").coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    lines = RN.file_stream(spark, f"{tmp_path}/in", "ts timestamp_ntz, text string")
+    with pytest.raises(LateRowsError):
+        RN.run_update_aggregate(spark, J.tumbling_word_count(lines, "1 day", "1 hour"), ["window_start", "word"], "late-wc",
+                                disk_state=True)
+    counts = RN.run_update_aggregate(spark, J.tumbling_word_count(lines, "1 day", "20 days"), ["window_start", "word"],
+                                     "all-wc", disk_state=True)
+    assert {(str(r.window_start)[:10], r.word, r["count"]) for r in counts.collect()} == {
+        (f"2024-01-0{d}", w, 1) for d in (1, 2, 8, 9) for w in "ab"}
